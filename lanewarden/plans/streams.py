@@ -1 +1,199 @@
-"""Registered queries: streaming jobs replayed from files."""
+"""Registered queries: streaming jobs over crossings that land as files, slice by slice.
+
+A replay lands the crossings of one period, runs the job on all that is new, stops it, lands the
+next period and resumes on the same checkpoint. A last crossing far in the future moves the
+watermark past the data, so that every window closes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from lanewarden.operators import detect
+from lanewarden.operators.detect import VIOLATION_COLUMNS
+from lanewarden.plans import testbed as bed
+from lanewarden.plans.registry import query
+from lanewarden.plans.views_sql import with_views
+from lanewarden.schemas import CAMERA
+from lanewarden.session import scratch_path
+from lanewarden.sources.events import parse_events, to_wire
+from lanewarden.sources.sinks import read_ledger
+from lanewarden.streaming import jobs, stateful
+
+# The periods of a replay meet here; all driver tables cover the month around it.
+_CUT = "2024-01-16"
+_UNIFIED = ", ".join(VIOLATION_COLUMNS)
+_STORED = f"SELECT {_UNIFIED}, window_start, CAST(timestamp_start AS DATE) AS date FROM first_rows"
+
+
+def _periods(crossings: DataFrame) -> list[DataFrame]:
+    cut = F.lit(_CUT).cast("timestamp")
+    return [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)]
+
+
+def _closing(crossings: DataFrame) -> DataFrame:
+    """One legal crossing, a day after all others."""
+    last = crossings.agg(F.max("event_time").alias("t"))
+    return last.select(
+        F.lit("tick").alias("event_id"), F.lit("~").alias("car_plate"), F.lit(0).alias("lane_id"),
+        F.lit(0).alias("camera_id"), F.lit(0).alias("camera_index"), F.lit(0.0).alias("position_km"),
+        F.lit(1.0).alias("speed_limit"), F.lit(0.0).alias("speed_reading"),
+        F.timestamp_micros(F.unix_micros("t") + 86_400_000_000).alias("event_time"),
+    )
+
+
+def replay(
+    spark: SparkSession, landings: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Land each frame of crossings in a topic folder and run ``start`` on it to its end, in turn."""
+    topic = scratch_path(spark, "topic")
+    for crossings in landings:
+        to_wire(crossings).write.mode("append").parquet(topic)
+        start(parse_events(spark.readStream.schema("key string, value binary").parquet(topic))).awaitTermination()
+
+
+def _replayed_table(spark, sf, transform: Callable[[DataFrame], DataFrame], closing: bool = False) -> DataFrame:
+    """The table a job appends to over the whole replay."""
+    crossings = bed.crossings(spark, sf)
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    landings = _periods(crossings) + ([_closing(crossings)] if closing else [])
+    replay(spark, landings, lambda events: jobs.append_table(transform(events), out, checkpoint, once=True))
+    return spark.read.parquet(out)
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, stateful.ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@query("t1_stream_instantaneous", with_views("SELECT * FROM inst"))
+def stream_instantaneous(spark, sf):
+    return _replayed_table(spark, sf, detect.detect_instantaneous)
+
+
+@query("t2_stream_join_adjacent", with_views("SELECT * FROM avg_adj"))
+def stream_join(spark, sf):
+    return _replayed_table(spark, sf, detect.detect_average)
+
+
+@query("t10_stream_union", with_views("SELECT * FROM violations"))
+def stream_union(spark, sf):
+    return _replayed_table(spark, sf, detect.all_violations)
+
+
+@query("t3_flag_once_live")
+def flag_once_live(spark, sf):
+    """Which of a plate's repeats pass depends on batch borders, so there is no SQL for it."""
+    return _replayed_table(spark, sf, lambda events: jobs.flag_once_live(detect.all_violations(events)))
+
+
+@query("t3_rolling_flag_stream")
+def rolling_flag_stream(spark, sf):
+    """Arrival order decides here, so there is no SQL for it."""
+    with _rocksdb(spark):
+        return _replayed_table(spark, sf, lambda events: stateful.rolling_flag_stream(detect.detect_instantaneous(events)))
+
+
+@query("t4_ledger_stream", with_views(f"SELECT {_UNIFIED}, window_start FROM first_rows"))
+def ledger_stream(spark, sf):
+    return _replayed_table(spark, sf, lambda events: jobs.ledger_stream(detect.all_violations(events)), closing=True)
+
+
+@query("t5_late_rows_dropped", with_views(f"SELECT {_UNIFIED}, window_start FROM first_rows"))
+def late_rows_dropped(spark, sf):
+    """After all windows have closed, the first period lands again under other plates: too late."""
+    crossings = bed.crossings(spark, sf)
+    late = _periods(crossings)[0].withColumn("car_plate", F.concat(F.lit("LATE"), F.col("car_plate")))
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    replay(
+        spark,
+        [*_periods(crossings), _closing(crossings), late],
+        lambda events: jobs.append_table(jobs.ledger_stream(detect.all_violations(events)), out, checkpoint, once=True),
+    )
+    return spark.read.parquet(out)
+
+
+@query("t6_detector_to_ledger", with_views(_STORED))
+def detector(spark, sf):
+    """The whole job, from topic to ledger table."""
+    crossings = bed.crossings(spark, sf)
+    ledger, checkpoint = scratch_path(spark, "ledger"), scratch_path(spark, "checkpoint")
+    replay(
+        spark,
+        [*_periods(crossings), _closing(crossings)],
+        lambda events: jobs.start_detector(events, ledger, checkpoint, once=True),
+    )
+    return read_ledger(spark, ledger).drop("detected_at")
+
+
+@query("t7_progress_report")
+def progress_report(spark, sf):
+    """One record per micro-batch of a replay; rates are measured, so there is no SQL for it."""
+    log = jobs.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        _replayed_table(spark, sf, detect.detect_instantaneous)
+        records = log.table(spark)
+    finally:
+        spark.streams.removeListener(log)
+    return records
+
+
+@query("t8_live_vehicle_stream")
+def live_vehicle_stream(spark, sf):
+    """Which crossings share a batch decides how many updates there are, so there is no SQL for it."""
+    with _rocksdb(spark):
+        return _replayed_table(spark, sf, stateful.live_vehicle_stream, closing=True)
+
+
+@query("t11_camera_refresh", with_views(f"""
+SELECT event_id, car_plate, lane_id, camera_id, camera_index, position_km, speed_limit, event_time, speed_reading
+FROM crossings WHERE event_time >= TIMESTAMP '{_CUT}' OR camera_id % 3 <> 0"""))
+def camera_refresh(spark, sf):
+    """The last camera of each lane is added to the camera table between two runs."""
+    out, table = scratch_path(spark, "enriched"), scratch_path(spark, "cameras")
+    checkpoint, topic = scratch_path(spark, "checkpoint"), scratch_path(spark, "raw")
+    columns = ["event_id", "car_plate", "camera_id", "event_time", "speed_reading"]
+    raw = bed.crossings(spark, sf).select(columns)
+    known = [bed.cameras(spark).where("camera_id % 3 <> 0"), bed.cameras(spark).where("camera_id % 3 = 0")]
+    for period, cameras in zip(_periods(raw), known):
+        cameras.write.mode("append").parquet(table)
+        period.write.mode("append").parquet(topic)
+        jobs.start_enrichment(
+            spark.readStream.schema(raw.schema).parquet(topic),
+            lambda session: session.read.schema(CAMERA).parquet(table),
+            lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}"),
+            checkpoint,
+            once=True,
+        ).awaitTermination()
+    return spark.read.parquet(out).select(
+        *columns, "lane_id", "camera_index", "position_km", "speed_limit"
+    )
+
+
+@query("t12_stop_and_resume", with_views(_STORED))
+def stop_and_resume(spark, sf):
+    """A first run is abandoned by a reset; the second is stopped between periods and resumed."""
+    crossings = bed.crossings(spark, sf)
+    root = scratch_path(spark, "runs")
+    abandoned, checkpoint, ledger = jobs.run_paths(root)
+    replay(spark, _periods(crossings)[:1], lambda e: jobs.start_detector(e, ledger, checkpoint, once=True))
+    run, _, _ = jobs.run_paths(root, abandoned, reset=True)
+
+    def resume(events: DataFrame) -> StreamingQuery:
+        _, checkpoint, ledger = jobs.run_paths(root, run)
+        return jobs.start_detector(events, ledger, checkpoint, once=True)
+
+    replay(spark, [*_periods(crossings), _closing(crossings)], resume)
+    return read_ledger(spark, jobs.run_paths(root, run)[2]).drop("detected_at")

@@ -18,6 +18,11 @@ from lanewarden.sources.sinks import LedgerWriter
 from lanewarden.settings import DEDUP_WINDOW, duration_minutes
 
 
+def one_event_time(violations: DataFrame) -> DataFrame:
+    """Leave the start as the only event time; recomputing the end takes its watermark mark away."""
+    return violations.withColumn("timestamp_end", F.timestamp_micros(F.unix_micros("timestamp_end")))
+
+
 def flag_once_live(violations: DataFrame) -> DataFrame:
     """At most one flag per plate while its state lasts; the first arrival wins.
 
@@ -25,7 +30,7 @@ def flag_once_live(violations: DataFrame) -> DataFrame:
     past it. So repeats within the delay never pass, and later ones may still be held back: a feed
     for people, not the ledger. The ledger's exact form is :func:`ledger_stream`.
     """
-    return violations.dropDuplicatesWithinWatermark(["car_plate"])
+    return one_event_time(violations).dropDuplicatesWithinWatermark(["car_plate"])
 
 
 def ledger_stream(violations: DataFrame, window: str = DEDUP_WINDOW) -> DataFrame:
