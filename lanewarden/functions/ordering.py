@@ -37,37 +37,48 @@ def global_ordinal(df: DataFrame, *order: Column, name: str = "ordinal") -> Data
     )
 
 
+def _locate(counts: DataFrame, key: str) -> DataFrame:
+    """Per target, the ``key`` whose run of rows holds its rank, and the rank within that run.
+
+    ``counts`` has ``_q, _rank`` and, for each of the target's keys, the row count ``_c``.
+    """
+    ascending = Window.partitionBy("_q").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.withColumn("_start", F.sum("_c").over(ascending) - F.col("_c"))
+    local = F.col("_rank") - F.col("_start")
+    return placed.where((local >= 0) & (local < F.col("_c"))).select("_q", key, local.alias("_rank"))
+
+
 def values_at_ranks(
-    df: DataFrame, value: str, ranks: Mapping[str, Column], *, bin_width: int = 65_536
+    df: DataFrame, value: str, ranks: Mapping[str, Column], *, fine_bits: int = 15, coarse_bits: int = 30
 ) -> DataFrame:
     """One row with the value at each 0-based rank of the sorted whole-number column ``value``.
 
-    ``ranks`` maps output names to expressions over ``n``, the row count. Rows are counted per bin
-    of ``bin_width`` first; the bins are summed up in order and give the one bin that holds each
-    rank. Only the rows of those bins are then counted per value. The two ordered steps hold
-    ``range / bin_width`` and at most ``bin_width`` rows, however many rows there are.
+    ``ranks`` maps output names to expressions over ``n``, the row count. No step sorts the rows.
+    They are counted per fine bin of ``2**fine_bits``; those counts are summed per coarse bin, and
+    each rank is located first among the coarse bins, then among the fine bins of one coarse bin,
+    then among the values of one fine bin. For microseconds the ordered steps hold the number of
+    18-minute spans covered, then at most 32,768 rows each, however many rows there are.
     """
-    values = df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    binned = values.withColumn("_bin", F.col("_v") - F.pmod(F.col("_v"), F.lit(bin_width)))
-    counts = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_c"))
-    ascending = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    placed = counts.select(
-        "_bin", "_c", (F.sum("_c").over(ascending) - F.col("_c")).alias("_start"), F.sum("_c").over(everything).alias("n")
-    )
+
+    def floor_to(bits: int) -> Column:
+        return F.shiftleft(F.shiftright(F.col("_v"), bits), bits)
+
+    values = df.select(F.col(value).cast("long").alias("_v")).where(F.col("_v").isNotNull())
+    binned = values.select("_v", floor_to(fine_bits).alias("_fine"))
+    fine = binned.groupBy("_fine").agg(F.count(F.lit(1)).alias("_c"))
+    fine = fine.select("_fine", F.shiftright("_fine", coarse_bits).alias("_coarse"), "_c")
+    coarse = fine.groupBy("_coarse").agg(F.sum("_c").alias("_c"))
     wanted = F.array(*[F.struct(F.lit(k).alias("q"), r.cast("long").alias("rank")) for k, r in ranks.items()])
-    targets = (
-        placed.withColumn("_t", F.explode(wanted))
-        .where((F.col("_t.rank") >= F.col("_start")) & (F.col("_t.rank") < F.col("_start") + F.col("_c")))
-        .select("_bin", F.col("_t.q").alias("_q"), (F.col("_t.rank") - F.col("_start")).alias("_local"))
-    )
-    per_value = (
-        binned.join(F.broadcast(targets), "_bin").groupBy("_q", "_local", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    totals = coarse.withColumn("n", F.sum("_c").over(Window.partitionBy()))
+    targets = totals.withColumn("_t", F.explode(wanted)).select(
+        F.col("_t.q").alias("_q"), F.col("_t.rank").alias("_rank"), "_coarse", "_c"
     )
-    within = Window.partitionBy("_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = per_value.withColumn("_end", F.sum("_c").over(within)).where(
-        (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
+    in_coarse = _locate(targets, "_coarse")
+    in_fine = _locate(fine.join(F.broadcast(in_coarse), "_coarse"), "_fine")
+    per_value = binned.join(F.broadcast(in_fine), "_fine").groupBy("_q", "_rank", "_v").agg(
+        F.count(F.lit(1)).alias("_c")
     )
+    hits = _locate(per_value, "_v")
     return hits.agg(*[F.max(F.when(F.col("_q") == k, F.col("_v"))).alias(k) for k in ranks])
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanewarden.functions import scalars as S
+from lanewarden.functions.ordering import nearest_rank, values_at_ranks
 from lanewarden.operators import ledger as L
 from lanewarden.operators import live, metrics, trips
 from lanewarden.operators.detect import VIOLATION_COLUMNS
@@ -407,12 +408,9 @@ SELECT (SELECT us FROM (SELECT us, row_number() OVER (ORDER BY us) - 1 AS r, cou
         WHERE r = CAST(round_even(CAST(0.1 AS DOUBLE) * (n - 1), 0) AS BIGINT)) AS p10""")
 def value_percentiles(spark, sf):
     """Nearest ranks of a measured column of the events table itself."""
-    from lanewarden.functions.ordering import nearest_rank, values_at_ranks
-
     micro = F.round(F.col("value") * 1_000_000).cast("long").alias("us")
     return values_at_ranks(
-        bed.table(spark, sf, "events").select(micro), "us", {"p90": nearest_rank(0.9), "p10": nearest_rank(0.1)},
-        bin_width=1 << 20,
+        bed.table(spark, sf, "events").select(micro), "us", {"p90": nearest_rank(0.9), "p10": nearest_rank(0.1)}
     )
 
 
