@@ -21,26 +21,29 @@ from lanewarden.plans.registry import query
 from lanewarden.plans.views_sql import with_views
 from lanewarden.schemas import CAMERA
 from lanewarden.session import scratch_path
-from lanewarden.sources.events import parse_events, to_wire
+from lanewarden.sources.events import read_events, to_wire
 from lanewarden.sources.sinks import read_ledger
 from lanewarden.streaming import jobs, stateful
 
 # The periods of a replay meet here; all driver tables cover the month around it.
 _CUT = "2024-01-16"
+_TOPIC = "key string, value binary"
 _UNIFIED = ", ".join(VIOLATION_COLUMNS)
 _STORED = f"SELECT {_UNIFIED}, window_start, CAST(timestamp_start AS DATE) AS date FROM first_rows"
 
 
-def _periods(crossings: DataFrame) -> list[DataFrame]:
+def _periods(crossings: DataFrame, closing: bool = False) -> list[DataFrame]:
+    """The crossings before and after the cut, the second with the closing one if asked for."""
     cut = F.lit(_CUT).cast("timestamp")
-    return [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)]
+    first, second = crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)
+    return [first, second.unionByName(_closing(crossings), allowMissingColumns=True) if closing else second]
 
 
 def _closing(crossings: DataFrame) -> DataFrame:
     """One legal crossing, a day after all others."""
     last = crossings.agg(F.max("event_time").alias("t"))
     return last.select(
-        F.lit("tick").alias("event_id"), F.lit("~").alias("car_plate"), F.lit(0).alias("lane_id"),
+        F.lit(-1).cast("long").alias("event_id"), F.lit("~").alias("car_plate"), F.lit(0).alias("lane_id"),
         F.lit(0).alias("camera_id"), F.lit(0).alias("camera_index"), F.lit(0.0).alias("position_km"),
         F.lit(1.0).alias("speed_limit"), F.lit(0.0).alias("speed_reading"),
         F.timestamp_micros(F.unix_micros("t") + 86_400_000_000).alias("event_time"),
@@ -49,20 +52,21 @@ def _closing(crossings: DataFrame) -> DataFrame:
 
 def replay(
     spark: SparkSession, landings: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]
-) -> None:
+) -> list[StreamingQuery]:
     """Land each frame of crossings in a topic folder and run ``start`` on it to its end, in turn."""
-    topic = scratch_path(spark, "topic")
+    topic, runs = scratch_path(spark, "topic"), []
     for crossings in landings:
         to_wire(crossings).write.mode("append").parquet(topic)
-        start(parse_events(spark.readStream.schema("key string, value binary").parquet(topic))).awaitTermination()
+        runs.append(start(read_events(spark, {"path": topic}, source="parquet", schema=_TOPIC)))
+        runs[-1].awaitTermination()
+    return runs
 
 
 def _replayed_table(spark, sf, transform: Callable[[DataFrame], DataFrame], closing: bool = False) -> DataFrame:
     """The table a job appends to over the whole replay."""
     crossings = bed.crossings(spark, sf)
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
-    landings = _periods(crossings) + ([_closing(crossings)] if closing else [])
-    replay(spark, landings, lambda events: jobs.append_table(transform(events), out, checkpoint, once=True))
+    replay(spark, _periods(crossings, closing), lambda events: jobs.append_table(transform(events), out, checkpoint, once=True))
     return spark.read.parquet(out)
 
 
@@ -77,6 +81,14 @@ def _rocksdb(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@query("s1_read_events", with_views("""
+SELECT CAST(event_id AS VARCHAR) AS event_id, car_plate, lane_id, camera_id, camera_index, position_km, speed_limit,
+       event_time, speed_reading FROM crossings"""))
+def read_topic(spark, sf):
+    """The parsed stream itself, as a table."""
+    return _replayed_table(spark, sf, lambda events: events.drop("timestamp"))
+
+
 @query("t1_stream_instantaneous", with_views("SELECT * FROM inst"))
 def stream_instantaneous(spark, sf):
     return _replayed_table(spark, sf, detect.detect_instantaneous)
@@ -118,7 +130,7 @@ def late_rows_dropped(spark, sf):
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
     replay(
         spark,
-        [*_periods(crossings), _closing(crossings), late],
+        [*_periods(crossings, closing=True), late],
         lambda events: jobs.append_table(jobs.ledger_stream(detect.all_violations(events)), out, checkpoint, once=True),
     )
     return spark.read.parquet(out)
@@ -131,23 +143,25 @@ def detector(spark, sf):
     ledger, checkpoint = scratch_path(spark, "ledger"), scratch_path(spark, "checkpoint")
     replay(
         spark,
-        [*_periods(crossings), _closing(crossings)],
+        _periods(crossings, closing=True),
         lambda events: jobs.start_detector(events, ledger, checkpoint, once=True),
     )
     return read_ledger(spark, ledger).drop("detected_at")
 
 
-@query("t7_progress_report")
+@query("t7_progress_report", with_views(f"""
+SELECT batch_id, input_rows, CAST(sum(input_rows) OVER (ORDER BY batch_id) AS BIGINT) AS total_rows
+FROM (SELECT CAST(event_time >= TIMESTAMP '{_CUT}' AS BIGINT) AS batch_id, count(*) AS input_rows FROM crossings GROUP BY ALL)"""))
 def progress_report(spark, sf):
-    """One record per micro-batch of a replay; rates are measured, so there is no SQL for it."""
-    log = jobs.ProgressLog()
-    spark.streams.addListener(log)
-    try:
-        _replayed_table(spark, sf, detect.detect_instantaneous)
-        records = log.table(spark)
-    finally:
-        spark.streams.removeListener(log)
-    return records
+    """One record per micro-batch with input; the measured rates are left out."""
+    log, out, checkpoint = jobs.ProgressLog(), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    for run in replay(
+        spark,
+        _periods(bed.crossings(spark, sf)),
+        lambda events: jobs.append_table(detect.detect_instantaneous(events), out, checkpoint, once=True),
+    ):
+        log.poll(run)
+    return log.table(spark).where("input_rows > 0").select("batch_id", "input_rows", "total_rows")
 
 
 @query("t8_live_vehicle_stream")
@@ -195,5 +209,5 @@ def stop_and_resume(spark, sf):
         _, checkpoint, ledger = jobs.run_paths(root, run)
         return jobs.start_detector(events, ledger, checkpoint, once=True)
 
-    replay(spark, [*_periods(crossings), _closing(crossings)], resume)
+    replay(spark, _periods(crossings, closing=True), resume)
     return read_ledger(spark, jobs.run_paths(root, run)[2]).drop("detected_at")

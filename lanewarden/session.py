@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,10 +30,12 @@ def build_session(app: str = "lanewarden", master: str | None = None, **conf: st
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only where none is named."""
     root = spark.conf.get(_CHECKPOINT_CONF, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lanewarden-")
-        spark.conf.set(_CHECKPOINT_CONF, root)
-    return root.rstrip("/")
+    return (root or _local_scratch()).rstrip("/")
+
+
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="lanewarden-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

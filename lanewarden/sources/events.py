@@ -13,15 +13,21 @@ from lanewarden.settings import WATERMARK
 
 
 def read_events(
-    spark: SparkSession, options: Mapping[str, str], *, source: str = "kafka", watermark: str = WATERMARK
+    spark: SparkSession,
+    options: Mapping[str, str],
+    *,
+    source: str = "kafka",
+    schema: str | None = None,
+    watermark: str = WATERMARK,
 ) -> DataFrame:
-    """Stream of parsed crossings from one topic, newest offsets first unless told otherwise.
+    """Stream of parsed crossings from one topic, from the latest offsets unless told otherwise.
 
     ``options`` go to the source (for Kafka at least ``kafka.bootstrap.servers`` and ``subscribe``).
-    Any streaming source with a ``value`` column will do.
+    Any streaming source with a ``value`` column will do; files need their ``schema`` named.
     """
     settings = {"startingOffsets": "latest", **options} if source == "kafka" else dict(options)
-    return parse_events(spark.readStream.format(source).options(**settings).load(), watermark)
+    reader = spark.readStream.format(source).options(**settings)
+    return parse_events((reader.schema(schema) if schema else reader).load(), watermark)
 
 
 def parse_events(raw: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:

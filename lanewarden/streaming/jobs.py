@@ -120,20 +120,33 @@ PROGRESS = StructType(
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects one record per micro-batch, and an idle note after ``idle_after_s`` without input."""
+    """One record per micro-batch, and an idle note after ``idle_after_s`` without input.
+
+    Attach it as a listener, or :meth:`poll` queries for what they still remember.
+    """
 
     def __init__(self, idle_after_s: float = 30.0) -> None:
         self.idle_after_s = idle_after_s
         self.records: list[tuple] = []
         self._totals: dict[str, int] = {}
+        self._seen: set[tuple[str, int]] = set()
         self._last_input = time.monotonic()
 
     def onQueryStarted(self, event) -> None:
         self._last_input = time.monotonic()
 
     def onQueryProgress(self, event) -> None:
-        p = event.progress
+        self._add(event.progress)
+
+    def poll(self, query: StreamingQuery) -> None:
+        for progress in query.recentProgress:
+            self._add(progress)
+
+    def _add(self, p) -> None:
         query, rows = str(p.id), int(p.numInputRows or 0)
+        if (query, p.batchId) in self._seen:
+            return
+        self._seen.add((query, p.batchId))
         self._totals[query] = self._totals.get(query, 0) + rows
         late = sum(int(s.numRowsDroppedByWatermark or 0) for s in p.stateOperators)
         if rows:

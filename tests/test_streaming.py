@@ -127,14 +127,18 @@ def test_progress_counts_rows_once(spark, tmp_path, crossings):
     log = jobs.ProgressLog()
     spark.streams.addListener(log)
     try:
-        run(spark, tmp_path, [landing(crossings, SNEAKY)], detect.detect_instantaneous)
-        for _ in range(100):
-            if any(r[2] for r in log.records):
-                break
-            spark.sparkContext._jvm.java.lang.Thread.sleep(100)
+        queries = replay(
+            spark, [landing(crossings, SNEAKY), landing(crossings, FAST)],
+            lambda events: jobs.append_table(
+                detect.detect_instantaneous(events), str(tmp_path / "out"), str(tmp_path / "checkpoint"), once=True
+            ),
+        )
+        for query in queries * 2:
+            log.poll(query)
     finally:
         spark.streams.removeListener(log)
-    assert [(r["input_rows"], r["total_rows"]) for r in log.table(spark).where("input_rows > 0").collect()] == [(3, 3)]
+    found = log.table(spark).where("input_rows > 0").orderBy("batch_id").collect()
+    assert [(r["input_rows"], r["total_rows"]) for r in found] == [(3, 3), (2, 5)]
 
 
 def test_window_must_divide_the_hour(spark, crossings):
