@@ -67,7 +67,7 @@ def detect_instantaneous(events: DataFrame) -> DataFrame:
     )
 
 
-def detect_average(
+def offending_segments(
     events: DataFrame,
     strategy: str = ADJACENT,
     *,
@@ -78,6 +78,8 @@ def detect_average(
 ) -> DataFrame:
     """Segments whose average speed is over the limit of the camera reached second.
 
+    ``steps`` is how many cameras along the lane the segment spans.
+
     Each crossing pairs with the later ones of the same plate and lane within ``window``, at a
     neighbouring camera (``adjacent``) or any other camera (``all-pairs``). One row per pair.
 
@@ -127,9 +129,15 @@ def detect_average(
         end.alias("timestamp_end"),
         F.col("b.speed_limit").alias("speed_limit"),
         segment_speed(F.abs(F.col("b.position_km") - F.col("a.position_km")), dt).alias("avg_speed"),
+        F.abs(F.col("b.camera_index") - F.col("a.camera_index")).alias("steps"),
         dt.alias("_dt"),
     )
-    return to_unified(pairs.where((F.col("_dt") > 0) & (F.col("avg_speed") > F.col("speed_limit"))), AVERAGE)
+    return pairs.where((F.col("_dt") > 0) & (F.col("avg_speed") > F.col("speed_limit"))).drop("_dt")
+
+
+def detect_average(events: DataFrame, strategy: str = ADJACENT, **options) -> DataFrame:
+    """The offending segments as violations; the options are those of :func:`offending_segments`."""
+    return to_unified(offending_segments(events, strategy, **options), AVERAGE)
 
 
 def frequent_plates(events: DataFrame, share: float = 0.01) -> list[str]:
@@ -186,13 +194,17 @@ def compare_plates(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def compare_strategies(events: DataFrame, **options) -> DataFrame:
-    """Plates that one pairing strategy flags and the other does not."""
-    spot = detect_instantaneous(events).select("car_plate")
-    adjacent = detect_average(events, ADJACENT, **options).select("car_plate").unionByName(spot)
-    all_pairs = detect_average(events, ALL_PAIRS, **options).select("car_plate").unionByName(spot)
-    return compare_plates(adjacent, all_pairs).withColumnsRenamed(
-        {"in_left": "flagged_adjacent", "in_right": "flagged_all_pairs"}
+    """Plates that one pairing strategy flags and the other does not.
+
+    Neighbouring cameras are among all pairs, so one join serves both; a spot reading counts for
+    either strategy.
+    """
+    spot = detect_instantaneous(events).select("car_plate", F.lit(True).alias("near"))
+    segments = offending_segments(events, ALL_PAIRS, **options).select("car_plate", (F.col("steps") == 1).alias("near"))
+    flags = segments.unionByName(spot).groupBy("car_plate").agg(
+        F.bool_or("near").alias("flagged_adjacent"), F.lit(True).alias("flagged_all_pairs")
     )
+    return flags.where(~F.col("flagged_adjacent"))
 
 
 def same_plates(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lanewarden.functions.ordering import floor_rank, nearest_rank, values_at_ranks
 from lanewarden.functions.scalars import micros_between, plausible
-from lanewarden.operators.detect import ADJACENT, ALL_PAIRS, detect_average
+from lanewarden.operators.detect import ADJACENT, ALL_PAIRS, offending_segments
 from lanewarden.settings import AVERAGE, INSTANTANEOUS, LATENCY_BINS, LATENCY_CAP_S
 
 
@@ -146,19 +146,20 @@ def modelled_pairs(strategy: Column, k: Column, vehicles: Column) -> Column:
 def join_cost(events: DataFrame, vehicles_by_k: DataFrame, k_of_lane: DataFrame, **options) -> DataFrame:
     """Per camera count and strategy: output rows, the model's rows, and the surplus ratio.
 
-    ``k_of_lane`` maps lanes to their camera count, ``vehicles_by_k`` counts the journeys.
+    ``k_of_lane`` maps lanes to their camera count, ``vehicles_by_k`` counts the journeys. The
+    pairs of neighbouring cameras are counted among all pairs, so the join runs once.
     """
-    counted = None
-    for strategy in (ADJACENT, ALL_PAIRS):
-        per_lane = detect_average(events, strategy, **options).groupBy("lane_id").agg(F.count(F.lit(1)).alias("_n"))
-        rows = k_of_lane.join(per_lane, "lane_id").groupBy("k").agg(F.sum("_n").alias("join_rows"))
-        rows = rows.withColumn("strategy", F.lit(strategy))
-        counted = rows if counted is None else counted.unionByName(rows)
-    by_k = counted.groupBy("k").agg(
-        F.max(F.when(F.col("strategy") == ADJACENT, F.col("join_rows"))).alias("_adjacent"),
-        F.collect_list(F.struct("strategy", "join_rows")).alias("_rows"),
+    per_lane = offending_segments(events, ALL_PAIRS, **options).groupBy("lane_id").agg(
+        F.count_if(F.col("steps") == 1).alias("_adjacent"), F.count(F.lit(1)).alias("_all")
     )
-    flat = by_k.join(vehicles_by_k, "k").select("k", "vehicles", "_adjacent", F.inline("_rows"))
+    by_k = k_of_lane.join(per_lane, "lane_id").groupBy("k").agg(
+        F.sum("_adjacent").alias("_adjacent"), F.sum("_all").alias("_all")
+    )
+    rows = F.array(
+        F.struct(F.lit(ADJACENT).alias("strategy"), F.col("_adjacent").alias("join_rows")),
+        F.struct(F.lit(ALL_PAIRS).alias("strategy"), F.col("_all").alias("join_rows")),
+    )
+    flat = by_k.join(vehicles_by_k, "k").select("k", "vehicles", "_adjacent", F.inline(rows))
     return flat.select(
         "k", "vehicles", "strategy", "join_rows",
         modelled_pairs(F.col("strategy"), F.col("k"), F.col("vehicles")).alias("expected_rows"),

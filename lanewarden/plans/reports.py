@@ -72,7 +72,7 @@ def violation_ids(spark, sf):
     f"SELECT * FROM ({_IDS}) ORDER BY car_plate <> 'P7', window_start LIMIT 1"))
 def violation_by_id(spark, sf):
     """The first violation of one plate, found by its identifier."""
-    ledger = bed.ledger(spark, sf)
+    ledger = bed.ledger_table(spark, sf)
     first = ledger.where(F.col("car_plate") == "P7").agg(F.min("window_start").alias("w"))
     return L.violation_by_id(ledger, first.select(S.violation_id(F.lit("P7"), F.col("w"))).scalar())
 
@@ -159,7 +159,7 @@ SELECT * EXCLUDE (rn) FROM (
     UNION ALL SELECT {_KEY} AS violation_key, 1 AS source, * FROM ledger WHERE lane_id <> 1))
 WHERE rn = 1 ORDER BY detected_at DESC, violation_key LIMIT 60""").replace("EXCLUDE (rn)", "EXCLUDE (rn, source)"))
 def merge_feed(spark, sf):
-    ledger = bed.ledger(spark, sf)
+    ledger = bed.ledger_table(spark, sf)
     return L.merge_feed(ledger.where("lane_id <> 2"), ledger.where("lane_id <> 1"))
 
 
@@ -361,11 +361,12 @@ LEFT JOIN (SELECT car_plate, window_start FROM ledger WHERE lane_id = 1) s
   ON b.car_plate = s.car_plate AND b.window_start = s.window_start
 GROUP BY b.batch_id"""))
 def batch_report(spark, sf):
-    batch = bed.violations(spark, sf).select(
+    found = materialize(bed.violations(spark, sf), "violations")
+    batch = found.select(
         F.dayofmonth("timestamp_start").cast("long").alias("_day"), "car_plate", "violation_type",
         S.window_start(F.col("timestamp_start"), 10).alias("window_start"),
     ).withColumn("batch_id", F.col("_day") % 6)
-    return metrics.batch_report(batch, bed.ledger(spark, sf).where("lane_id = 1"), "batch_id")
+    return metrics.batch_report(batch, bed.ledger_of(found).where("lane_id = 1"), "batch_id")
 
 
 _NEAREST = (
@@ -382,7 +383,7 @@ SELECT count(*) AS n, min(us) / CAST(1000000 AS DOUBLE) AS min_s, avg(us) / CAST
        {_NEAREST.format('delays', 'round_even(CAST(0.99 AS DOUBLE) * (n - 1), 0)')} AS p99_s
 FROM delays"""))
 def latency_summary(spark, sf):
-    return metrics.latency_summary(bed.ledger(spark, sf))
+    return metrics.latency_summary(bed.ledger_table(spark, sf))
 
 
 @query("a7_latency_median", with_views("""
@@ -390,14 +391,14 @@ SELECT (min(us) / CAST(1000000 AS DOUBLE) + max(us) / CAST(1000000 AS DOUBLE)) /
 FROM (SELECT us, row_number() OVER (ORDER BY us) - 1 AS r, count(*) OVER () AS n FROM delays)
 WHERE r IN ((n - 1) // 2, n // 2)"""))
 def latency_median(spark, sf):
-    return metrics.latency_median(bed.ledger(spark, sf))
+    return metrics.latency_median(bed.ledger_table(spark, sf))
 
 
 @query("w7_percentiles_floor_rank", with_views(f"""
 SELECT {_NEAREST.format('(SELECT us FROM delays_all WHERE us >= 0)', 'floor(CAST(0.5 AS DOUBLE) * n)')} AS p50_s,
        {_NEAREST.format('(SELECT us FROM delays_all WHERE us >= 0)', 'floor(CAST(0.95 AS DOUBLE) * n)')} AS p95_s"""))
 def percentiles_floor(spark, sf):
-    return metrics.latency_percentiles_floor(bed.ledger(spark, sf))
+    return metrics.latency_percentiles_floor(bed.ledger_table(spark, sf))
 
 
 @query("w7_event_value_percentiles", """
@@ -421,7 +422,7 @@ JOIN (SELECT min(us) AS lo, max(us) AS hi FROM delays) m ON true
 LEFT JOIN (SELECT least((us - lo) * 30 // (hi - lo), 29) AS bin, count(*) AS n
            FROM delays JOIN (SELECT min(us) AS lo, max(us) AS hi FROM delays) ON true GROUP BY ALL) c ON b.bin = c.bin"""))
 def latency_histogram(spark, sf):
-    return metrics.latency_histogram(bed.ledger(spark, sf))
+    return metrics.latency_histogram(bed.ledger_table(spark, sf))
 
 
 @query("a8_throughput", with_views("""

@@ -15,6 +15,7 @@ from lanewarden.operators.dedup import first_per_plate_window, to_stored_violati
 from lanewarden.operators.detect import ADJACENT, all_violations
 from lanewarden.operators.trips import DEFAULT_MIX, draw_trips, expand_trips
 from lanewarden.schemas import CAMERA, LANE
+from lanewarden.session import materialize
 
 # The seeded lanes and cameras (camera, lane, position, limit).
 LANES = [(1, "North Highway"), (2, "Coastal Expressway"), (3, "City Bypass")]
@@ -74,8 +75,16 @@ def violations(spark: SparkSession, sf_dir: str, strategy: str = ADJACENT) -> Da
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored violations with a detection time computed from the row: mostly half a second to three
     seconds after the end, some implausibly late or early."""
-    first = first_per_plate_window(violations(spark, sf_dir)).drop("window_start")
-    return to_stored_violation(first, detected_at=detection_time())
+    return ledger_of(violations(spark, sf_dir))
+
+
+def ledger_of(found: DataFrame) -> DataFrame:
+    return to_stored_violation(first_per_plate_window(found).drop("window_start"), detected_at=detection_time())
+
+
+def ledger_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as a stored table, for queries that read it more than once."""
+    return materialize(ledger(spark, sf_dir), "ledger-view")
 
 
 def detection_time():
