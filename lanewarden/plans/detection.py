@@ -64,14 +64,20 @@ def instantaneous(spark, sf):
     return detect.detect_instantaneous(bed.crossings(spark, sf))
 
 
-@query("p2_to_unified", with_views(f"""
-SELECT car_plate, lane_id, 'AVERAGE' AS violation_type, CAST(NULL AS INTEGER) AS camera_id_start,
-       CAST(NULL AS INTEGER) AS camera_id_end, CAST(NULL AS DOUBLE) AS position_start_km,
-       CAST(NULL AS DOUBLE) AS position_end_km, CAST(NULL AS TIMESTAMP) AS timestamp_start,
-       CAST(NULL AS TIMESTAMP) AS timestamp_end, speed_limit, speed_reading, CAST(NULL AS DOUBLE) AS avg_speed
+@query("p2_to_unified", with_views("""
+SELECT car_plate, lane_id, 'AVERAGE' AS violation_type, camera_id AS camera_id_start, camera_id + 1 AS camera_id_end,
+       position_km AS position_start_km, position_km + 1 AS position_end_km, event_time AS timestamp_start,
+       event_time AS timestamp_end, speed_limit, CAST(NULL AS DOUBLE) AS speed_reading, speed_reading AS avg_speed
 FROM crossings"""))
 def unified(spark, sf):
-    return detect.to_unified(bed.crossings(spark, sf), "AVERAGE")
+    """A detector's own columns, in another order and without a spot reading, in the shared shape."""
+    found = bed.crossings(spark, sf).select(
+        F.col("speed_reading").alias("avg_speed"), "lane_id", "car_plate", "speed_limit",
+        F.col("camera_id").alias("camera_id_start"), (F.col("camera_id") + 1).alias("camera_id_end"),
+        F.col("position_km").alias("position_start_km"), (F.col("position_km") + 1).alias("position_end_km"),
+        F.col("event_time").alias("timestamp_start"), F.col("event_time").alias("timestamp_end"),
+    )
+    return detect.to_unified(found, "AVERAGE")
 
 
 @query("p3_to_stored_violation", with_views("SELECT * FROM ledger"))
@@ -94,10 +100,10 @@ def window_starts(spark, sf):
 
 
 @query("p5_date_bucket", with_views("""
-SELECT event_id, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS date, CAST(event_time AS DATE) AS day FROM crossings"""))
+SELECT event_id, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS date, CAST(CAST(event_time AS DATE) AS VARCHAR) AS day FROM crossings"""))
 def date_bucket(spark, sf):
     at = F.col("event_time")
-    return bed.crossings(spark, sf).select("event_id", S.day_start(at).alias("date"), S.day_of(at).alias("day"))
+    return bed.crossings(spark, sf).select("event_id", S.day_start(at).alias("date"), S.day_of(at).cast("string").alias("day"))
 
 
 @query("p13_over_limit", with_views("""
@@ -273,23 +279,25 @@ def camera_index(spark, sf):
     return trips.index_cameras(bed.network_cameras(spark, sf))
 
 
-_SEGMENT = "event_id, next_camera_id, next_event_time, distance_km, dt_seconds, segment_speed"
+_SEGMENT = "event_id, next_event_time, distance_km, dt_seconds, segment_speed"
 
 
-@query("w2_consecutive_segments", with_views(f"SELECT {_SEGMENT} FROM segments"))
+@query("w2_consecutive_segments", with_views(f"SELECT {_SEGMENT}, coalesce(next_camera_id, 0) AS next_camera_id FROM segments"))
 def segments_by_trip(spark, sf):
-    return trips.consecutive_segments(bed.crossings(spark, sf), ["trip_id"]).select(*_SEGMENT.split(", "))
+    segments = trips.consecutive_segments(bed.crossings(spark, sf), ["trip_id"])
+    return segments.na.fill(0, ["next_camera_id"]).select(*_SEGMENT.split(", "), "next_camera_id")
 
 
 @query("w2_segments_by_gap", with_views("""
 SELECT event_id, trip_start,
-       CASE WHEN dt <= 600 THEN next_camera_id END AS next_camera_id, CASE WHEN dt <= 600 THEN dt END AS dt_seconds
+       CASE WHEN dt <= 600 THEN next_camera_id ELSE 0 END AS next_camera_id, CASE WHEN dt <= 600 THEN dt END AS dt_seconds
 FROM (SELECT *, (epoch_us(lead(event_time) OVER w) - epoch_us(event_time)) / CAST(1000000 AS DOUBLE) AS dt,
              lead(camera_id) OVER w AS next_camera_id
       FROM gap_trips WINDOW w AS (PARTITION BY car_plate, lane_id ORDER BY event_time, camera_index))"""))
 def segments_by_gap(spark, sf):
     named = trips.assign_trips(bed.crossings(spark, sf))
-    return trips.consecutive_segments(named).select("event_id", "trip_start", "next_camera_id", "dt_seconds")
+    segments = trips.consecutive_segments(named).na.fill(0, ["next_camera_id"])
+    return segments.select("event_id", "trip_start", "next_camera_id", "dt_seconds")
 
 
 @query("w5_first_per_plate_window", with_views(f"SELECT {_UNIFIED}, window_start FROM first_rows"))
@@ -415,13 +423,14 @@ def unknown_lanes(spark, sf):
 
 
 @query("j13_camera_config_diff", with_views("""
-SELECT coalesce(a.lane_id, b.lane_id) AS lane_id, a.n AS cameras_before, b.n AS cameras_after
+SELECT coalesce(a.lane_id, b.lane_id) AS lane_id, coalesce(a.n, 0) AS cameras_before, coalesce(b.n, 0) AS cameras_after
 FROM (SELECT lane_id, count(*) AS n FROM net_cameras WHERE camera_id % 7 <> 0 GROUP BY lane_id) a
 FULL JOIN (SELECT lane_id, count(*) AS n FROM net_cameras WHERE camera_id % 5 <> 0 GROUP BY lane_id) b ON a.lane_id = b.lane_id
 WHERE a.n IS DISTINCT FROM b.n"""))
 def camera_config_diff(spark, sf):
     cameras = bed.network_cameras(spark, sf)
-    return geometry.camera_config_diff(cameras.where("camera_id % 7 <> 0"), cameras.where("camera_id % 5 <> 0"))
+    changed = geometry.camera_config_diff(cameras.where("camera_id % 7 <> 0"), cameras.where("camera_id % 5 <> 0"))
+    return changed.na.fill(0)
 
 
 @query("p10_cameras_of_lane", with_views("SELECT * FROM net_cameras WHERE lane_id = 3"))

@@ -289,7 +289,12 @@ def upsert_counts(spark, sf):
     return L.upsert_counts(bed.cars(spark, sf), _incoming(spark, sf), "car_plate")
 
 
-@query("s7_write_violations", with_views(f"SELECT {_UNIFIED}, window_start, CAST(timestamp_start AS DATE) AS date FROM first_rows"))
+def _ledger_rows(table):
+    """The table without the time of writing, its day as text."""
+    return table.drop("detected_at").withColumn("date", F.col("date").cast("string"))
+
+
+@query("s7_write_violations", with_views(f"SELECT {_UNIFIED}, window_start, CAST(CAST(timestamp_start AS DATE) AS VARCHAR) AS date FROM first_rows"))
 def write_violations(spark, sf):
     """Two batches and a replay of the second go to a fresh ledger; it holds each key once."""
     found = materialize(bed.violations(spark, sf), "violations")
@@ -298,7 +303,7 @@ def write_violations(spark, sf):
     early = F.col("timestamp_start") < F.lit("2024-01-15").cast("timestamp")
     for number, batch in enumerate([found.where(early), found.where(~early), found.where(~early)]):
         writer(batch, number)
-    return sinks.read_ledger(spark, path).drop("detected_at")
+    return _ledger_rows(sinks.read_ledger(spark, path))
 
 
 @query("s8_republish_violations", with_views(f"""

@@ -29,7 +29,7 @@ from lanewarden.streaming import jobs, stateful
 _CUT = "2024-01-16"
 _TOPIC = "key string, value binary"
 _UNIFIED = ", ".join(VIOLATION_COLUMNS)
-_STORED = f"SELECT {_UNIFIED}, window_start, CAST(timestamp_start AS DATE) AS date FROM first_rows"
+_STORED = f"SELECT {_UNIFIED}, window_start, CAST(CAST(timestamp_start AS DATE) AS VARCHAR) AS date FROM first_rows"
 
 
 def _periods(crossings: DataFrame, closing: bool = False) -> list[DataFrame]:
@@ -70,6 +70,11 @@ def _replayed_table(spark, sf, transform: Callable[[DataFrame], DataFrame], clos
     return spark.read.parquet(out)
 
 
+def _ledger_rows(table: DataFrame) -> DataFrame:
+    """The ledger without the time of writing, its day as text."""
+    return table.drop("detected_at").withColumn("date", F.col("date").cast("string"))
+
+
 @contextmanager
 def _rocksdb(spark: SparkSession) -> Iterator[None]:
     key = "spark.sql.streaming.stateStore.providerClass"
@@ -146,7 +151,7 @@ def detector(spark, sf):
         _periods(crossings, closing=True),
         lambda events: jobs.start_detector(events, ledger, checkpoint, once=True),
     )
-    return read_ledger(spark, ledger).drop("detected_at")
+    return _ledger_rows(read_ledger(spark, ledger))
 
 
 @query("t7_progress_report", with_views(f"""
@@ -210,4 +215,4 @@ def stop_and_resume(spark, sf):
         return jobs.start_detector(events, ledger, checkpoint, once=True)
 
     replay(spark, _periods(crossings, closing=True), resume)
-    return read_ledger(spark, jobs.run_paths(root, run)[2]).drop("detected_at")
+    return _ledger_rows(read_ledger(spark, jobs.run_paths(root, run)[2]))
