@@ -27,16 +27,37 @@ from lanewarden.streaming import jobs, stateful
 
 # The periods of a replay meet here; all driver tables cover the month around it.
 _CUT = "2024-01-16"
+# Rows of one landing; the join keeps about two state rows for each.
+PERIOD_ROWS = 1_000_000_000
 _TOPIC = "key string, value binary"
 _UNIFIED = ", ".join(VIOLATION_COLUMNS)
 _STORED = f"SELECT {_UNIFIED}, window_start, CAST(CAST(timestamp_start AS DATE) AS VARCHAR) AS date FROM first_rows"
 
 
 def _periods(crossings: DataFrame, closing: bool = False) -> list[DataFrame]:
-    """The crossings before and after the cut, the second with the closing one if asked for."""
-    cut = F.lit(_CUT).cast("timestamp")
-    first, second = crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)
-    return [first, second.unionByName(_closing(crossings), allowMissingColumns=True) if closing else second]
+    """The crossings in time order, in as many landings as keep each below ``PERIOD_ROWS``.
+
+    A landing is one micro-batch, whose rows enter the state before the watermark moves. Few rows
+    are simply split at the cut. Many are written once, split by time at equal counts, and each
+    landing then reads its own part. With ``closing``, the last landing has the closing crossing.
+    """
+    rows = crossings.count()
+    if rows <= 2 * PERIOD_ROWS:
+        cut = F.lit(_CUT).cast("timestamp")
+        landings = [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)]
+    else:
+        n = -(-rows // PERIOD_ROWS)
+        at = F.unix_micros("event_time")
+        cuts = crossings.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 10_000)).first()[0]
+        period = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= at))
+        staged = scratch_path(crossings.sparkSession, "periods")
+        split = crossings.withColumn("period", period).hint("rebalance", "period")
+        split.write.partitionBy("period").parquet(staged)
+        read = crossings.sparkSession.read.schema(crossings.schema)
+        landings = [read.parquet(f"{staged}/period={i}") for i in range(n)]
+    if closing:
+        landings[-1] = landings[-1].unionByName(_closing(crossings), allowMissingColumns=True)
+    return landings
 
 
 def _closing(crossings: DataFrame) -> DataFrame:
@@ -131,7 +152,7 @@ def ledger_stream(spark, sf):
 def late_rows_dropped(spark, sf):
     """After all windows have closed, the first period lands again under other plates: too late."""
     crossings = bed.crossings(spark, sf)
-    late = _periods(crossings)[0].withColumn("car_plate", F.concat(F.lit("LATE"), F.col("car_plate")))
+    late = crossings.where(F.col("event_time") < F.lit(_CUT).cast("timestamp")).withColumn("car_plate", F.concat(F.lit("LATE"), F.col("car_plate")))
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
     replay(
         spark,
@@ -160,9 +181,10 @@ FROM (SELECT CAST(event_time >= TIMESTAMP '{_CUT}' AS BIGINT) AS batch_id, count
 def progress_report(spark, sf):
     """One record per micro-batch with input; the measured rates are left out."""
     log, out, checkpoint = jobs.ProgressLog(), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    crossings, cut = bed.crossings(spark, sf), F.lit(_CUT).cast("timestamp")
     for run in replay(
         spark,
-        _periods(bed.crossings(spark, sf)),
+        [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)],
         lambda events: jobs.append_table(detect.detect_instantaneous(events), out, checkpoint, once=True),
     ):
         log.poll(run)
@@ -186,7 +208,9 @@ def camera_refresh(spark, sf):
     columns = ["event_id", "car_plate", "camera_id", "event_time", "speed_reading"]
     raw = bed.crossings(spark, sf).select(columns)
     known = [bed.cameras(spark).where("camera_id % 3 <> 0"), bed.cameras(spark).where("camera_id % 3 = 0")]
-    for period, cameras in zip(_periods(raw), known):
+    cut = F.lit(_CUT).cast("timestamp")
+    halves = [raw.where(F.col("event_time") < cut), raw.where(F.col("event_time") >= cut)]
+    for period, cameras in zip(halves, known):
         cameras.write.mode("append").parquet(table)
         period.write.mode("append").parquet(topic)
         jobs.start_enrichment(
@@ -207,7 +231,8 @@ def stop_and_resume(spark, sf):
     crossings = bed.crossings(spark, sf)
     root = scratch_path(spark, "runs")
     abandoned, checkpoint, ledger = jobs.run_paths(root)
-    replay(spark, _periods(crossings)[:1], lambda e: jobs.start_detector(e, ledger, checkpoint, once=True))
+    early = crossings.where(F.col("event_time") < F.lit("2024-01-03").cast("timestamp"))
+    replay(spark, [early], lambda e: jobs.start_detector(e, ledger, checkpoint, once=True))
     run, _, _ = jobs.run_paths(root, abandoned, reset=True)
 
     def resume(events: DataFrame) -> StreamingQuery:

@@ -120,3 +120,13 @@ def test_export_and_copies(spark, tmp_path, crossings):
     assert sinks.read_ledger(spark, copy).count() == 2
     sent = sinks.republish_violations(stored).where("key = 'A'").first()
     assert '"timestamp_start":"2024-01-01T08:00:00"' in sent["value"]
+
+
+def test_detectors_read_only_their_columns(spark, tmp_path, crossings):
+    crossings([("A", 1, 0, 0, 90, 120.0)]).withColumn("note", F.lit("x")).write.parquet(str(tmp_path / "c"))
+    events = spark.read.parquet(str(tmp_path / "c"))
+    average = detect.detect_average(events)._jdf.queryExecution().executedPlan().toString()
+    assert "speed_reading:double" not in average and "note" not in average
+    spot = detect.detect_instantaneous(events)._jdf.queryExecution().executedPlan().toString()
+    assert "camera_index" not in spot and "note" not in spot
+    assert "IsNotNull(speed_reading)" in spot

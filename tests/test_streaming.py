@@ -9,6 +9,7 @@ from conftest import T0
 from pyspark.sql import functions as F
 
 from lanewarden.operators import dedup, detect
+from lanewarden.plans import streams
 from lanewarden.plans.streams import _rocksdb, replay
 from lanewarden.sources.sinks import read_ledger
 from lanewarden.streaming import jobs, stateful
@@ -141,6 +142,16 @@ def test_progress_counts_rows_once(spark, tmp_path, crossings):
     assert [(r["input_rows"], r["total_rows"]) for r in found] == [(3, 3), (2, 5)]
 
 
+def test_many_rows_land_in_periods_of_bounded_size(spark, crossings, monkeypatch):
+    monkeypatch.setattr(streams, "PERIOD_ROWS", 30)
+    rows = crossings([("A", 1, 0, s, 90, 80.0) for s in range(100)])
+    parts = streams._periods(rows.withColumn("event_id", F.lit(1)), closing=True)
+    sizes = [p.count() for p in parts]
+    assert len(parts) == 4 and sum(sizes) == 101 and max(sizes) <= 30
+    spans = [p.agg(F.min("event_time"), F.max("event_time")).first() for p in parts]
+    assert all(before[1] < after[0] for before, after in zip(spans, spans[1:]))
+
+
 def test_window_must_divide_the_hour(spark, crossings):
     for width in ("7 minutes", "90 minutes", "30 seconds"):
         with pytest.raises(ValueError):
