@@ -43,6 +43,7 @@ STORED_VIOLATION = T.StructType(
 )
 LEDGER_KEY = ["car_plate", "window_start"]
 
+# The columns of the CSV export, in order.
 EXPORT_COLUMNS = VIOLATION_COLUMNS + ["date", "detected_at"]
 
 LANE = _fields(("lane_id", _I), ("name", _S))
