@@ -15,18 +15,21 @@ SLICE = "_slice"
 HOME = "_home"
 
 
-def slice_of(ts: Column, width_s: int) -> Column:
-    """Start, in epoch microseconds, of the slice holding ``ts``."""
+def _micros(seconds: int | Column) -> Column:
+    return (seconds if isinstance(seconds, Column) else F.lit(seconds)).cast("long") * 1_000_000
+
+
+def slice_of(ts: Column, width_s: int | Column) -> Column:
+    """Start, in epoch microseconds, of the slice holding ``ts``; the width may differ by row."""
     micros = F.unix_micros(ts)
-    return micros - F.pmod(micros, F.lit(width_s * 1_000_000))
+    return micros - F.pmod(micros, _micros(width_s))
 
 
-def slices_reached(ts: Column, back_s: int, ahead_s: int, width_s: int) -> Column:
+def slices_reached(ts: Column, back_s: int, ahead_s: int, width_s: int | Column) -> Column:
     """Starts of every slice that meets ``[ts - back, ts + ahead]``."""
-    width = width_s * 1_000_000
-    micros = F.unix_micros(ts)
-    low, high = micros - F.lit(back_s * 1_000_000), micros + F.lit(ahead_s * 1_000_000)
-    return F.sequence(low - F.pmod(low, F.lit(width)), high - F.pmod(high, F.lit(width)), F.lit(width))
+    width, micros = _micros(width_s), F.unix_micros(ts)
+    low, high = micros - _micros(back_s), micros + _micros(ahead_s)
+    return F.sequence(low - F.pmod(low, width), high - F.pmod(high, width), width)
 
 
 def with_slices(df: DataFrame, ts: str, *, back_s: int, ahead_s: int, width_s: int) -> DataFrame:

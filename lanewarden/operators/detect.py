@@ -87,10 +87,14 @@ def offending_segments(
     sits in its own slice, the earlier one is copied into the slices its window reaches, so a pair
     meets exactly once and a long history is never compared with itself as a whole. Slices are six
     windows wide by default, which copies one earlier crossing in six. ``hot_plates`` (see
-    :func:`frequent_plates`) are spread further over ``hot_splits`` salted keys.
+    :func:`frequent_plates`) have slices of a sixth of the window instead, so that each crossing
+    meets hardly more than those in its window, and are spread over ``hot_splits`` salted keys.
     """
     span = duration_seconds(window)
     width = duration_seconds(slice_width) if slice_width else 6 * span
+    hot = F.col("car_plate").isin(list(hot_plates))
+    if hot_plates:
+        width = F.when(hot, max(1, span // 6)).otherwise(width)
     first = events.select(
         "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "event_time",
         F.explode(slices_reached(F.col("event_time"), 0, span, width)).alias(SLICE),
@@ -101,7 +105,6 @@ def offending_segments(
     )
     keys = ["car_plate", "lane_id", SLICE]
     if hot_plates:
-        hot = F.col("car_plate").isin(list(hot_plates))
         salts = F.when(hot, F.sequence(F.lit(0), F.lit(hot_splits - 1))).otherwise(F.array(F.lit(0)))
         salt = F.pmod(F.xxhash64("event_time", "camera_id"), F.lit(hot_splits)).cast("int")
         first = first.withColumn("_salt", F.explode(salts))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lanewarden.functions import scalars as S
 from lanewarden.functions.ordering import nearest_rank, values_at_ranks
 from lanewarden.operators import ledger as L
-from lanewarden.operators import live, metrics, trips
+from lanewarden.operators import live, metrics
 from lanewarden.operators.detect import VIOLATION_COLUMNS
 from lanewarden.plans import testbed as bed
 from lanewarden.plans.registry import query
