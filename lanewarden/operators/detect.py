@@ -74,7 +74,7 @@ def offending_segments(
     window: str = JOIN_WINDOW,
     slice_width: str | None = None,
     hot_plates: Sequence[str] = (),
-    hot_splits: int = 16,
+    hot_splits: int = 4,
 ) -> DataFrame:
     """Segments whose average speed is over the limit of the camera reached second.
 
@@ -121,7 +121,10 @@ def offending_segments(
     for key in keys:
         same_journey = (F.col(f"a.{key}") == F.col(f"b.{key}")) & same_journey
     dt = seconds_between(start, end)
-    pairs = a.join(b, same_journey).select(
+    limit = F.col("b.speed_limit")
+    speed = segment_speed(F.abs(F.col("b.position_km") - F.col("a.position_km")), dt)
+    # One condition, cheapest tests first: most candidates fail on camera or time, before a division.
+    return a.join(b, same_journey & (dt > 0) & (speed > limit)).select(
         F.col("a.car_plate").alias("car_plate"),
         F.col("a.lane_id").alias("lane_id"),
         F.col("a.camera_id").alias("camera_id_start"),
@@ -130,12 +133,10 @@ def offending_segments(
         F.col("b.position_km").alias("position_end_km"),
         start.alias("timestamp_start"),
         end.alias("timestamp_end"),
-        F.col("b.speed_limit").alias("speed_limit"),
-        segment_speed(F.abs(F.col("b.position_km") - F.col("a.position_km")), dt).alias("avg_speed"),
+        limit.alias("speed_limit"),
+        speed.alias("avg_speed"),
         F.abs(F.col("b.camera_index") - F.col("a.camera_index")).alias("steps"),
-        dt.alias("_dt"),
     )
-    return pairs.where((F.col("_dt") > 0) & (F.col("avg_speed") > F.col("speed_limit"))).drop("_dt")
 
 
 def detect_average(events: DataFrame, strategy: str = ADJACENT, **options) -> DataFrame:

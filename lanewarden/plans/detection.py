@@ -179,7 +179,7 @@ def average_hot_plates(spark, sf):
     """The all-pairs join with the plates that hold over half a percent of the rows salted."""
     crossings = bed.crossings(spark, sf)
     hot = detect.frequent_plates(crossings, 0.005)
-    return detect.detect_average(crossings, detect.ALL_PAIRS, hot_plates=hot, hot_splits=8)
+    return detect.detect_average(crossings, detect.ALL_PAIRS, hot_plates=hot)
 
 
 @query("x1_detect_average_last_crossing", with_views("""
