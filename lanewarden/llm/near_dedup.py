@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from lanewarden.llm.batches import SPACED, Words, add_columns, small_batches, utf8
 from lanewarden.llm.components import connected_components
+from lanewarden.llm.filters import possible_rows
 from lanewarden.session import materialize
 
 ROWS, BANDS = 8, 40
@@ -182,7 +183,8 @@ def _linked(members: DataFrame, docs: DataFrame, percent: int, k: int, key: str,
     weight = members.groupBy("component").agg(F.sum("n_shingles").alias("_all"))
     weight = weight.select("component", F.ceil(F.col("_all") / BLOCK_SHINGLES).cast("int").alias("_blocks"))
     placed = members.join(weight, "component").withColumn("_mine", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-    texts = placed.join(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id")
+    wanted = possible_rows(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), placed, "id")
+    texts = placed.hint("shuffle_merge").join(wanted, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     units = texts.withColumn("_other", other).select(
         "component", F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"), "id", "text"
@@ -228,8 +230,11 @@ def near_duplicates(
     members = materialize(members, "members")
     components = connected_components(_linked(members, docs, percent, k, key, text))
     components = components.select(F.col("node").alias("class"), "component")
-    answered = sets.join(classes, ["n_shingles", "set_a", "set_b"], "left").join(components, "class", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class", "id"))
+    named = classes.join(components, "class", "left").select(
+        "n_shingles", "set_a", "set_b", F.coalesce("component", "class").alias("component")
+    )
+    answered = sets.join(named, ["n_shingles", "set_a", "set_b"], "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return answered.select(
         F.col("id").alias(key), "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
@@ -237,7 +242,15 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of ``docs``, one row of each group of near-duplicates, with their own columns."""
-    found = near_duplicates(docs, k=k, percent=percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else kept
+    """The documents of ``docs``, one row of each group of near-duplicates, with their own columns.
+
+    Rows without a doc_id stay. Only rows that may be dropped are shuffled.
+    """
+    found = materialize(near_duplicates(docs, k=k, percent=percent), "near")
+    dropped = found.where("not kept").select("doc_id").distinct()
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    touched = materialize(dropped.unionByName(repeated).distinct(), "touched")
+    named, free = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    chosen = possible_rows(named, touched, "doc_id").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    clear = possible_rows(named, touched, "doc_id", others=True)
+    return clear.unionByName(chosen.select(*docs.columns)).unionByName(free)

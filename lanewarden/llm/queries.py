@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lanewarden.llm import decontaminate, near_dedup, packing, vectors, warc
+from lanewarden.llm import decontaminate, licenses, near_dedup, packing, quality, repeats, secrets, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,11 +43,39 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op2_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.perplexities(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ["doc_id", "lang"])
+
+
 @_query
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")), ["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
+@_query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"), ["doc_id"], n=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@_query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.find_licenses(_table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 @_query
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
