@@ -35,8 +35,8 @@ from lanewarden.llm.batches import PLAIN, Words, add_columns, small_batches, utf
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 WINDOW = 1
-PER_CLASS = 1500
-NEGATIVES = 3
+PER_CLASS = 800
+NEGATIVES = 2
 LONGEST = 200_000
 GRAMS = (3, 5)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -61,10 +61,10 @@ def subwords(words: Words, low: int, high: int) -> tuple[np.ndarray, np.ndarray]
     owner = np.repeat(np.arange(len(sizes)), sizes)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     stream[borders[owner] + 1 + within] = words.alphabet.fold[words.data[starts[owner] + within]]
-    place = np.repeat(np.arange(len(sizes)), sizes + 1)
+    place = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
     after = borders[1:][place]
     at = np.arange(len(place))
-    found = [(np.arange(len(sizes)), _bucket(words.hashes[low:high]))]
+    found = [(np.arange(len(sizes), dtype=np.int32), _bucket(words.hashes[low:high]))]
     rolled = stream[:-1] + np.uint64(1)
     for n in range(2, GRAMS[1] + 1):
         rolled = rolled[: len(stream) - n + 1] * np.uint64(0x100000001B3) + stream[n - 1 :][: len(rolled)]
@@ -129,16 +129,19 @@ def fit(texts: pa.Array, labels: np.ndarray, share: float, *, epochs: int = 100,
     lone = Words.__new__(Words)
     lone.data, lone.alphabet = words.data, words.alphabet
     lone.starts, lone.ends, lone.hashes = (x[some[order]] for x in (words.starts, words.ends, words.hashes))
-    word, bucket = subwords(lone, 0, len(order))
-    by_word = np.argsort(word, kind="stable")
-    bucket = bucket[by_word]
-    per_word = np.bincount(word, minlength=len(order))
+    pieces = []
+    for low in range(0, len(order), _PIECE_WORDS):
+        word, bucket = subwords(lone, low, min(low + _PIECE_WORDS, len(order)))
+        turn = np.argsort(word, kind="stable")
+        pieces.append((word[turn] + np.int32(low), bucket[turn]))
+    spread, bucket = (np.concatenate(x) for x in zip(*pieces))
+    del pieces
+    per_word = np.bincount(spread, minlength=len(order))
     begin = np.concatenate([[0], np.cumsum(per_word)])[:-1]
     starts, text = _windows(words.first)
     sizes = np.minimum(starts + WINDOW, words.first[1:][text]) - starts
     first_window = np.searchsorted(text, np.arange(len(labels)))
     has = np.bincount(text, minlength=len(labels)) > 0
-    spread = np.repeat(np.arange(len(order)), per_word)
 
     draw = np.random.default_rng(1)
     vectors = draw.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
