@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date as Date
+from datetime import datetime
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +42,7 @@ def filter_violations(
     if car_plate:
         found = found.where(F.col("car_plate") == car_plate)
     if date:
-        day = Date.fromisoformat(date[:10])
+        day = datetime.fromisoformat(date).date()
         found = found.where((F.col("date") >= F.lit(day)) & (F.col("date") < F.lit(day + timedelta(days=1))))
     return found
 

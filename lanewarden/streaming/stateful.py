@@ -61,13 +61,17 @@ class _LiveVehicle(StatefulProcessor):
 
 
 def live_vehicle_stream(events: DataFrame, ttl_s: float = VEHICLE_TTL_S) -> DataFrame:
-    """Updates of the live picture: ``seen`` at each batch a vehicle crosses in, ``gone`` once expired."""
+    """Updates of the live picture: ``seen`` at each batch a vehicle crosses in, ``gone`` once expired.
+
+    A crossing without a time, plate, lane, camera or position says nothing about where a vehicle is
+    and is left out; one without a reading counts as within the limit.
+    """
     keyed = events.select(
         "car_plate", "lane_id", "camera_id", "position_km", "speed_reading",
         F.coalesce(F.col("speed_reading") > F.col("speed_limit"), F.lit(False)).alias("over"),
         F.unix_micros("event_time").alias("seen_us"),
         "event_time",
-    ).where(F.col("event_time").isNotNull() & F.col("car_plate").isNotNull())
+    ).dropna(subset=["event_time", "car_plate", "lane_id", "camera_id", "position_km"])
     return keyed.groupBy("car_plate").transformWithStateInPandas(
         _LiveVehicle(round(ttl_s * 1_000_000)), LIVE_ROW, "Append", "EventTime"
     )
