@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewarden.llm import decontaminate, licenses, near_dedup, packing, quality, repeats, secrets, toxicity, vectors, warc
+from lanewarden.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def _query(fn: Query) -> Query:
