@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,7 +51,16 @@ def _locate(counts: DataFrame, key: str) -> DataFrame:
 def values_at_ranks(
     df: DataFrame, value: str, ranks: Mapping[str, Column], *, fine_bits: int = 15, coarse_bits: int = 30
 ) -> DataFrame:
-    """One row with the value at each 0-based rank of the sorted whole-number column ``value``.
+    """One row with the value at each 0-based rank of the sorted whole-number column ``value``."""
+    hits = located_ranks(df, value, ranks, fine_bits=fine_bits, coarse_bits=coarse_bits)
+    return hits.agg(*[F.max(F.when(F.col("_q") == k, F.col("_v"))).alias(k) for k in ranks])
+
+
+def located_ranks(
+    df: DataFrame, value: str, ranks: Mapping[str, Column], *, fine_bits: int = 15, coarse_bits: int = 30
+) -> DataFrame:
+    """Per 0-based rank of the sorted whole-number column ``value``: ``_q``, the value ``_v`` there, and
+    ``_rank``, the place among the rows that share the value. Ranks that are null give no row.
 
     ``ranks`` maps output names to expressions over ``n``, the row count. No step sorts the rows.
     They are counted per fine bin of ``2**fine_bits``; those counts are summed per coarse bin, and
@@ -78,8 +87,31 @@ def values_at_ranks(
     per_value = binned.join(F.broadcast(in_fine), "_fine").groupBy("_q", "_rank", "_v").agg(
         F.count(F.lit(1)).alias("_c")
     )
-    hits = _locate(per_value, "_v")
-    return hits.agg(*[F.max(F.when(F.col("_q") == k, F.col("_v"))).alias(k) for k in ranks])
+    return _locate(per_value, "_v")
+
+
+def ranked_slice(df: DataFrame, position: Column, order: Sequence[Column], skip: int, limit: int) -> DataFrame:
+    """Rows ``skip`` to ``skip + limit - 1`` of ``order``, in that order, wherever in the table they lie.
+
+    ``position`` is a whole number, never null, that rises with ``order``; rows may share one. Counts
+    locate the positions at both ends; only rows from one to the other are sorted, as a top-k of the
+    slice and what shares its first position. Nothing is written, and rows skipped are not moved.
+    """
+    placed = df.withColumn("_position", position)
+    first = F.when(F.col("n") > skip, F.lit(skip))
+    last = F.least(F.col("n") - 1, F.lit(skip + limit - 1))
+    ends = {row["_q"]: row for row in located_ranks(placed, "_position", {"first": first, "last": last}).collect()}
+    if "first" not in ends:
+        return df.where(F.lit(False))
+    low, high, shared = ends["first"]["_v"], ends["last"]["_v"], ends["first"]["_rank"]
+    near = placed.where(F.col("_position").between(low, high)).drop("_position")
+    return near.orderBy(*order).offset(shared).limit(limit)
+
+
+def text_position(text: Column) -> Column:
+    """The first seven bytes of ``text`` as a whole number that rises with it; null is lowest."""
+    head = F.rpad(F.substring(F.hex(text), 1, 14), 14, "0")
+    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
 
 
 def nearest_rank(q: float) -> Column:

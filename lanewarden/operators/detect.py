@@ -163,26 +163,29 @@ def all_violations(events: DataFrame, strategy: str = ADJACENT, **options) -> Da
     return detect_instantaneous(events).unionByName(detect_average(events, strategy, **options))
 
 
-def first_of(violations: DataFrame, *keys: Column) -> DataFrame:
+def first_of(violations: DataFrame, *keys: str | Column) -> DataFrame:
     """The first violation per key in the order start, type, end, cameras, then the other columns.
 
     Every task keeps only the first row per key before the shuffle, so one key never gathers more
     rows than there are tasks: a ranked limit on a table, a minimum over a struct on a stream.
-    Returns the key columns and the violation.
+    Returns the violation with its keys: a name is a column as it is, so filters on it pass below the
+    ranking; an expression at place ``i`` is ``_key{i}``.
     """
     rest = [c for c in VIOLATION_COLUMNS if c not in FIRST_ORDER]
-    keyed = violations.select("*", *[k.alias(f"_key{i}") for i, k in enumerate(keys)])
-    names = [f"_key{i}" for i in range(len(keys))]
+    names = [k if isinstance(k, str) else f"_key{i}" for i, k in enumerate(keys)]
+    made = [k.alias(n) for k, n in zip(keys, names) if not isinstance(k, str)]
+    keyed = violations.select("*", *made)
     if violations.isStreaming:
         least = keyed.groupBy(*names).agg(F.min(F.struct(*FIRST_ORDER, *rest)).alias("_first"))
-        return least.select(*names, *[F.col(f"_first.{c}").alias(c) for c in VIOLATION_COLUMNS])
+        body = [F.col(f"_first.{c}").alias(c) for c in VIOLATION_COLUMNS]
+        return least.select(*[n for n in names if n not in VIOLATION_COLUMNS], *body)
     ranked = Window.partitionBy(*names).orderBy(*FIRST_ORDER, *rest)
     return keyed.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def build_violations(events: DataFrame, strategy: str = ADJACENT, **options) -> DataFrame:
     """One violation per plate over the whole input table: the first of either kind."""
-    return first_of(all_violations(events, strategy, **options), F.col("car_plate")).select(VIOLATION_COLUMNS)
+    return first_of(all_violations(events, strategy, **options), "car_plate").select(VIOLATION_COLUMNS)
 
 
 def compare_plates(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -74,29 +74,35 @@ def append_cameras(
     return _as_cameras(numbered.withColumn("camera_id", highest + F.col("ordinal") + 1))
 
 
-def _removal(cameras: DataFrame, lanes: DataFrame, lane_ids: DataFrame) -> DataFrame:
-    wanted = known_lane_requests(lane_ids.select("lane_id").distinct(), lanes)
-    ends = cameras.groupBy("lane_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.struct("position_km", "camera_id", "speed_limit")).alias("_end")
-    )
-    return wanted.join(ends, "lane_id", "left").withColumn(
-        "refused", F.coalesce(F.col("_n"), F.lit(0)) <= MIN_CAMERAS_PER_LANE
-    )
+def _removal(cameras: DataFrame, lanes: DataFrame, requests: DataFrame) -> DataFrame:
+    """Known lanes asked for: how often, and how many of the requests leave enough cameras to be served."""
+    asked = requests.groupBy("lane_id").agg(F.count(F.lit(1)).alias("_asked"))
+    held = camera_counts_by_lane(cameras)
+    spare = F.coalesce("camera_count", F.lit(0)) - MIN_CAMERAS_PER_LANE
+    served = F.greatest(F.lit(0), F.least("_asked", spare)).alias("_served")
+    return known_lane_requests(asked, lanes).join(held, "lane_id", "left").select("lane_id", "_asked", served)
 
 
-def remove_last_cameras(cameras: DataFrame, lanes: DataFrame, lane_ids: DataFrame) -> DataFrame:
-    """The last camera of each lane named, as removed. Refused lanes and unknown ones give no row."""
-    gone = _removal(cameras, lanes, lane_ids).where(~F.col("refused"))
-    return gone.select("_end.camera_id", "lane_id", "_end.position_km", "_end.speed_limit")
+def remove_last_cameras(cameras: DataFrame, lanes: DataFrame, requests: DataFrame) -> DataFrame:
+    """The cameras removed: each request takes the last one left of its lane, while enough stay.
+
+    ``requests`` has a row per request with its ``lane_id``; refused requests and unknown lanes give
+    no row. The window holds the cameras of one road.
+    """
+    served = _removal(cameras, lanes, requests).where("_served > 0").select("lane_id", "_served")
+    from_end = Window.partitionBy("lane_id").orderBy(F.desc("position_km"), F.desc("camera_id"))
+    ranked = cameras.join(served, "lane_id").withColumn("_place", F.row_number().over(from_end))
+    return ranked.where("_place <= _served").select(_CAMERA_COLUMNS)
 
 
-def refused_removals(cameras: DataFrame, lanes: DataFrame, lane_ids: DataFrame) -> DataFrame:
-    """Lanes that would be left with too few cameras to measure an average."""
-    return _removal(cameras, lanes, lane_ids).where("refused").select("lane_id")
+def refused_removals(cameras: DataFrame, lanes: DataFrame, requests: DataFrame) -> DataFrame:
+    """Per lane, how many requests would have left too few cameras to measure an average."""
+    refused = (F.col("_asked") - F.col("_served")).alias("refused")
+    return _removal(cameras, lanes, requests).select("lane_id", refused).where("refused > 0")
 
 
-def cameras_after_removal(cameras: DataFrame, lanes: DataFrame, lane_ids: DataFrame) -> DataFrame:
-    return cameras.join(remove_last_cameras(cameras, lanes, lane_ids).select("camera_id"), "camera_id", "left_anti")
+def cameras_after_removal(cameras: DataFrame, lanes: DataFrame, requests: DataFrame) -> DataFrame:
+    return cameras.join(remove_last_cameras(cameras, lanes, requests).select("camera_id"), "camera_id", "left_anti")
 
 
 def camera_config_diff(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -8,14 +8,11 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanewarden.functions.ordering import global_ordinal
+from lanewarden.functions.ordering import ranked_slice, text_position
 from lanewarden.functions.scalars import has_prefix, iso_text, violation_id, violation_key
 from lanewarden.schemas import CAR, EXPORT_COLUMNS
 from lanewarden.settings import AVERAGE, FEED_LENGTH, INSTANTANEOUS, PAGE_LIMIT_MAX, VIOLATION_TYPES
 
-# Beyond this many rows to skip, a page is cut out of a distributed order instead of a top-k.
-DEEP_PAGE_ROWS = 100_000
-
 
 # --- filters and lookups --------------------------------------------------------------------
 
@@ -52,29 +49,18 @@ def newest_first() -> list[Column]:
     return [F.col("detected_at").desc(), F.col("car_plate").asc(), F.col("window_start").asc()]
 
 
-def _page(df: DataFrame, order: list[Column], skip: int, limit: int) -> DataFrame:
+def _page(df: DataFrame, position: Column, order: list[Column], skip: int, limit: int) -> DataFrame:
     if skip < 0:
         raise ValueError("skip must not be negative")
     if not 1 <= limit <= PAGE_LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {PAGE_LIMIT_MAX}")
-    if skip + limit <= DEEP_PAGE_ROWS:
-        return df.orderBy(*order).offset(skip).limit(limit)
-    return ranked_rows(df, order, skip, limit)
-
-
-def ranked_rows(df: DataFrame, order: list[Column], skip: int, limit: int) -> DataFrame:
-    """Rows ``skip`` to ``skip + limit`` of a total order that no single task holds."""
-    ranked = global_ordinal(df, *order)
-    return ranked.where(F.col("ordinal").between(skip, skip + limit - 1)).drop("ordinal")
+    return ranked_slice(df, position, order, skip, limit)
 
 
 def page_violations(ledger: DataFrame, *, skip: int = 0, limit: int = 50, **filters) -> DataFrame:
-    """One page of the filtered ledger, newest first.
-
-    A shallow page is a top-k, reduced in every task before rows move. A deep one numbers the
-    rows in a distributed order, since a top-k would bring all skipped rows to one task.
-    """
-    return _page(filter_violations(ledger, **filters), newest_first(), skip, limit)
+    """One page of the filtered ledger, newest first, found in the same way however deep it lies."""
+    age = F.coalesce(-F.unix_micros("detected_at"), F.lit(1 << 62))
+    return _page(filter_violations(ledger, **filters), age, newest_first(), skip, limit)
 
 
 def matching_total(ledger: DataFrame, **filters) -> DataFrame:
@@ -88,7 +74,7 @@ def search_cars(cars: DataFrame, plate_prefix: str | None = None) -> DataFrame:
 
 
 def page_cars(cars: DataFrame, plate_prefix: str | None = None, *, skip: int = 0, limit: int = 50) -> DataFrame:
-    return _page(search_cars(cars, plate_prefix), [F.col("car_plate").asc()], skip, limit)
+    return _page(search_cars(cars, plate_prefix), text_position(F.col("car_plate")), [F.col("car_plate").asc()], skip, limit)
 
 
 def car_plates(cars: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewarden.operators.ledger import newest_first
-from lanewarden.session import broadcast_if_small
 from lanewarden.settings import (
     AVERAGE,
     CAMERA_PULSE_S,
@@ -32,7 +31,7 @@ def latest_n_per_lane(events: DataFrame, n: int = LANE_QUEUE_LENGTH) -> DataFram
 def over_limit(events: DataFrame, cameras: DataFrame) -> DataFrame:
     """Crossings of known cameras with ``over``: reading above the event's limit, else the camera's."""
     limits = cameras.select("camera_id", F.col("speed_limit").alias("_camera_limit"))
-    joined = events.join(broadcast_if_small(limits), "camera_id")
+    joined = events.join(limits, "camera_id")
     limit = F.coalesce("speed_limit", "_camera_limit")
     return joined.withColumn("over", F.col("speed_reading") > limit).drop("_camera_limit")
 

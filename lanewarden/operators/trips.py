@@ -1,4 +1,4 @@
-"""Trips: expanding them to crossings, recovering them from crossings, and summing them up."""
+"""Trips: recovering them from crossings, and summing them up."""
 
 from __future__ import annotations
 
@@ -8,20 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewarden.functions.scalars import (
-    behaviour_of,
     micros_between,
     seconds_between,
     segment_speed,
     trip_label,
 )
 from lanewarden.functions.timeline import HOME, SLICE, with_slices
-from lanewarden.session import broadcast_if_small
 from lanewarden.operators.detect import to_unified
 from lanewarden.settings import AVERAGE, JOIN_WINDOW, duration_seconds
 
-# The shares of the three driving behaviours.
-DEFAULT_MIX = {"normal": 0.7, "speeder": 0.2, "sneaky": 0.1}
-
 
 def index_cameras(cameras: DataFrame) -> DataFrame:
     """Add ``camera_index``, the 0-based ordinal along the lane.
@@ -35,53 +30,15 @@ def index_cameras(cameras: DataFrame) -> DataFrame:
 def enrich_crossings(raw: DataFrame, cameras: DataFrame) -> DataFrame:
     """Add lane, index, position and limit of the camera; crossings of unknown cameras are skipped.
 
-    The cameras are broadcast only if a bounded count finds them few.
+    The join is left unmarked: the planner broadcasts the cameras if their bytes are few.
     """
     indexed = index_cameras(cameras).select("camera_id", "lane_id", "camera_index", "position_km", "speed_limit")
-    return raw.join(broadcast_if_small(indexed, cameras), "camera_id")
+    return raw.join(indexed, "camera_id")
 
 
 def unknown_camera_count(raw: DataFrame, cameras: DataFrame) -> DataFrame:
     """One row: how many crossings :func:`enrich_crossings` skips."""
-    known = broadcast_if_small(cameras.select("camera_id"))
-    return raw.join(known, "camera_id", "left_anti").agg(F.count(F.lit(1)).alias("skipped"))
-
-
-def draw_trips(starts: DataFrame, draw: Column, mix: dict[str, float] | None = None) -> DataFrame:
-    """Give each trip start a behaviour from ``draw`` in 0..1; the draw is data, so it is repeatable."""
-    return starts.withColumn("behavior", behaviour_of(draw, mix or DEFAULT_MIX))
-
-
-def expand_trips(trips: DataFrame, cameras: DataFrame) -> DataFrame:
-    """One crossing per trip and camera of its lane.
-
-    ``trips`` has ``trip_id, car_plate, lane_id, start_time, behavior, between_factor`` (speed
-    between cameras as a share of the lane's lowest limit for ``normal``, its highest otherwise),
-    ``spot_jitter`` (km/h added to the reading) and ``spot_share`` (a sneaky driver's reading as a
-    share of the limit). The running travel time is folded into the camera side, as the distance
-    from the lane's first camera, so trips are expanded in place with no shuffle of their own.
-    """
-    lane = Window.partitionBy("lane_id")
-    road = index_cameras(cameras).select(
-        "camera_id", "lane_id", "camera_index", "position_km", "speed_limit",
-        (F.col("position_km") - F.min("position_km").over(lane)).alias("_from_start_km"),
-        F.min("speed_limit").over(lane).alias("_lowest"),
-        F.max("speed_limit").over(lane).alias("_highest"),
-    )
-    normal, sneaky = F.col("behavior") == "normal", F.col("behavior") == "sneaky"
-    between = F.col("between_factor") * F.when(normal, F.col("_lowest")).otherwise(F.col("_highest"))
-    spot = (
-        F.when(normal, F.least(between + F.col("spot_jitter"), F.col("speed_limit") - 1.0))
-        .when(sneaky, F.col("spot_share") * F.col("speed_limit"))
-        .otherwise(between + F.col("spot_jitter"))
-    )
-    millis = F.round(F.col("_from_start_km") * F.lit(3600000.0) / between).cast("long")
-    return trips.join(broadcast_if_small(road, cameras), "lane_id").select(
-        "trip_id", "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit",
-        F.timestamp_micros(F.unix_micros("start_time") + millis * 1000).alias("event_time"),
-        F.round(spot, 1).alias("speed_reading"),
-        "behavior",
-    )
+    return raw.join(cameras.select("camera_id"), "camera_id", "left_anti").agg(F.count(F.lit(1)).alias("skipped"))
 
 
 def _following(df: DataFrame, window: Window) -> DataFrame:
@@ -183,13 +140,3 @@ def trip_summary(segments: DataFrame, trip_keys: Sequence[str]) -> DataFrame:
         F.bool_or(over_average).alias("expect_average"),
     )
     return summed.withColumn("label", trip_label(F.col("expect_instantaneous"), F.col("expect_average")))
-
-
-def traffic_stats(summaries: DataFrame, behavior: str = "behavior") -> DataFrame:
-    """Trips by behaviour: trips, crossings, and trips expected to trigger each kind."""
-    return summaries.groupBy(behavior).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("n_events").alias("events"),
-        F.count_if("expect_instantaneous").alias("expect_instantaneous"),
-        F.count_if("expect_average").alias("expect_average"),
-    )

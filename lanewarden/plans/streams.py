@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lanewarden.operators import detect
+from lanewarden.operators import dedup, detect
 from lanewarden.operators.detect import VIOLATION_COLUMNS
 from lanewarden.plans import testbed as bed
 from lanewarden.plans.registry import query
@@ -25,36 +25,26 @@ from lanewarden.sources.events import read_events, to_wire
 from lanewarden.sources.sinks import read_ledger
 from lanewarden.streaming import jobs, stateful
 
-# The periods of a replay meet here; all driver tables cover the month around it.
+# The middle of the driver tables' month, where some scenarios change.
 _CUT = "2024-01-16"
-# Rows of one landing; the join keeps about two state rows for each.
-PERIOD_ROWS = 1_000_000_000
+# The span of one landing.
+PERIOD_DAYS = 16
 _TOPIC = "key string, value binary"
 _UNIFIED = ", ".join(VIOLATION_COLUMNS)
 _STORED = f"SELECT {_UNIFIED}, window_start, CAST(CAST(timestamp_start AS DATE) AS VARCHAR) AS date FROM first_rows"
 
 
-def _periods(crossings: DataFrame, closing: bool = False) -> list[DataFrame]:
-    """The crossings in time order, in as many landings as keep each below ``PERIOD_ROWS``.
+def _periods(crossings: DataFrame, closing: bool = False, days: int = PERIOD_DAYS) -> list[DataFrame]:
+    """The crossings in time order, one landing for each ``days`` days that the table covers.
 
-    A landing is one micro-batch, whose rows enter the state before the watermark moves. Few rows
-    are simply split at the cut. Many are written once, split by time at equal counts, and each
-    landing then reads its own part. With ``closing``, the last landing has the closing crossing.
+    A landing is one micro-batch, whose rows enter the state before the watermark moves. With
+    ``closing``, the last landing has the closing crossing.
     """
-    rows = crossings.count()
-    if rows <= 2 * PERIOD_ROWS:
-        cut = F.lit(_CUT).cast("timestamp")
-        landings = [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)]
-    else:
-        n = -(-rows // PERIOD_ROWS)
-        at = F.unix_micros("event_time")
-        cuts = crossings.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 10_000)).first()[0]
-        period = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= at))
-        staged = scratch_path(crossings.sparkSession, "periods")
-        split = crossings.withColumn("period", period).hint("rebalance", "period")
-        split.write.partitionBy("period").parquet(staged)
-        read = crossings.sparkSession.read.schema(crossings.schema)
-        landings = [read.parquet(f"{staged}/period={i}") for i in range(n)]
+    day = 86_400_000_000
+    at = F.unix_micros("event_time")
+    low, high = crossings.agg(F.min(at), F.max(at)).first()
+    starts = range(low - low % day, high + 1, days * day)
+    landings = [crossings.where((at >= start) & (at < start + days * day)) for start in starts]
     if closing:
         landings[-1] = landings[-1].unionByName(_closing(crossings), allowMissingColumns=True)
     return landings
@@ -136,11 +126,30 @@ def flag_once_live(spark, sf):
     return _replayed_table(spark, sf, lambda events: jobs.flag_once_live(detect.all_violations(events)))
 
 
-@query("t3_rolling_flag_stream")
+def _rolling(source: str) -> str:
+    """The flags of ``source``, one plate's chain a recursion."""
+    return with_views(f"""
+SELECT f.car_plate, min(v.violation_type) AS violation_type, f.t AS start_us
+FROM (WITH RECURSIVE s AS (SELECT DISTINCT car_plate, epoch_us(timestamp_start) AS t FROM {source}),
+  chain AS (SELECT car_plate, min(t) AS t FROM s GROUP BY car_plate
+            UNION ALL SELECT c.car_plate, min(s.t) FROM chain c JOIN s ON s.car_plate = c.car_plate AND s.t >= c.t + 600000000
+            GROUP BY c.car_plate)
+  SELECT * FROM chain) f
+JOIN (SELECT car_plate, violation_type, epoch_us(timestamp_start) AS t FROM {source}) v ON v.car_plate = f.car_plate AND v.t = f.t
+GROUP BY f.car_plate, f.t""")
+
+
+@query("t3_rolling_flag", _rolling("violations"))
+def rolling_flag(spark, sf):
+    return dedup.rolling_flag(bed.violations(spark, sf))
+
+
+@query("t3_rolling_flag_stream", _rolling("inst"))
 def rolling_flag_stream(spark, sf):
-    """Arrival order decides here, so there is no SQL for it."""
     with _rocksdb(spark):
-        return _replayed_table(spark, sf, lambda events: stateful.rolling_flag_stream(detect.detect_instantaneous(events)))
+        return _replayed_table(
+            spark, sf, lambda events: stateful.rolling_flag_stream(detect.detect_instantaneous(events)), closing=True
+        )
 
 
 @query("t4_ledger_stream", with_views(f"SELECT {_UNIFIED}, window_start FROM first_rows"))
@@ -170,25 +179,58 @@ def detector(spark, sf):
     replay(
         spark,
         _periods(crossings, closing=True),
-        lambda events: jobs.start_detector(events, ledger, checkpoint, once=True),
+        lambda events: jobs.start_detector(events, ledger, checkpoint, emit="window-close", once=True),
     )
     return _ledger_rows(read_ledger(spark, ledger))
 
 
-@query("t7_progress_report", with_views(f"""
+@query("t6_detector_first_seen", with_views("SELECT car_plate, window_start FROM first_rows"))
+def detector_first_seen(spark, sf):
+    """Stored as detected, without a closing crossing. Landings decide a key's row, so only keys compare."""
+    ledger, checkpoint = scratch_path(spark, "ledger"), scratch_path(spark, "checkpoint")
+    replay(
+        spark,
+        _periods(bed.crossings(spark, sf)),
+        lambda events: jobs.start_detector(events, ledger, checkpoint, once=True),
+    )
+    return read_ledger(spark, ledger).select("car_plate", "window_start")
+
+
+_LANDED = with_views(f"""
 SELECT batch_id, input_rows, CAST(sum(input_rows) OVER (ORDER BY batch_id) AS BIGINT) AS total_rows
-FROM (SELECT CAST(event_time >= TIMESTAMP '{_CUT}' AS BIGINT) AS batch_id, count(*) AS input_rows FROM crossings GROUP BY ALL)"""))
-def progress_report(spark, sf):
-    """One record per micro-batch with input; the measured rates are left out."""
-    log, out, checkpoint = jobs.ProgressLog(), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+FROM (SELECT CAST(event_time >= TIMESTAMP '{_CUT}' AS BIGINT) AS batch_id, count(*) AS input_rows FROM crossings GROUP BY ALL)""")
+
+
+def _progress(spark, sf, log: jobs.ProgressLog, start: Callable[[DataFrame], StreamingQuery]) -> DataFrame:
+    """One record per micro-batch with input, from a table; the measured rates are left out."""
     crossings, cut = bed.crossings(spark, sf), F.lit(_CUT).cast("timestamp")
-    for run in replay(
-        spark,
-        [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)],
-        lambda events: jobs.append_table(detect.detect_instantaneous(events), out, checkpoint, once=True),
-    ):
+    halves = [crossings.where(F.col("event_time") < cut), crossings.where(F.col("event_time") >= cut)]
+    path = scratch_path(spark, "progress")
+    for run in replay(spark, halves, start):
         log.poll(run)
-    return log.table(spark).where("input_rows > 0").select("batch_id", "input_rows", "total_rows")
+        log.flush(spark, path)
+    return spark.read.schema(jobs.PROGRESS).parquet(path).where("input_rows > 0").select("batch_id", "input_rows", "total_rows")
+
+
+@query("t7_progress_report", _LANDED)
+def progress_report(spark, sf):
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    return _progress(
+        spark, sf, jobs.ProgressLog(),
+        lambda events: jobs.append_table(detect.detect_instantaneous(events), out, checkpoint, once=True),
+    )
+
+
+@query("t7_detector_progress", f"SELECT input_rows, total_rows FROM ({_LANDED})")
+def detector_progress(spark, sf):
+    """The detector reads its events three times; the report counts them once.
+
+    Batches without input, which only move the watermark on, take numbers too, so those are left out.
+    """
+    ledger, checkpoint = scratch_path(spark, "ledger"), scratch_path(spark, "checkpoint")
+    log = jobs.ProgressLog(reads=jobs.DETECTOR_READS)
+    records = _progress(spark, sf, log, lambda events: jobs.start_detector(events, ledger, checkpoint, once=True))
+    return records.select("input_rows", "total_rows")
 
 
 @query("t8_live_vehicle_stream")
@@ -232,12 +274,12 @@ def stop_and_resume(spark, sf):
     root = scratch_path(spark, "runs")
     abandoned, checkpoint, ledger = jobs.run_paths(root)
     early = crossings.where(F.col("event_time") < F.lit("2024-01-03").cast("timestamp"))
-    replay(spark, [early], lambda e: jobs.start_detector(e, ledger, checkpoint, once=True))
+    replay(spark, [early], lambda e: jobs.start_detector(e, ledger, checkpoint, emit="window-close", once=True))
     run, _, _ = jobs.run_paths(root, abandoned, reset=True)
 
     def resume(events: DataFrame) -> StreamingQuery:
         _, checkpoint, ledger = jobs.run_paths(root, run)
-        return jobs.start_detector(events, ledger, checkpoint, once=True)
+        return jobs.start_detector(events, ledger, checkpoint, emit="window-close", once=True)
 
     replay(spark, _periods(crossings, closing=True), resume)
     return _ledger_rows(read_ledger(spark, jobs.run_paths(root, run)[2]))

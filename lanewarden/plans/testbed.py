@@ -1,8 +1,8 @@
 """Enforcement data as views over the driver tables, so that every query grows with them.
 
 Crossings: each row of ``events`` is one trip past the three cameras of its lane, with behaviour,
-speeds and times computed from its id. Road network: suppliers are lanes, a share of the parts are
-cameras. Registry: customers are cars. Nothing here is random.
+speeds and times computed from its id. Road network: suppliers are lanes, parts are cameras, orders
+ask for more of them. Registry: customers are cars. Nothing here is random.
 """
 
 from __future__ import annotations
@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewarden.functions.scalars import normalised_mix
 from lanewarden.operators.dedup import first_per_plate_window, to_stored_violation
 from lanewarden.operators.detect import ADJACENT, all_violations
-from lanewarden.operators.trips import DEFAULT_MIX, draw_trips, expand_trips
+from lanewarden.operators.trips import index_cameras
 from lanewarden.schemas import CAMERA, LANE
 from lanewarden.session import materialize
 
@@ -49,23 +48,30 @@ def cameras(spark: SparkSession) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("start_time"))
     digit = F.col("event_id") % 10
-    drawn = draw_trips(events, (digit + 0.5) / 10, normalised_mix(DEFAULT_MIX))
-    speeding = F.when(F.col("behavior") == "normal", 70).when(F.col("behavior") == "speeder", 115).otherwise(120)
-    return drawn.select(
+    percent = F.when(digit < 7, 70).when(digit < 9, 115).otherwise(120) + (F.col("event_id") * 7) % 26
+    return events.select(
         F.col("event_id").alias("trip_id"),
         F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("car_plate"),
         (F.col("event_id") % 3 + 1).cast("int").alias("lane_id"),
         "start_time",
-        "behavior",
-        ((speeding + (F.col("event_id") * 7) % 26).cast("double") / 100).alias("between_factor"),
-        F.when(F.col("behavior") == "speeder", 1.0).otherwise(0.0).alias("spot_jitter"),
-        F.lit(0.9).alias("spot_share"),
+        F.when(digit < 7, "normal").when(digit < 9, "speeder").otherwise("sneaky").alias("behavior"),
+        (percent.cast("double") / 100).alias("pace"),
     )
 
 
 def crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expanded = expand_trips(trips(spark, sf_dir), cameras(spark))
-    return expanded.withColumn("event_id", F.col("trip_id") * 10 + F.col("camera_id"))
+    """One row per trip and camera of its lane; all cameras of a lane have one limit here."""
+    limit, kind = F.col("speed_limit"), F.col("behavior")
+    speed = F.col("pace") * limit
+    reading = F.when(kind == "normal", F.least(speed, limit - 1)).when(kind == "speeder", speed + 1).otherwise(0.9 * limit)
+    millis = F.round((F.col("position_km") - 1) * F.lit(3600000.0) / speed).cast("long")
+    return trips(spark, sf_dir).join(F.broadcast(index_cameras(cameras(spark))), "lane_id").select(
+        "trip_id", "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit",
+        F.timestamp_micros(F.unix_micros("start_time") + millis * 1000).alias("event_time"),
+        F.round(reading, 1).alias("speed_reading"),
+        "behavior",
+        (F.col("trip_id") * 10 + F.col("camera_id")).alias("event_id"),
+    )
 
 
 def violations(spark: SparkSession, sf_dir: str, strategy: str = ADJACENT) -> DataFrame:
@@ -113,20 +119,21 @@ def network_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def network_cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """About one camera in seven parts, on the lane of its block of 25; a fifth of the lanes stay empty."""
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= 7)
-    slot = F.col("p_partkey") % 25
+    """One camera per part, on the lane of its block of 25; every fourth lane hands most to the next one."""
+    part = table(spark, sf_dir, "part")
+    block = F.call_function("div", F.col("p_partkey"), F.lit(25))
+    handed = ((block % 4 == 0) & (F.col("p_size") > 3)).cast("int")
     return part.select(
         (F.col("p_partkey") + 1).cast("int").alias("camera_id"),
-        (F.call_function("div", F.col("p_partkey"), F.lit(25)) + 1).cast("int").alias("lane_id"),
-        F.round(slot * 0.75 + 1.0, 3).alias("position_km"),
-        (F.col("p_size") * 10 + 50).cast("double").alias("speed_limit"),
+        (block + 1 + handed).cast("int").alias("lane_id"),
+        F.round(F.col("p_partkey") % 25 * 0.75 + 1.0 + handed * 18.75, 3).alias("position_km"),
+        (F.col("p_size") % 7 * 10 + 60).cast("double").alias("speed_limit"),
     )
 
 
 def camera_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests to append a camera, some without a limit, some for lanes that do not exist."""
-    order = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "5-LOW")
+    order = table(spark, sf_dir, "orders")
     lane = F.call_function("div", F.col("o_custkey"), F.lit(15)) + 1
     return order.select(
         F.col("o_orderkey").alias("request_id"),

@@ -85,15 +85,15 @@ SELECT concat('P', CAST(c_custkey AS VARCHAR)) AS car_plate, c_name AS owner_nam
 FROM customer""",
     "net_lanes": "SELECT CAST(s_suppkey + 1 AS INTEGER) AS lane_id, s_name AS name FROM supplier",
     "net_cameras": """
-SELECT CAST(p_partkey + 1 AS INTEGER) AS camera_id, CAST(p_partkey // 25 + 1 AS INTEGER) AS lane_id,
-       round((p_partkey % 25) * CAST(0.75 AS DOUBLE) + 1, 3) AS position_km,
-       CAST(p_size * 10 + 50 AS DOUBLE) AS speed_limit
-FROM part WHERE p_size <= 7""",
+SELECT CAST(p_partkey + 1 AS INTEGER) AS camera_id, CAST(p_partkey // 25 + 1 + handed AS INTEGER) AS lane_id,
+       round((p_partkey % 25) * CAST(0.75 AS DOUBLE) + 1 + handed * CAST(18.75 AS DOUBLE), 3) AS position_km,
+       CAST(p_size % 7 * 10 + 60 AS DOUBLE) AS speed_limit
+FROM (SELECT *, CASE WHEN p_partkey // 25 % 4 = 0 AND p_size > 3 THEN 1 ELSE 0 END AS handed FROM part)""",
     "requests": """
 SELECT o_orderkey AS request_id,
        CAST(o_custkey // 15 + 1 + CASE WHEN o_orderkey % 7 = 0 THEN 1000000 ELSE 0 END AS INTEGER) AS lane_id,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(60 + o_orderkey % 5 * 10 AS DOUBLE) END AS speed_limit
-FROM orders WHERE o_orderpriority = '5-LOW'""",
+FROM orders""",
     "lane_tally": """
 SELECT lane_id, count(*) AS total, count(*) FILTER (violation_type = 'INSTANTANEOUS') AS instantaneous,
        count(*) FILTER (violation_type = 'AVERAGE') AS average

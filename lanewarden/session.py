@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import os
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -24,13 +26,31 @@ def build_session(app: str = "lanewarden", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, which need it for the functions that run in Python."""
+    _ship_once(spark.sparkContext.applicationId)
+    return spark
+
+
+@functools.cache
+def _ship_once(application: str) -> None:
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lanewarden-package-"), "lanewarden")
+    zipped = shutil.make_archive(archive, "zip", os.path.dirname(here), os.path.basename(here))
+    SparkSession.active().sparkContext.addPyFile(zipped)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is named."""
-    root = spark.conf.get(_CHECKPOINT_CONF, None)
-    return (root or _local_scratch()).rstrip("/")
+    """The shared folder named by the cluster; a temporary one only on a local master without one."""
+    root = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError(f"name a shared folder in {_CHECKPOINT_CONF}: executors do not see the driver's own")
+    return _local_scratch()
 
 
 @functools.cache
@@ -52,18 +72,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# Rows a side may have to be broadcast; dimension rows here are under a hundred bytes.
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, source: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, checked by a bounded count.
-
-    ``source`` is a frame with at least as many rows that is cheaper to count. A larger frame is
-    left unmarked: Spark then shuffles the join, and adaptive execution splits the keys that hold
-    very many rows.
-    """
-    counted = df if source is None else source
-    return F.broadcast(df) if counted.limit(max_rows + 1).count() <= max_rows else df

@@ -59,6 +59,19 @@ def republish_violations(stored: DataFrame) -> DataFrame:
     return stored.select(F.col("car_plate").alias("key"), F.to_json(F.struct(*body)).alias("value"))
 
 
+def publisher(sink: str, **options: str) -> Callable[[DataFrame, int], None]:
+    """A ``publish`` function for the detector: each batch's violations as messages to a sink format.
+
+    ``publisher("kafka", **{"kafka.bootstrap.servers": servers, "topic": "violations"})``, or a file format
+    with ``path``.
+    """
+
+    def publish(stored: DataFrame, batch_id: int) -> None:
+        republish_violations(stored).write.format(sink).options(**options).mode("append").save()
+
+    return publish
+
+
 def export_violations_csv(ledger: DataFrame, path: str, **filters) -> None:
     """CSV files with a header, newest detection first across the numbered part files."""
     rows = export_rows(ledger, **filters)
@@ -94,6 +107,9 @@ class LedgerWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         stored = to_stored_violation(batch, self.window)
+        if self.publish is not None:
+            # Before anything is built on it, so that the batch is computed once.
+            stored.persist()
         kind = F.col("violation_type")
         payload = [c for c in stored.columns if c not in LEDGER_KEY]
         per_key = (
@@ -106,8 +122,6 @@ class LedgerWriter:
             )
             .persist()
         )
-        if self.publish is not None:
-            stored.persist()
         try:
             counts = per_key.agg(
                 F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"),

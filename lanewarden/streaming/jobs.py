@@ -42,7 +42,7 @@ def ledger_stream(violations: DataFrame, window: str = DEDUP_WINDOW) -> DataFram
     minutes = duration_minutes(window)
     if minutes < 1 or 60 % minutes:
         raise ValueError("a streamed window must be a whole number of minutes that divides an hour")
-    first = first_of(violations, F.col("car_plate"), F.window("timestamp_start", f"{minutes} minutes"))
+    first = first_of(violations, "car_plate", F.window("timestamp_start", f"{minutes} minutes"))
     return first.select(*VIOLATION_COLUMNS, F.col("_key1.start").alias("window_start"))
 
 
@@ -59,16 +59,26 @@ def start_detector(
     *,
     strategy: str = ADJACENT,
     window: str = DEDUP_WINDOW,
+    emit: str = "first-seen",
     publish: Callable[[DataFrame, int], None] | None = None,
     report: Callable[[dict], None] | None = None,
     once: bool = False,
     name: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """The whole job: detect, keep one violation per plate and window, write the ledger.
 
-    Stopping it and starting it on the same checkpoint resumes from the stored offsets and state.
+    ``emit="first-seen"`` stores a violation in the batch that detects it; of one plate and window the
+    first batch wins, and its first row. ``"window-close"`` waits until the watermark has passed the
+    window and stores its first row in event time. ``options`` (slices, hot plates) are those of
+    :func:`lanewarden.operators.detect.offending_segments`; they are fixed for the life of a checkpoint.
+    Stopping the job and starting it on the same checkpoint resumes from the stored offsets and state.
     """
-    kept = ledger_stream(all_violations(events, strategy), window).drop("window_start")
+    if emit not in ("first-seen", "window-close"):
+        raise ValueError("emit is 'first-seen' or 'window-close'")
+    kept = all_violations(events, strategy, **options)
+    if emit == "window-close":
+        kept = ledger_stream(kept, window).drop("window_start")
     sink = LedgerWriter(ledger_path, window=window, publish=publish, report=report)
     writer = kept.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _start(writer, once, name)
@@ -119,17 +129,23 @@ PROGRESS = StructType(
 )
 
 
+# How often the detector's plan reads its events: for spot readings, and for each side of the join.
+DETECTOR_READS = 3
+
+
 class ProgressLog(StreamingQueryListener):
     """One record per micro-batch, and an idle note after ``idle_after_s`` without input.
 
-    Attach it as a listener, or :meth:`poll` queries for what they still remember.
+    Attach it as a listener, or :meth:`poll` queries for what they still remember. Spark counts input
+    once for each time a plan reads it; ``reads`` is that number (:data:`DETECTOR_READS` for the
+    detector), and records hold the rows that came in. :meth:`flush` moves records to a table.
     """
 
-    def __init__(self, idle_after_s: float = 30.0) -> None:
-        self.idle_after_s = idle_after_s
+    def __init__(self, idle_after_s: float = 30.0, reads: int = 1) -> None:
+        self.idle_after_s, self.reads = idle_after_s, reads
         self.records: list[tuple] = []
         self._totals: dict[str, int] = {}
-        self._seen: set[tuple[str, int]] = set()
+        self._newest: dict[str, int] = {}
         self._last_input = time.monotonic()
 
     def onQueryStarted(self, event) -> None:
@@ -143,16 +159,16 @@ class ProgressLog(StreamingQueryListener):
             self._add(progress)
 
     def _add(self, p) -> None:
-        query, rows = str(p.id), int(p.numInputRows or 0)
-        if (query, p.batchId) in self._seen:
+        query, rows = str(p.id), int(p.numInputRows or 0) // self.reads
+        if p.batchId <= self._newest.get(query, -1):
             return
-        self._seen.add((query, p.batchId))
+        self._newest[query] = p.batchId
         self._totals[query] = self._totals.get(query, 0) + rows
         late = sum(int(s.numRowsDroppedByWatermark or 0) for s in p.stateOperators)
         if rows:
             self._last_input = time.monotonic()
         self.records.append(
-            (query, int(p.batchId), rows, self._totals[query], float(p.processedRowsPerSecond or 0.0), late, None)
+            (query, int(p.batchId), rows, self._totals[query], float(p.processedRowsPerSecond or 0.0) / self.reads, late, None)
         )
 
     def onQueryIdle(self, event) -> None:
@@ -165,5 +181,11 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """The records so far; there is one per batch, so they are few."""
+        """The records since the last flush, one per batch."""
         return spark.createDataFrame(self.records, PROGRESS)
+
+    def flush(self, spark: SparkSession, path: str) -> None:
+        """Append the records to the table at ``path`` and forget them."""
+        taken, self.records = self.records, []
+        if taken:
+            spark.createDataFrame(taken, PROGRESS).coalesce(1).write.mode("append").parquet(path)

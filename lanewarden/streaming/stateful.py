@@ -1,13 +1,14 @@
 """Keyed state on streams: vehicles on the road, and an exact rolling flag per plate.
 
-Both hold one small value per plate and read a batch's rows piece by piece. They need the RocksDB
-state store (``spark.sql.streaming.stateStore.providerClass``).
+The first holds one small value per plate; the second also the plate's rows that the watermark has not
+passed. Both need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,9 +79,10 @@ def live_vehicle_stream(events: DataFrame, ttl_s: float = VEHICLE_TTL_S) -> Data
 
 
 class _RollingFlag(StatefulProcessor):
-    """Pass a row when it starts at least one width after the plate's last flag, in arrival order.
+    """Rows wait until the watermark has passed them, then are judged in event-time order.
 
-    The flag is forgotten by an event-time timer once no row can fall within its width any more.
+    A row passes when it starts at least one width after the plate's last flag. The flag is forgotten
+    once no row can fall within its width any more.
     """
 
     def __init__(self, width_us: int) -> None:
@@ -88,33 +90,64 @@ class _RollingFlag(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.waiting = handle.getListState("waiting", "start_us long, violation_type string")
         self.flagged = handle.getValueState("flagged", "at_us long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = self.flagged.get()[0] if self.flagged.exists() else None
+        earliest = None
         for part in rows:
-            passed = []
-            for position, start in enumerate(part["start_us"]):
-                if last is None or start - last >= self.width_us:
-                    passed.append(position)
-                    last = int(start)
-            if passed:
-                yield part.iloc[passed][["car_plate", "violation_type", "start_us"]]
-        self.flagged.update((last,))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((last + self.width_us) // 1000 + 1)
+            starts = part["start_us"].tolist()
+            self.waiting.appendList(list(zip(starts, part["violation_type"].tolist())))
+            earliest = min(starts) if earliest is None else min(earliest, *starts)
+        self._wake(earliest)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.flagged.clear()
-        return iter(())
+        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(tuple(row) for row in self.waiting.get()) if self.waiting.exists() else []
+        starts = np.array([row[0] for row in rows], np.int64)
+        ready = int(np.searchsorted(starts, passed_us, "right"))
+        last = self.flagged.get()[0] if self.flagged.exists() else None
+        at = 0 if last is None else int(np.searchsorted(starts, last + self.width_us))
+        flags = []
+        while at < ready:
+            flags.append((key[0], rows[at][1], rows[at][0]))
+            last = rows[at][0]
+            at = int(np.searchsorted(starts, last + self.width_us))
+        if ready < len(rows):
+            self.waiting.put(rows[ready:])
+        else:
+            self.waiting.clear()
+        if last is not None and last + self.width_us > passed_us:
+            self.flagged.update((last,))
+            self._next_timer(rows[ready][0] if ready < len(rows) else last + self.width_us)
+        else:
+            self.flagged.clear()
+            if ready < len(rows):
+                self._next_timer(rows[ready][0])
+        if flags:
+            yield pd.DataFrame(flags, columns=["car_plate", "violation_type", "start_us"])
+
+    def _wake(self, at_us: int) -> None:
+        """Keep one timer, for the earliest moment there is something to do."""
+        set_for = list(self.handle.listTimers())
+        if not set_for or at_us // 1000 + 1 < min(set_for):
+            for timer in set_for:
+                self.handle.deleteTimer(timer)
+            self._next_timer(at_us)
+
+    def _next_timer(self, at_us: int) -> None:
+        self.handle.registerTimer(at_us // 1000 + 1)
 
     def close(self) -> None:
         pass
 
 
 def rolling_flag_stream(violations: DataFrame, width: str = DEDUP_WINDOW) -> DataFrame:
-    """Exact rolling suppression per plate with a width of its own, whatever the watermark delay."""
+    """Exact rolling suppression per plate, in event time: the flags of :func:`lanewarden.operators.dedup.rolling_flag`.
+
+    How rows are dealt to files and batches makes no difference, as long as none comes too late.
+    """
     keyed = violations.select(
         "car_plate", "violation_type", "timestamp_start", F.unix_micros("timestamp_start").alias("start_us")
     )

@@ -80,35 +80,21 @@ def test_last_crossing_closes_a_missed_camera(crossings):
     assert [r["avg_speed"] for r in found] == [120.0]
 
 
-def test_expand_and_summarise(spark):
-    cameras = spark.createDataFrame(
-        [(1, 1, 1.0, 110.0), (2, 1, 2.0, 110.0), (3, 1, 3.5, 90.0)], "camera_id int, lane_id int, position_km double, speed_limit double"
-    )
-    made = spark.createDataFrame(
-        [(i, f"P{i}", 1, T0, b, f, j, 0.9) for i, (b, f, j) in enumerate(
-            [("normal", 0.8, 0.0), ("speeder", 1.2, 2.0), ("sneaky", 1.3, 0.0)])],
-        "trip_id int, car_plate string, lane_id int, start_time timestamp, behavior string, between_factor double, "
-        "spot_jitter double, spot_share double",
-    )
-    crossings = trips.expand_trips(made, cameras)
-    assert crossings.count() == 9
-    times = {r["trip_id"]: r["t"] for r in crossings.groupBy("trip_id").agg(F.max("event_time").alias("t")).collect()}
-    assert times[0] - T0 == dt.timedelta(milliseconds=round(2.5 * 3600000 / 72))
-    sums = trips.trip_summary(trips.consecutive_segments(crossings, ["trip_id"]), ["trip_id", "behavior"])
-    assert {r["behavior"]: r["label"] for r in sums.collect()} == {
-        "normal": "clean", "speeder": "INSTANT+AVG", "sneaky": "AVERAGE",
-    }
-    stats = {r["behavior"]: (r["trips"], r["events"]) for r in trips.traffic_stats(sums).collect()}
-    assert stats == {"normal": (1, 3), "speeder": (1, 3), "sneaky": (1, 3)}
-
-
-def test_behaviour_mix(spark):
-    mix = S.normalised_mix({"normal": 2.0, "speeder": 1.0, "sneaky": 1.0})
-    assert mix == {"normal": 0.5, "speeder": 0.25, "sneaky": 0.25}
-    assert S.normalised_mix({"normal": 0.0}) == {"normal": 0.0}
-    draws = spark.createDataFrame([(0.5,), (0.51,), (0.75,), (0.9,), (1.5,)], "u double")
-    drawn = [r[0] for r in draws.select(S.behaviour_of(F.col("u"), mix)).collect()]
-    assert drawn == ["normal", "speeder", "speeder", "sneaky", "normal"]
+def test_summaries(crossings):
+    rows = [("N", 1, i, 50 * i, 90, 70.0) for i in range(3)] + [("F", 1, i, 30 * i, 90, 120.0) for i in range(3)]
+    rows += [("S", 1, i, 30 * i, 90, 80.0) for i in range(3)]
+    sums = trips.trip_summary(trips.consecutive_segments(crossings(rows), ["car_plate"]), ["car_plate"])
+    assert {r["car_plate"]: r["label"] for r in sums.collect()} == {"N": "clean", "F": "INSTANT+AVG", "S": "AVERAGE"}
+    assert {r["n_events"] for r in sums.collect()} == {3}
+
+
+def test_iso_text_is_utc_in_any_session(spark):
+    at = spark.sql("SELECT timestamp'2024-03-31 23:30:05.25Z' AS t UNION ALL SELECT NULL")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Rome")
+    try:
+        assert [r[0] for r in at.select(S.iso_text(F.col("t"))).collect()] == ["2024-03-31T23:30:05.250000", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_enrichment_skips_unknown_cameras(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from conftest import T0
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from lanewarden.operators import dedup, detect
 from lanewarden.plans import streams
 from lanewarden.plans.streams import _rocksdb, replay
-from lanewarden.sources.sinks import read_ledger
+from lanewarden.sources.sinks import publisher, read_ledger
 from lanewarden.streaming import jobs, stateful
 
 SNEAKY = [("SNK", 1, 0, 0, 90, 80.0), ("SNK", 1, 1, 30, 90, 80.0), ("SNK", 1, 2, 60, 90, 80.0)]
@@ -91,13 +92,34 @@ def test_exact_rolling_flag(spark, tmp_path, crossings):
     at = (0, 599, 600, 700, 1199, 1200)
     with _rocksdb(spark):
         rows, _ = run(
-            spark, tmp_path, [landing(crossings, [("A", 1, 0, s, 90, 120.0)]) for s in at],
+            spark, tmp_path, [*[landing(crossings, [("A", 1, 0, s, 90, 120.0)]) for s in at], landing(crossings, TICK)],
             lambda events: stateful.rolling_flag_stream(detect.detect_instantaneous(events)),
         )
     start = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
     assert sorted(r["start_us"] // 1_000_000 - start for r in rows.collect()) == [0, 600, 1200]
 
 
+def test_rolling_flag_is_the_same_for_any_order_and_in_batch(spark, tmp_path, crossings):
+    """A plate that offends every 37 seconds, then after a pause, in shuffled files."""
+    seconds = [37 * i for i in range(300)] + [20_000 + 500 * i for i in range(12)]
+    expected, last = [], None
+    for s in seconds:
+        if last is None or s - last >= 600:
+            expected.append(s)
+            last = s
+    random.Random(5).shuffle(seconds)
+    offences = landing(crossings, [("A", 1, 0, s, 90, 120.0) for s in seconds]).repartition(8)
+    start = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+    with _rocksdb(spark):
+        rows, progress = run(
+            spark, tmp_path, [offences, landing(crossings, TICK)],
+            lambda events: stateful.rolling_flag_stream(detect.detect_instantaneous(events)),
+        )
+    batch = dedup.rolling_flag(detect.all_violations(offences))
+    for found in (rows, batch):
+        assert sorted(r["start_us"] // 1_000_000 - start for r in found.collect()) == expected
+
+
 def test_live_vehicles_come_and_go(spark, tmp_path, crossings):
     with _rocksdb(spark):
         rows, _ = run(
@@ -114,7 +136,7 @@ def test_detector_resumes_and_resets(spark, tmp_path, crossings):
     reports = []
 
     def start(events):
-        return jobs.start_detector(events, path, checkpoint, report=reports.append, once=True)
+        return jobs.start_detector(events, path, checkpoint, emit="window-close", report=reports.append, once=True)
 
     replay(spark, [landing(crossings, SNEAKY + FAST[:1]), landing(crossings, FAST[1:]), landing(crossings, TICK)], start)
     assert sorted(r["car_plate"] for r in read_ledger(spark, path).collect()) == ["SNK", "SPD", "SPD"]
@@ -124,6 +146,25 @@ def test_detector_resumes_and_resets(spark, tmp_path, crossings):
     assert fresh[0] != run_name and read_ledger(spark, fresh[2]).count() == 0
 
 
+def test_detector_stores_and_publishes_what_it_sees(spark, tmp_path, crossings):
+    """No later crossing is needed; a repeat of the same plate and window adds nothing."""
+    path, sent, log = str(tmp_path / "ledger"), str(tmp_path / "sent"), jobs.ProgressLog(reads=jobs.DETECTOR_READS)
+    again = [("SPD", 1, 0, 20, 90, 125.0)]
+    for query in replay(
+        spark, [landing(crossings, SNEAKY + FAST[:1]), landing(crossings, again)],
+        lambda events: jobs.start_detector(
+            events, path, str(tmp_path / "checkpoint"), publish=publisher("parquet", path=sent), hot_plates=["SNK"], once=True
+        ),
+    ):
+        log.poll(query)
+    found = {r["car_plate"]: r["speed_reading"] for r in read_ledger(spark, path).collect()}
+    assert found == {"SNK": None, "SPD": 120.0} and read_ledger(spark, path).count() == 2
+    assert spark.read.parquet(sent).count() == 4
+    assert sum(r["input_rows"] for r in log.table(spark).collect()) == 5
+    with pytest.raises(ValueError):
+        jobs.start_detector(landing(crossings, again), path, "c", emit="never")
+
+
 def test_progress_counts_rows_once(spark, tmp_path, crossings):
     log = jobs.ProgressLog()
     spark.streams.addListener(log)
@@ -142,14 +183,10 @@ def test_progress_counts_rows_once(spark, tmp_path, crossings):
     assert [(r["input_rows"], r["total_rows"]) for r in found] == [(3, 3), (2, 5)]
 
 
-def test_many_rows_land_in_periods_of_bounded_size(spark, crossings, monkeypatch):
-    monkeypatch.setattr(streams, "PERIOD_ROWS", 30)
-    rows = crossings([("A", 1, 0, s, 90, 80.0) for s in range(100)])
-    parts = streams._periods(rows.withColumn("event_id", F.lit(1)), closing=True)
-    sizes = [p.count() for p in parts]
-    assert len(parts) == 4 and sum(sizes) == 101 and max(sizes) <= 30
-    spans = [p.agg(F.min("event_time"), F.max("event_time")).first() for p in parts]
-    assert all(before[1] < after[0] for before, after in zip(spans, spans[1:]))
+def test_landings_cover_the_time_span(spark, crossings):
+    rows = crossings([("A", 1, 0, 3600 * s, 90, 80.0) for s in range(100)])
+    parts = streams._periods(rows.withColumn("event_id", F.lit(1)), closing=True, days=2)
+    assert [p.count() for p in parts] == [40, 48, 13]
 
 
 def test_window_must_divide_the_hour(spark, crossings):
