@@ -32,7 +32,9 @@ BITS = 96.0
 _STEP = 10  # bins per decade of p-values
 _DECADES = 30
 
-# Fixed patterns of the base kinds: the whole match, the group whose length counts, its least length.
+# Fixed patterns of the base kinds: the whole match, the group whose length counts, its least length, a gate.
+# Matches of the last two reach to the end of their run of characters, so asking for the least length
+# in the pattern finds the same ones.
 KINDS = {
     "assign": (
         r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -40,8 +42,8 @@ KINDS = {
         8,
         r"(?i:passw|secret|token|key)",
     ),
-    "access": (r"AKIA[A-Z0-9]+", 0, 16, r"AKIA"),
-    "hex": (r"[0-9a-f]+", 0, 32, r"[0-9a-f]{32}"),
+    "access": (r"AKIA[A-Z0-9]{12,}", 0, 16, r"AKIA[A-Z0-9]{12}"),
+    "hex": (r"[0-9a-f]{32,}", 0, 32, r"[0-9a-f]{32}"),
 }
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 # Encodings in the order in which they are tried: characters, alphabet in order of value.
@@ -53,52 +55,33 @@ ENCODINGS = {
 }
 
 
-def _matches(text: Column, pattern: str, gate: str, group: int) -> Column:
-    """``array<struct<start, end, counted>>`` of all matches; ``counted`` is the group's length."""
+def _matches(text: Column, pattern: str, gate: str, group: int, least: int) -> Column:
+    """``array<struct<start, end, match>>`` of the matches whose group has ``least`` characters."""
     # The gap after the last match has no match beside it; it is dropped at the end.
-    parts = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size"), m.alias("match"), F.length(m).alias("counted")),
-    )
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.zip_with(F.split(text, pattern, -1), whole, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("match")))
     if group:
-        parts = F.zip_with(
-            parts,
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(group)),
-            lambda p, c: F.struct(p["gap"].alias("gap"), p["size"].alias("size"), p["match"].alias("match"), F.length(c).alias("counted")),
-        )
+        counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        parts = F.zip_with(parts, counted, lambda p, c: p.withField("counted", F.length(c)))
     parts = F.filter(parts, lambda p: p["match"].isNotNull())
-    kind = "array<struct<start:int,end:int,counted:int,match:string>>"
-    placed = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found")),
-        lambda state, p: F.struct(
-            (state["at"] + p["gap"] + p["size"]).alias("at"),
-            F.concat(
-                state["found"],
-                F.array(
-                    F.struct(
-                        (state["at"] + p["gap"]).alias("start"), (state["at"] + p["gap"] + p["size"]).alias("end"),
-                        p["counted"].alias("counted"), p["match"].alias("match"),
-                    )
-                ),
-            ).cast(kind).alias("found"),
-        ),
-        lambda state: state["found"],
-    )
-    return F.when(text.rlike(gate), placed).otherwise(F.array().cast(kind))
+    kind = "array<struct<start:int,end:int,match:string>>"
 
+    def placed(state: Column, p: Column) -> Column:
+        start = state["at"] + p["gap"]
+        end = start + F.length(p["match"])
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), p["match"].alias("match")))
+        size = p["counted"] if group else F.length(p["match"])
+        # Only what is kept is appended: each append copies the list.
+        found = F.when(size >= least, F.concat(state["found"], one).cast(kind)).otherwise(state["found"])
+        return F.struct(end.alias("at"), found.alias("found"))
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """Per base kind the array of its spans ``start, end, counted, match``."""
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+    return F.when(text.rlike(gate), F.aggregate(parts, begin, placed, lambda state: state["found"])).otherwise(F.array().cast(kind))
 
-    def long_enough(found: Column, least: int) -> Column:
-        return F.filter(found, lambda m: m["counted"] >= least)
 
-    return {
-        kind: long_enough(_matches(text, pattern, gate, group), least)
-        for kind, (pattern, group, least, gate) in KINDS.items()
-    }
+def base_spans(text: Column) -> dict[str, Column]:
+    """Per base kind the array of its spans ``start, end, match``."""
+    return {kind: _matches(text, pattern, gate, group, least) for kind, (pattern, group, least, gate) in KINDS.items()}
 
 
 def _upper_tail(z: Column) -> Column:
@@ -109,6 +92,11 @@ def _upper_tail(z: Column) -> Column:
     return F.greatest(F.lit(10.0**-_DECADES), series * F.exp(-x * x))
 
 
+def _let(value: Column, of) -> Column:
+    """``of(value)`` with the value computed once, however often ``of`` names it."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
 def _sum(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, v: total + of(v))
 
@@ -123,35 +111,44 @@ def _tested(match: Column) -> Column:
     core = F.translate(F.rtrim(match, F.lit("=")), "-_", "+/")
     start = F.struct(F.when(digits_and_letters, name).alias("encoding"), alphabet.alias("alphabet"), core.alias("core"))
 
-    def battery(s: Column) -> Column:
+    def measured(s: Column) -> Column:
+        """What the tests share: the characters' values, whether they are high, and counts per letter."""
         n = F.length(s["core"]).cast("double")
-        size = F.length(s["alphabet"]).cast("double")
         values = F.transform(F.split(s["core"], ""), lambda c: F.instr(s["alphabet"], c).cast("double") - 1)
-        counts = F.transform(F.split(s["alphabet"], ""), lambda c: (n - F.length(F.replace(s["core"], c, F.lit("")))).cast("double"))
-        chi = size / n * _sum(counts, lambda c: c * c) - n
+        counts = F.transform(F.split(s["alphabet"], ""), lambda c: n - F.length(F.replace(s["core"], c, F.lit(""))))
+        return F.struct(
+            s["encoding"].alias("encoding"), n.alias("n"), F.length(s["alphabet"]).cast("double").alias("size"),
+            values.alias("values"), counts.alias("counts"),
+        )
+
+    def summed(s: Column) -> Column:
+        high = F.transform(s["values"], lambda v: (v * 2 >= s["size"]).cast("double"))
+        return s.withField("high", high).withField("mean", _sum(s["values"], lambda v: v) / s["n"])
+
+    def battery(s: Column) -> Column:
+        n, size, values, high, mean = (s[x] for x in ("n", "size", "values", "high", "mean"))
+        chi = size / n * _sum(s["counts"], lambda c: c * c) - n
         z_chi = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
-        high = F.transform(values, lambda v: (v * 2 >= size).cast("double"))
         n1 = _sum(high, lambda h: h)
-        pairs = F.zip_with(F.slice(high, 2, F.size(high)), F.slice(high, 1, F.size(high) - 1), lambda a, b: F.abs(a - b))
+        changes = F.zip_with(F.slice(high, 2, F.size(high)), F.slice(high, 1, F.size(high) - 1), lambda a, b: F.abs(a - b))
         middle = 2 * n1 * (n - n1) / n
         spread = F.greatest(F.lit(1e-9), middle * (middle - 1) / (n - 1))
-        z_runs = F.when(middle > 1, (1 + _sum(pairs, lambda d: d) - (middle + 1)) / F.sqrt(spread)).otherwise(F.sqrt(n))
-        mean = _sum(values, lambda v: v) / n
+        z_runs = F.when(middle > 1, (1 + _sum(changes, lambda d: d) - (middle + 1)) / F.sqrt(spread)).otherwise(F.sqrt(n))
         second = F.slice(values, 2, F.size(values))
         lagged = F.zip_with(second, F.slice(values, 1, F.size(values) - 1), lambda a, b: (a - mean) * (b - mean))
         variance = F.greatest(F.lit(1e-9), _sum(values, lambda v: (v - mean) * (v - mean)))
         z_serial = (_sum(lagged, lambda v: v) / variance + 1 / n) * F.sqrt(n)
-        least = F.least(_upper_tail(z_chi), _upper_tail(z_runs), _upper_tail(z_serial))
-        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("n"), size.alias("size"), F.least(F.lit(1.0), 3 * least).alias("p"))
+        tails = F.transform(F.array(z_chi, z_runs, z_serial), _upper_tail)
+        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("n"), size.alias("size"), F.least(F.lit(1.0), 3 * F.array_min(tails)).alias("p"))
 
     none = F.struct(F.lit(None).cast("string").alias("encoding"), F.lit(0).alias("n"), F.lit(0.0).alias("size"), F.lit(1.0).alias("p"))
-    return F.when(start["encoding"].isNotNull(), F.element_at(F.transform(F.array(start), battery), 1)).otherwise(none)
+    return _let(start, lambda s: F.when(s["encoding"].isNotNull(), _let(_let(measured(s), summed), battery)).otherwise(none))
 
 
 def candidates(text: Column) -> Column:
     """``array<struct<start, end, t>>`` of the strings that have an encoding, with their tests."""
     found = F.transform(
-        _matches(text, CANDIDATE, r"[A-Za-z0-9+/_=-]{20}", 0),
+        _matches(text, CANDIDATE, r"[A-Za-z0-9+/_=-]{20}", 0, 20),
         lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), _tested(m["match"]).alias("t")),
     )
     return F.filter(found, lambda m: m["t"]["encoding"].isNotNull())
