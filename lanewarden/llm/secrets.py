@@ -4,8 +4,8 @@
 checked after matching, so a short match still uses up its text.
 
 **Random strings.** Runs of at least 20 encoding characters with both letters and digits are
-candidates. The encoding is inferred from the characters (hex, base32, lower-case base36, base64),
-and three tests are made of the hypothesis that the characters are drawn evenly and independently:
+candidates; ``=`` only ends one, so of ``NAME=VALUE`` name and value are looked at apart. The encoding
+is inferred from the characters (hex and base36 of either case, base32, base64), and three tests are made of the hypothesis that the characters are drawn evenly and independently:
 chi-squared uniformity over the alphabet, runs about the middle of the alphabet, and lag-one serial
 correlation. Their p-values are combined (three times the least). Candidates of one encoding and
 length class (power of two) are one family, over all documents: the Benjamini-Hochberg procedure
@@ -45,12 +45,14 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]{12,}", 0, 16, r"AKIA[A-Z0-9]{12}"),
     "hex": (r"[0-9a-f]{32,}", 0, 32, r"[0-9a-f]{32}"),
 }
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}=*"
 # Encodings in the order in which they are tried: characters, alphabet in order of value.
 ENCODINGS = {
-    "hex": ("^[0-9a-f]+$", "0123456789abcdef"),
+    "hex": ("^[0-9a-f]+=*$", "0123456789abcdef"),
+    "upper-hex": ("^[0-9A-F]+=*$", "0123456789ABCDEF"),
     "base32": ("^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    "base36": ("^[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    "base36": ("^[0-9a-z]+=*$", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    "upper-base36": ("^[0-9A-Z]+=*$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     "base64": ("^[A-Za-z0-9+/_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 }
 
@@ -148,7 +150,7 @@ def _tested(match: Column) -> Column:
 def candidates(text: Column) -> Column:
     """``array<struct<start, end, t>>`` of the strings that have an encoding, with their tests."""
     found = F.transform(
-        _matches(text, CANDIDATE, r"[A-Za-z0-9+/_=-]{20}", 0, 20),
+        _matches(text, CANDIDATE, r"[A-Za-z0-9+/_-]{20}", 0, 20),
         lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), _tested(m["match"]).alias("t")),
     )
     return F.filter(found, lambda m: m["t"]["encoding"].isNotNull())
@@ -166,7 +168,7 @@ def structure_bounds(tested: DataFrame, rate: float = RATE) -> dict[str, int]:
     """Per family the least bin of p-values that counts as structured (families without one left out).
 
     ``tested`` has the array ``cands``. Strings are counted per family and bin; the procedure runs on
-    these counts, of which there are a few hundred per family and at most some eighty families.
+    these counts, of which there are a few hundred per family and at most some hundred and twenty families.
     """
     each = tested.select(F.explode("cands").alias("c"))
     counts = each.groupBy(_family(F.col("c.t")).alias("family"), _bin(F.col("c.t.p")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -151,6 +151,27 @@ def test_secrets(spark):
     assert secrets.find_secrets(frame(spark, docs).limit(0)).count() == 0
 
 
+def test_random_strings_after_a_name_and_in_upper_case(spark):
+    rng = random.Random(11)
+    hexes, base36 = "0123456789ABCDEF", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    both = base36 + base36[10:].lower()
+    planted = []
+    names = ["PRIVATE_KEY=", "auth=", "secret_key=", "A_NAME_OF_MORE_THAN_TWENTY_LETTERS="]
+    for name, letters, n in [(x, both, 32) for x in names] + [("", hexes, 40), ("KEY=", hexes, 32), ("", base36, 30), ("id=", hexes.lower(), 30)]:
+        for _ in range(25):
+            value = "".join(rng.choice(letters) for _ in range(n))
+            planted.append((f"é set {name}{value} end", 6 + len(name), 6 + len(name) + n))
+    found = secrets.find_secrets(frame(spark, list(enumerate(t for t, *_ in planted))), ["doc_id"])
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] == "random"] for r in found.collect()}
+    for at in range(0, len(planted), 25):
+        assert sum(spans[i] == [planted[i][1:]] for i in range(at, at + 25)) >= 24, planted[at][0]
+    clean = collected(secrets.redact(frame(spark, [(0, planted[0][0])])), "doc_id", "text")
+    assert clean[0] == ("é set PRIVATE_KEY=[secret] end",)
+    plain = [(0, "SOME_LONG_NAME_OF_V2_SETTINGS=the/usual/path/to/settings/file2/of/the/program x"), (1, "x" * 30 + "1=" * 9)]
+    plain = secrets.find_secrets(frame(spark, plain), ["doc_id"])
+    assert [r["secrets"] for r in plain.collect()] == [[], []]
+
+
 def test_licenses(spark):
     docs = [
         "The MIT License. mit license cc by CC-BY x", "GNU General Public License v3", None, "", "apache license 2.0 apache",
