@@ -2,9 +2,10 @@
 
 Texts are folded (A-Z to a-z) and reduced to words of digits, letters a-z and characters beyond
 ASCII, joined by single blanks. A rule is a regular expression over that form, with a label, a
-priority and a keyword. Only documents that hold any keyword are looked at further; each is joined
-to the rules of the keywords that it holds (the rule table is written by hand and broadcast), and
-those rules' matches become detections, in word positions.
+priority and a keyword: words that each of its matches holds from a word's start on, the last of which
+may go on ("gpl" is held by "gplv3"). Only documents that hold any keyword are looked at further; each
+is joined to the rules of the keywords that it holds (the rule table is written by hand and broadcast),
+and those rules' matches become detections, in word positions.
 
 **Suppression.** A detection that lies within another one of its document counts only if no such
 container has at least its priority (of equal spans the higher priority, then the first label, wins).
@@ -19,6 +20,7 @@ answered row by row; an empty table gives no rows; other columns of the input ar
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,12 +46,11 @@ _GRANTS = (
     "distributed under (?:the |a )?(?:terms of (?:the )?)?{name}",
     "available under (?:the |a )?(?:terms of (?:the )?)?{name}",
     "(?:subject to|governed by|covered by) (?:the |a )?(?:terms of (?:the )?)?{name}",
-    "spdx license identifier {spdx}",
-    "license[ds]? {spdx}",
 )
+_IDENTIFIED = ("spdx license identifier ", "license ", "licensed ", "licenses ")
 _FAMILIES = {
-    # label: (keyword, name pattern, spdx pattern)
-    "mit": ("mit", "mit license", "mit"),
+    # label: (keyword of the name, name pattern, spdx pattern)
+    "mit": ("mit license", "mit license", "mit"),
     "apache": ("apache", "apache (?:software )?license(?: version)?(?: 2(?: 0)?)?", "apache (?:1 0|1 1|2 0)"),
     "gpl": ("gpl", "(?:gnu )?gpl(?: ?v?[123](?: 0)?)?", "gpl [123] 0(?: only| or later)?"),
     "gpl-full": ("general public license", "gnu general public license(?: version [123](?: 0)?)?", "gnu general public license"),
@@ -61,7 +62,7 @@ _FAMILIES = {
     "epl": ("eclipse public", "eclipse public license(?: version)?(?: [12] 0)?", "epl [12] 0"),
     "cddl": ("common development and distribution", "common development and distribution license", "cddl 1 [01]"),
     "bsd": ("bsd", "(?:simplified |modified |new |revised )?bsd(?: [0234] clause)?(?: license)?", "bsd [1234] clause"),
-    "isc": ("isc", "isc license", "isc"),
+    "isc": ("isc license", "isc license", "isc"),
     "cc0": ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
     "cc-by": ("cc by", "cc by(?: [1234] 0)?", "cc by [1234] 0"),
     "cc-by-sa": ("cc by sa", "cc by sa(?: [1234] 0)?", "cc by sa [1234] 0"),
@@ -95,7 +96,7 @@ _SENTENCES = (
     ("apache", "you may not use this file", "you may not use this file except in compliance with the license"),
     ("apache", "unless required by applicable law", "unless required by applicable law or agreed to in writing software distributed under the license"),
     ("apache", "apache org licenses", "apache org licenses license [12] [01]"),
-    ("gpl", "free software foundation", "redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "redistribute it and or modify it under", "redistribute it and or modify it under the terms of the gnu general public license"),
     ("gpl", "program is free software", "this program is free software you can redistribute it and or modify it"),
     ("gpl", "gnu org licenses", "gnu org licenses (?:old licenses )?gpl"),
     ("lgpl", "library is free software", "this library is free software you can redistribute it and or modify it"),
@@ -121,13 +122,21 @@ _SENTENCES = (
 )
 
 
+def _head(pattern: str) -> str:
+    """What each match of a pattern begins with; with the blank after it if that is all of it."""
+    head = re.match("[a-z0-9 ]*", pattern)[0]
+    return head + " " if head == pattern else head
+
+
 def rules() -> list[tuple[str, str, str, str]]:
     """All rules in order: ``(keyword, label, kind, pattern)``."""
     found = [(keyword, label, "text", pattern) for label, keyword, pattern in _SENTENCES]
     for family, (keyword, name, spdx) in _FAMILIES.items():
         label = _ALIAS.get(family, family)
         for grant in _GRANTS:
-            found.append((keyword, label, "notice", grant.format(name=name, spdx=spdx)))
+            found.append((keyword, label, "notice", grant.format(name=name)))
+        for words in _IDENTIFIED:
+            found.append((words + _head(spdx), label, "notice", words + spdx))
         found.append((keyword, label, "name", name))
     return found
 
@@ -136,6 +145,17 @@ def _keywords(all_rules: Sequence[tuple[str, str, str, str]]) -> list[str]:
     return sorted({r[0] for r in all_rules} | set(BASE))
 
 
+def _any_of(keywords: Sequence[str]) -> str:
+    """A pattern for any of the keywords, in which common beginnings are tried once."""
+    groups: dict[str, list[str]] = {}
+    for k in keywords:
+        if not k:
+            return ""
+        groups.setdefault(k[0], []).append(k[1:])
+    branches = [first + _any_of(rest) for first, rest in groups.items()]
+    return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+
 _LETTERS = "".join(chr(c) for c in range(65, 91))
 
 
@@ -188,9 +208,9 @@ def find_licenses(docs: DataFrame, keep: Sequence[str] | None = None, *, text: s
     row = "_row_number"
     shaped = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_kept"), normalised(F.coalesce(F.col(text), F.lit(""))).alias("_form"))
     shaped = shaped.select(F.monotonically_increasing_id().alias(row), "_kept", _blanks(F.col("_form")).cast("long").alias("n_words"), "_form")
-    any_keyword = " (?:" + "|".join(keywords) + ")(?: |$)"
-    held = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(F.concat(F.col("_form"), F.lit(" ")), F.concat(F.lit(" "), k, F.lit(" "))))
-    gated = shaped.withColumn("keyword", F.explode_outer(F.when(F.col("_form").rlike(any_keyword), held)))
+    ended = F.concat(F.col("_form"), F.lit(" "))
+    held = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(ended, F.concat(F.lit(" "), k)))
+    gated = shaped.withColumn("keyword", F.explode_outer(F.when(ended.rlike(" " + _any_of(keywords)), held)))
     tried = gated.join(F.broadcast(_rule_table(spark, own)), "keyword", "left")
     place = F.explode_outer(F.when(F.col("pattern").isNotNull(), _places(F.col("_form"), F.col("pattern"))))
     hits = tried.withColumn("_at", place).select(row, "_kept", "n_words", "_at.*", "label", "priority", "confidence", "base")

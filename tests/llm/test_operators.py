@@ -185,6 +185,46 @@ def test_licenses(spark):
     assert len(licenses.rules()) > 250
 
 
+def sampled(pattern: str, longest: bool) -> str:
+    """A text that the pattern matches: its shortest, or one with all that is optional."""
+    from re import _parser
+
+    def made(parts) -> str:
+        out = ""
+        for op, value in parts:
+            name = str(op)
+            if name == "LITERAL":
+                out += chr(value)
+            elif name == "IN":
+                kind, first = value[0]
+                out += "x" if str(kind) == "CATEGORY" else chr(first[0] if str(kind) == "RANGE" else first)
+            elif name == "BRANCH":
+                out += made(value[1][-1 if longest else 0])
+            elif name == "SUBPATTERN":
+                out += made(value[3])
+            else:
+                assert name == "MAX_REPEAT", name
+                out += made(value[2]) * min(value[1] if longest else value[0], 8)
+        return out
+
+    return made(_parser.parse(pattern))
+
+
+def test_every_license_rule_fires_on_its_own_text(spark):
+    own = [(rule, sampled(rule[3], longest)) for rule in licenses.rules() for longest in (False, True)]
+    for (keyword, *_), text in own:
+        assert f" {keyword}" in f" {text} ", text
+    whole = ["Licensed under the GPLv3.", "under the LGPLv2.1", "SPDX-License-Identifier: MPL-2.0", "License: proprietary"]
+    texts = [t for _, t in own] + whole
+    found = licenses.find_licenses(frame(spark, list(enumerate(texts))), ["doc_id"]).collect()
+    spans = {r["doc_id"]: [d for d in r["detections"] if (d["start"], d["end"]) == (0, r["n_words"])] for r in found}
+    for i, ((_, label, kind, _), text) in enumerate(own):
+        priority = licenses.PRIORITIES[kind]
+        assert any(d["label"] == label and d["priority"] == priority or d["priority"] > priority for d in spans[i]), (label, kind, text)
+    labels = {r["doc_id"]: {d["label"] for d in r["detections"]} for r in found}
+    assert [labels[len(own) + i] for i in range(4)] == [{"gpl"}, {"lgpl"}, {"mpl"}, {"proprietary"}]
+
+
 def test_archives(spark, tmp_path):
     pages = [(1, "u", "<p>é</p>"), (2, "u\r\nx", "<p>é</p>"), (3, None, None), (4, "v", ""), (5, "w", "x" * 200_000), (9, "w", "<p>é</p>")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
