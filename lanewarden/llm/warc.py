@@ -8,7 +8,9 @@ so a task that is run twice leaves an unlisted file behind, never a doubled reco
 **Reading.** A task gets byte ranges of archives. It looks for the gzip magic, decodes each candidate
 member until its WARC header stands (else the candidate is dismissed), and owns the members that
 start inside its range; the last one is read past the range's end. Between two members nothing is
-scanned. A candidate counts as a member only if it decodes to its end with a right checksum.
+scanned. A candidate counts as a member only if it decodes to its end with a right checksum; its WARC
+header may be of any length. The records read are stored, and counted against the manifest: an archive
+that gives another number than its row says is an error.
 
 Defined results: a null html is an empty payload; a null url has no target header; rows that repeat
 a page_id each give a record, and all rows with the largest id of a payload are responses; null
@@ -36,7 +38,6 @@ from lanewarden.session import materialize, scratch_path
 RANGE_BYTES = 8 << 20
 ARCHIVE_BYTES = 1 << 30
 MAGIC = b"\x1f\x8b\x08"
-_HEADER_LIMIT = 1 << 16
 _STEP = 1 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -141,25 +142,22 @@ class _Bytes:
 
 def _member(source: _Bytes, at: int) -> tuple[bytes, int] | None:
     """The decoded WARC record of the member at ``at`` and where it ends; None if there is none."""
-    decoder, parts, size, known = zlib.decompressobj(31), [], 0, False
+    decoder, record, known = zlib.decompressobj(31), bytearray(), False
     while not decoder.eof:
         if at >= len(source.data) and not source.more():
             return None
         piece = bytes(memoryview(source.data)[at : at + _STEP])
+        looked = max(0, len(record) - 3)
         try:
-            parts.append(decoder.decompress(piece))
+            record += decoder.decompress(piece)
         except zlib.error:
             return None
         at += len(piece)
-        size += len(parts[-1])
-        if not known and size:
-            head = b"".join(parts)[:_HEADER_LIMIT]
-            if not head.startswith(b"WARC/1."[: len(head)]):
+        if not known:
+            if not record.startswith(b"WARC/1."[: len(record)]):
                 return None
-            known = b"\r\n\r\n" in head
-            if not known and size > _HEADER_LIMIT:
-                return None
-    return (b"".join(parts), at - len(decoder.unused_data)) if known else None
+            known = record.find(b"\r\n\r\n", looked) >= 0
+    return (bytes(record), at - len(decoder.unused_data)) if known else None
 
 
 def scan_range(file: pa.NativeFile, start: int, end: int) -> Iterator[bytes]:
@@ -203,13 +201,13 @@ def parse_record(record: bytes, with_payload: bool) -> tuple:
 def read_archives(
     spark: SparkSession, manifest: DataFrame, *, range_bytes: int = RANGE_BYTES, with_payload: bool = False
 ) -> DataFrame:
-    """The records of the manifest's archives; ``payload`` (null for revisits) on request."""
+    """The stored records of the manifest's archives; ``payload`` (null for revisits) on request."""
     total = manifest.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long")))
     ranges = manifest.where("bytes > 0").select("path", start.alias("start"), "bytes")
     ranges = ranges.repartition(int(total), "path", "start")
-    schema = RECORD + (", payload binary" if with_payload else "")
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * with_payload
+    schema = "_path string, " + RECORD + (", payload binary" if with_payload else "")
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * with_payload
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,14 +217,21 @@ def read_archives(
                 rows, held = [], 0
                 with store.open_input_file(name) as file:
                     for record in scan_range(file, low, min(low + range_bytes, size)):
-                        rows.append(parse_record(record, with_payload))
-                        held += len(record) if with_payload else 100
+                        rows.append((path, *parse_record(record, with_payload)))
+                        held += len(record) if with_payload else 100 + len(rows[-1][2] or "")
                         if held > 8 * _STEP:
                             yield _rows(rows, kinds, names)
                             rows, held = [], 0
                 yield _rows(rows, kinds, names)
 
-    return ranges.mapInArrow(run, schema)
+    found = materialize(ranges.mapInArrow(run, schema), "records")
+    counts = found.groupBy(F.col("_path").alias("path")).agg(F.count(F.lit(1)).alias("_found"))
+    read = F.coalesce(F.col("_found"), F.lit(0).cast("long"))
+    wrong = manifest.join(counts, "path", "left").where(read != F.col("records")).select("path", "records", read.alias("found")).take(3)
+    if wrong:
+        told = ", ".join(f"{r['path']} gave {r['found']} of {r['records']} records" for r in wrong)
+        raise ValueError(f"incomplete archives: {told}")
+    return found.drop("_path")
 
 
 def _rows(rows: list[tuple], kinds: list, names: list[str]) -> pa.RecordBatch:

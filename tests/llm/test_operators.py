@@ -237,6 +237,23 @@ def test_archives(spark, tmp_path):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_archives_with_long_urls_and_lost_records(spark, tmp_path):
+    pages = [(1, "data:," + "x" * 70_000, "a"), (2, "u", "a"), (3, "?" + " é" * 40_000, "a"), (4, "y" * 3_000_000, "b"), (5, None, "c")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    manifest = warc.write_archives(warc.plan_records(df).coalesce(1), str(tmp_path / "warc"))
+    want = brute.archived([(p, h) for p, _, h in pages])
+    for size in (1000, 1 << 23):
+        found = warc.read_archives(spark, manifest, range_bytes=size)
+        assert collected(found, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == want
+        urls = {p: u and u.replace(" ", "%20") for p, u, _ in pages}
+        assert {r["page_id"]: r["url"] for r in found.collect()} == urls
+    path = manifest.first()["path"]
+    with open(path, "rb+") as file:
+        file.truncate(manifest.first()["bytes"] - 1)
+    with pytest.raises(ValueError, match="4 of 5 records"):
+        warc.read_archives(spark, manifest)
+
+
 def test_packing(spark):
     rng = random.Random(4)
     sizes = [rng.choice([rng.randrange(1, 400), rng.randrange(400, 1001)]) for _ in range(3000)]
