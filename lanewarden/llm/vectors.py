@@ -13,9 +13,11 @@ whose centres are further apart than their radii and the threshold's angle allow
 Equal vectors form a class with a count; a tile pair returns per vector the number of links (weighted
 by class size) and links that span the connected parts, never all pairs.
 
-Defined results: vectors that are null, empty, zero, of another length than most, or hold null or
-non-finite numbers link with nothing; rows with a null vec_id count as links of others but have no
-component; rows that repeat a vec_id count row by row; an empty table gives no rows.
+Vectors are compared with those of their own length, one round of the above per length.
+
+Defined results: vectors that are null, empty, zero, or hold null or non-finite numbers link with
+nothing; rows with a null vec_id count as links of others but have no component; rows that repeat a
+vec_id count row by row; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,18 +100,14 @@ def _spanning(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
             return least
 
 
-def _classes(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
-    """Rows with a ``code`` (bytes of the doubles; null if it links with nothing), and the width."""
+def _classes(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+    """``vec_id`` and ``values``, the doubles (null if the row links with nothing)."""
     values = F.transform(F.col(vector), lambda x: x.cast("double"))
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     good = F.col(vector).isNotNull() & finite & F.exists(values, lambda x: x != 0)
     rows = vectors.select(F.col(key).alias("vec_id"), F.when(good, values).alias("values"))
-    widths = rows.where("values is not null").groupBy(F.size("values").alias("width")).count()
-    common = widths.orderBy(F.desc("count"), "width").first()
-    width = common["width"] if common else 0
-    # A text form of the numbers tells vectors apart exactly and can be grouped by; -0.0 equals 0.0.
-    kept = F.when(F.size("values") == width, F.transform("values", lambda x: x + F.lit(0.0)))
-    return rows.select("vec_id", kept.alias("values")), width
+    # Vectors are told apart exactly and can be grouped by; -0.0 equals 0.0.
+    return rows.select("vec_id", F.transform("values", lambda x: x + F.lit(0.0)).alias("values"))
 
 
 def near_vectors(
@@ -118,9 +116,25 @@ def near_vectors(
     """``key, n_links, component_id, kept`` for each row."""
     spark = vectors.sparkSession
     small_batches(spark)
-    rows, width = _classes(vectors, key, vector)
+    rows = _classes(vectors, key, vector)
     rows = materialize(rows.withColumn("_a", F.xxhash64("values")).withColumn("_b", F.hash("values")), "vectors")
-    usable = rows.where("values is not null")
+    widths = rows.where("values is not null").select(F.size("values").alias("width")).distinct().collect()
+    answers = [_width_links(rows, width, threshold, tile) for width in sorted(r["width"] for r in widths) or [0]]
+    answer = answers[0]
+    for other in answers[1:]:
+        answer = answer.unionByName(other)
+    found = rows.join(answer, "values", "left")
+    component_id = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
+    return found.select(
+        F.col("vec_id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        component_id.alias("component_id"), F.coalesce(component_id == F.col("vec_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _width_links(rows: DataFrame, width: int, threshold: float, tile: int) -> DataFrame:
+    """``values, component_id, n_links`` of the classes of rows whose vectors have ``width`` numbers."""
+    spark = rows.sparkSession
+    usable = rows.where(F.size("values") == width)
     grouped = usable.groupBy("values").agg(
         F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least"), F.first("_a").alias("_a")
     )
@@ -176,15 +190,9 @@ def near_vectors(
     linked = linked.join(component.withColumnRenamed("node", "number"), "number", "left")
     linked = materialize(linked.select("values", "weight", "least", "links", F.coalesce("component", "number").alias("part")), "linked")
     lowest = linked.groupBy("part").agg(F.min("least").alias("component_id"))
-    answer = linked.join(lowest, "part").select(
+    return linked.join(lowest, "part").select(
         "values", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    found = rows.join(answer, "values", "left")
-    component_id = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
-    return found.select(
-        F.col("vec_id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component_id.alias("component_id"), F.coalesce(component_id == F.col("vec_id"), F.lit(True)).alias("kept"),
-    )
 
 
 def _tile_pairs(tiles: DataFrame, n_tiles: int, width: int, threshold: float) -> tuple[DataFrame, DataFrame]:

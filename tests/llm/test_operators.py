@@ -92,6 +92,22 @@ def test_near_vectors(spark):
     assert collected(found, "vec_id", "n_links", "component_id", "kept") == want
 
 
+def test_near_vectors_of_several_widths(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for width, n in ((8, 60), (5, 40), (3, 1)):
+        base = rng.normal(size=(4, width))
+        rows += [(base[i % 4] + rng.normal(size=width) * 0.3).tolist() for i in range(n)] + [base[0].tolist()] * 2
+    ids = list(enumerate(rows + [None, [0.0] * 5]))
+    found = vectors.near_vectors(spark.createDataFrame(ids, "vec_id long, embedding array<double>"), threshold=0.9, tile=16)
+    want = {}
+    for width in (8, 5, 3):
+        want |= brute.near_vectors([(i, v) for i, v in ids if v and len(v) == width], 0.9)
+    want |= {i: (0, i, True) for i, v in ids[-2:]}
+    assert collected(found, "vec_id", "n_links", "component_id", "kept") == want
+    assert all(want[i][0] for i in (100, 101, 103))
+
+
 def test_quantisation_bound():
     rng = np.random.default_rng(0)
     units = rng.normal(size=(200, 64))
