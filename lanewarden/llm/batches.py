@@ -143,6 +143,18 @@ class Words:
         return mix(total)
 
 
+def dictionary(words: Words) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of a batch, folded, and the number of each word's entry."""
+    lengths = words.ends - words.starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    inside = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - words.starts, lengths)
+    body = words.alphabet.fold[words.data[inside]]
+    spelled = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))]
+    ).dictionary_encode()
+    return spelled.dictionary.cast(pa.string()), spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _pieces(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Iterator[tuple[int, int]]:
     """Byte ranges of about ``PIECE_BYTES`` that cut no word."""
     low, end = 0, len(data)

@@ -74,4 +74,37 @@ FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS bytes, sha1(
              max(page_id) OVER (PARTITION BY coalesce(html, '')) AS chosen FROM pages)
 """
 
-ORACLE = {"op3_embedding_dedup": OP3, "op8_minhash_dedup": OP8, "op9_decontaminate": OP9, "op10_warc": OP10}
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+occurring AS (
+  SELECT lang, unnest(w) AS phrase, 1 AS size FROM split
+  UNION ALL SELECT lang, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]), 2 FROM split
+  UNION ALL SELECT lang, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]), 3 FROM split),
+counts AS MATERIALIZED (SELECT lang, phrase, size, count(*) AS f FROM occurring GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+long_ AS (SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w FROM counts WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:size], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM long_)),
+lowest AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score, c.k
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.lp JOIN counts y ON y.lang = c.lang AND y.phrase = c.rp
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS outer_a
+  FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM long_ WHERE size = 3) GROUP BY ALL)
+SELECT p.lang, rank, phrase, a, l, r, n, score
+FROM (SELECT v.*, row_number() OVER (PARTITION BY v.lang ORDER BY score DESC, a DESC, v.phrase) AS rank
+      FROM lowest v LEFT JOIN inside i ON i.lang = v.lang AND i.phrase = v.phrase
+      WHERE coalesce(100 * i.outer_a < 50 * v.a, true)) p
+JOIN totals t ON t.lang = p.lang
+WHERE rank <= 2000
+"""
+
+ORACLE = {"op3_embedding_dedup": OP3, "op8_minhash_dedup": OP8, "op9_decontaminate": OP9, "op10_warc": OP10, "op11_collocations": OP11}

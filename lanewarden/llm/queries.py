@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewarden.llm import decontaminate, licenses, near_dedup, packing, quality, repeats, secrets, toxicity, vectors, warc
+from lanewarden.llm import (
+    decontaminate, language, licenses, near_dedup, packing, phrases, quality, repeats, secrets, toxicity, vectors, warc,
+    whitening,
+)
 from lanewarden.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +90,24 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_windows(docs, benchmark, ["doc_id"]))
 
 
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, covered=50, top=2000)
+
+
+@_query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.train(docs), ["doc_id"])
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(_table(spark, sf_dir, "embeddings"), keep=["vec_id"], most=16)
+    return whitening.by_component(whitened, ["vec_id"])
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -148,3 +148,112 @@ def base_licenses(docs) -> dict:
             labels |= {label} if here else set()
         out[doc_id] = (len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels)))
     return out
+
+
+def collocations(docs, longest: int, least: int, covered: int, top: int) -> list[tuple]:
+    """Of ``(text, lang)`` rows."""
+    counts, totals = Counter(), Counter()
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        totals[lang] += 0
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", _fold(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for size in range(1, longest + 1):
+                counts.update((lang, *words[i : i + size]) for i in range(len(words) - size + 1))
+    candidates = {p: a for p, a in counts.items() if len(p) > 2 and a >= least}
+    rows = []
+    for (lang, *words), a in candidates.items():
+        inside = [
+            f for (other, *longer), f in candidates.items()
+            if other == lang and len(longer) > len(words)
+            and any(longer[i : i + len(words)] == words for i in range(len(longer) - len(words) + 1))
+        ]
+        if any(100 * f >= covered * a for f in inside):
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[(lang, *words[:k])], counts[(lang, *words[k:])]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        rows.append((lang, -score, -a, " ".join(words).encode(), left, right))
+    out, rank = [], Counter()
+    for lang, score, a, phrase, left, right in sorted(rows):
+        rank[lang] += 1
+        if rank[lang] <= top:
+            out.append((lang, rank[lang], phrase.decode(), -a, left, right, totals[lang], -score))
+    return out
+
+
+def languages(learned, asked) -> dict:
+    """Of ``(text, lang)`` rows to learn from and ``(id, text)`` rows: language and score."""
+    import math
+    import unicodedata
+    import zlib
+
+    def words_of(text):
+        out, run = [], ""
+        for c in (text or "").lower() + " ":
+            kind = unicodedata.category(c)[0]
+            if kind == "L" or kind == "M" and run:
+                run += c
+            else:
+                out += [run[i : i + 64] for i in range(0, len(run), 64)]
+                run = ""
+        return out
+
+    def grams(word, size):
+        padded = f" {word} "
+        return [zlib.crc32(padded[i : i + size].encode()) % (1 << 18) for i in range(len(padded) - size + 1)]
+
+    seen: dict[str, Counter] = {}
+    for text, lang in learned:
+        for word in words_of(text):
+            seen.setdefault(word, Counter())[lang] += 1
+    langs = sorted({lang for c in seen.values() for lang in c})
+    tokens = {lang: sum(c[lang] for c in seen.values()) for lang in langs}
+    slots: dict[int, dict] = {size: {} for size in (4, 3, 2, 1)}
+    for word, counts in seen.items():
+        for size, table in slots.items():
+            for slot in grams(word, size):
+                for lang in counts:
+                    table.setdefault(slot, Counter())[lang] += 1
+
+    def logs(word):
+        if word in seen:
+            return {x: math.log((seen[word][x] + 0.5) / (tokens[x] + 0.5 * len(seen))) for x in langs}
+        for size, table in slots.items():
+            known = [s for s in grams(word, size) if s in table]
+            if known:
+                totals = {x: sum(c[x] for c in table.values()) for x in langs}
+                return {
+                    x: sum(math.log((table[s][x] + 0.5) / (totals[x] + 0.5 * len(table))) for s in known) / len(known)
+                    for x in langs
+                }
+        return dict.fromkeys(langs, 0.0)
+
+    out = {}
+    for doc_id, text in asked:
+        words = words_of(text)
+        if not words or not langs:
+            out[doc_id] = ("und", 0.0)
+            continue
+        each = [logs(w) for w in words]
+        sums = {x: sum(e[x] for e in each) for x in langs}
+        best = max(langs, key=lambda x: sums[x])
+        out[doc_id] = (best, 1 / sum(math.exp(v - sums[best]) for v in sums.values()))
+    return out
+
+
+def whitening(vectors, most: int):
+    """``{id: x}``, count, sums, eigenvalues (falling), vectors, of ``(id, vector)`` rows of one width."""
+    x = {i: [math_floor(64 * c) + 1_000_000 for c in v] for i, v in vectors if v and all(c is not None and np.isfinite(c) for c in v)}
+    fit = np.array(sorted({tuple(v) for v in x.values()}))
+    sums = fit.sum(0)
+    rows = fit - sums / len(fit)
+    values, columns = np.linalg.eigh(rows.T @ rows / len(fit))
+    return x, len(fit), sums, values[::-1], columns[:, ::-1][:, :most]
+
+
+def math_floor(c: float) -> int:
+    return int(np.floor(c))
