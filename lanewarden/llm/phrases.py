@@ -21,12 +21,14 @@ without a candidate, gives no rows; ties are ranked by the phrase's bytes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lanewarden.llm.batches import Alphabet, Words, dictionary, mix, small_batches, utf8
@@ -101,12 +103,20 @@ def _pieces(docs: DataFrame, shards: int) -> DataFrame:
     return docs.where("text is not null and text <> ''").select("text", lang, shard)
 
 
-def _scan(texts: DataFrame, longest: int, words: bool, now: dict, before: dict) -> DataFrame:
+def _send(spark: SparkSession, *bitmaps: dict[int, Bits]) -> Broadcast:
+    """Bitmaps by length, compressed: most have few bits."""
+    return spark.sparkContext.broadcast([{size: zlib.compress(bits, 1) for size, bits in some.items()} for some in bitmaps])
+
+
+def _received(sent: Broadcast) -> list[dict[int, Bits]]:
+    return [{size: np.frombuffer(zlib.decompress(body), np.uint8) for size, body in some.items()} for some in sent.value]
+
+
+def _scan(texts: DataFrame, longest: int, words: bool, sent: Broadcast) -> DataFrame:
     """``size, key, n`` of all words (with ``words``) and of the longer phrases that are in their cycle."""
-    sent = texts.sparkSession.sparkContext.broadcast((now, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = sent.value
+        now, before = _received(sent)
         for batch in batches:
             each = _Batch(batch)
             for size in range(1, longest + 1):
@@ -157,8 +167,11 @@ def frequent_keys(texts: DataFrame, *, longest: int, least: int, shards: int) ->
         now, before = history[-1], history[step - shards] if step >= shards else {}
         if before and all(np.array_equal(now[size], before[size]) for size in range(1, longest)):
             break
-        found = _scan(texts.where(F.col("shard") == step % shards).select("text", "lang"), longest, step < shards, now, before)
+        shorter = [{size: bits for size, bits in some.items() if size < longest} for some in (now, before)]
+        sent = _send(texts.sparkSession, *shorter)
+        found = _scan(texts.where(F.col("shard") == step % shards).select("text", "lang"), longest, step < shards, sent)
         found = materialize(found, "phrase-scan")
+        sent.destroy()
         counted = found if counted is None else counted.unionByName(found)
         # A scan changes the counts of words in the first cycle, of pairs from the second scan on, and so on.
         history.append({size: _bits(counted, size, least) if _moves(size, step, shards) else now[size] for size in now})
@@ -176,10 +189,10 @@ def frequent_phrases(docs: DataFrame, *, longest: int, least: int, shards: int =
     with all its word occurrences, as a stored table."""
     small_batches(docs.sparkSession)
     texts = _pieces(docs, shards)
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_keys(texts, longest=longest, least=least, shards=shards))
+    sent = _send(docs.sparkSession, frequent_keys(texts, longest=longest, least=least, shards=shards))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
+        (bits,) = _received(sent)
         for batch in batches:
             each = _Batch(batch)
             if not len(each.lang):
