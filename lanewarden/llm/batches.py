@@ -28,6 +28,19 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(conf, str(most))
 
 
+def merged(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches joined to some of about ``most`` bytes, for work that gains from seeing repeats together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def add_columns(
     df: DataFrame,
     keep: Sequence[str],

@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lanewarden.llm.batches import Alphabet, Words, dictionary, mix, small_batches, utf8
+from lanewarden.llm.batches import Alphabet, Words, dictionary, merged, mix, small_batches, utf8
 from lanewarden.session import materialize
 
 SHARDS = 2
@@ -113,11 +113,14 @@ def _received(sent: Broadcast) -> list[dict[int, Bits]]:
 
 
 def _scan(texts: DataFrame, longest: int, words: bool, sent: Broadcast) -> DataFrame:
-    """``size, key, n`` of all words (with ``words``) and of the longer phrases that are in their cycle."""
+    """``size, key, n`` of all words (with ``words``) and of the longer phrases that are in their cycle.
+
+    A key has a row for each batch that holds it; they are summed where counts are asked for.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = _received(sent)
-        for batch in batches:
+        for batch in merged(batches):
             each = _Batch(batch)
             for size in range(1, longest + 1):
                 at = each.places(size)
@@ -134,7 +137,7 @@ def _scan(texts: DataFrame, longest: int, words: bool, sent: Broadcast) -> DataF
                     ["size", "key", "n"],
                 )
 
-    return texts.mapInArrow(run, "size byte, key long, n long").groupBy("size", "key").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "size byte, key long, n long")
 
 
 def _active(bits: Bits, parts: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -160,15 +163,14 @@ def _bits(counted: DataFrame, size: int, least: int) -> Bits:
 def frequent_keys(texts: DataFrame, *, longest: int, least: int, shards: int) -> dict[int, Bits]:
     """For each length the bitmap of keys with ``least`` occurrences, by cyclic scans."""
     zero = np.zeros((1 << SLOT_BITS) // 8, np.uint8)
-    history: list[dict[int, Bits]] = [{size: zero for size in range(1, longest + 1)}]
+    history: list[dict[int, Bits]] = [{size: zero for size in range(1, longest)}]
     counted: DataFrame | None = None
     step = 0
     while True:
         now, before = history[-1], history[step - shards] if step >= shards else {}
-        if before and all(np.array_equal(now[size], before[size]) for size in range(1, longest)):
-            break
-        shorter = [{size: bits for size, bits in some.items() if size < longest} for some in (now, before)]
-        sent = _send(texts.sparkSession, *shorter)
+        if before and all(np.array_equal(now[size], before[size]) for size in now):
+            return now | {longest: _bits(counted, longest, least)}
+        sent = _send(texts.sparkSession, now, before)
         found = _scan(texts.where(F.col("shard") == step % shards).select("text", "lang"), longest, step < shards, sent)
         found = materialize(found, "phrase-scan")
         sent.destroy()
@@ -176,7 +178,6 @@ def frequent_keys(texts: DataFrame, *, longest: int, least: int, shards: int) ->
         # A scan changes the counts of words in the first cycle, of pairs from the second scan on, and so on.
         history.append({size: _bits(counted, size, least) if _moves(size, step, shards) else now[size] for size in now})
         step += 1
-    return history[-1]
 
 
 def _moves(size: int, step: int, shards: int) -> bool:
@@ -193,7 +194,7 @@ def frequent_phrases(docs: DataFrame, *, longest: int, least: int, shards: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (bits,) = _received(sent)
-        for batch in batches:
+        for batch in merged(batches):
             each = _Batch(batch)
             if not len(each.lang):
                 continue
