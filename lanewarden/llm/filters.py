@@ -1,27 +1,38 @@
-"""A bounded filter before a join."""
+"""A bounded filter before a join, and names that do not clash."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """``name``, with underscores added until none of ``columns`` has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def possible_rows(rows: DataFrame, wanted: DataFrame, *keys: str, others: bool = False) -> DataFrame:
     """The ``rows`` whose ``keys`` may be among those of ``wanted``, without a shuffle of ``rows``.
 
     A bitmap of ``2**26`` hashed keys (8 MB, whatever the input) is broadcast; a join must follow.
-    ``others`` gives the rest instead: rows that are certainly not among them.
+    ``others`` gives the rest instead: rows that are certainly not among them. Columns of ``rows`` may
+    have any names.
     """
+    bucket, place, bitmap = (unused(name, rows.columns) for name in ("_bucket", "_place", "_bits"))
 
     def slot():
         return F.pmod(F.xxhash64(*keys), F.lit(1 << 26))
 
-    bits = wanted.select(slot().alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")
+    bits = wanted.select(slot().alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias(bitmap)
     )
-    place = F.bitmap_bit_position(slot())
-    asked = rows.withColumn("_bucket", F.bitmap_bucket_number(slot())).withColumn("_place", place)
-    found = asked.join(F.broadcast(bits), "_bucket", "left")
-    byte = "cast(conv(hex(substring(_bits, cast(_place div 8 as int) + 1, 1)), 16, 10) as long)"
-    hit = F.coalesce(F.expr(f"getbit({byte}, cast(_place % 8 as int)) = 1"), F.lit(False))
+    asked = rows.withColumn(bucket, F.bitmap_bucket_number(slot())).withColumn(place, F.bitmap_bit_position(slot()))
+    found = asked.join(F.broadcast(bits), bucket, "left")
+    byte = f"cast(conv(hex(substring(`{bitmap}`, cast(`{place}` div 8 as int) + 1, 1)), 16, 10) as long)"
+    hit = F.coalesce(F.expr(f"getbit({byte}, cast(`{place}` % 8 as int)) = 1"), F.lit(False))
     return found.where(~hit if others else hit).select(*rows.columns)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewarden.llm.batches import small_batches
+from lanewarden.llm.filters import unused
 from lanewarden.session import materialize
 
 CAPACITY = 4096
@@ -55,7 +56,6 @@ def word_encoder(path: str) -> Encoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     vocabulary = tokenizer.get_vocab()
     final = np.zeros(max(vocabulary.values()) + 1, bool)
     final[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -77,10 +77,20 @@ def word_encoder(path: str) -> Encoder:
             found[word] = np.array(x.ids, "<u4").tobytes()
         return found
 
+    def ends_a_unit(stem: str) -> bool:
+        """Whether a mark after ``stem`` is a unit of its own; folding may leave a combining mark, which joins it."""
+        if stem.isascii():
+            return stem[-1:].isalnum()
+        units = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(stem + "."))
+        return bool(units) and units[-1][0] == "."
+
     def split(word: str) -> tuple[str, str]:
         """A word's stem and the marks after it, which never share a token."""
+        if "<|" in word:
+            # Perhaps a special token, which is told by its very characters.
+            return word, ""
         stem = word.rstrip(_MARKS)
-        if not stem or not stem[-1].isalnum():
+        if len(stem) < len(word) and not ends_a_unit(stem):
             stem = word
         return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
 
@@ -207,43 +217,47 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return place, offset, np.array(fills, np.int64)
 
 
-def _packer(capacity: int, round_: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _packer(capacity: int, round_: int, part: str, open_: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         lengths = pdf["length"].to_numpy(np.int64)
         place, offset, fills = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         loose = fills < capacity if len(fills) > bound else fills < capacity * (1 - LOOSE)
-        part = int(pdf["_part"].iloc[0])
-        pdf["sequence_id"] = (round_ << 58) + (part << 30) + place
+        pdf["sequence_id"] = (round_ << 58) + (int(pdf[part].iloc[0]) << 30) + place
         pdf["offset"] = offset
-        pdf["_open"] = loose[place]
+        pdf[open_] = loose[place]
         return pdf
 
     return packed
 
 
 def pack(pieces: DataFrame, *, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
-    """``pieces`` (any columns, and ``length`` in 1..capacity) with ``sequence_id`` and ``offset``."""
-    columns = pieces.columns
-    pieces = materialize(pieces, "pieces")
+    """``pieces`` (any columns, and ``length`` in 1..capacity) with ``sequence_id`` and ``offset``.
+
+    Columns that have these two names already are replaced. Pieces are dealt by their place in a stored
+    copy, so equal ones spread like any others.
+    """
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    row, part, open_ = (unused(name, columns) for name in ("_row", "_part", "_open"))
+    pieces = materialize(pieces.select(*columns, F.monotonically_increasing_id().alias(row)), "pieces")
     histogram = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = np.zeros(capacity + 1, np.int64)
-    for row in histogram:
-        counts[row["length"]] = row["n"]
+    for each in histogram:
+        counts[each["length"]] = each["n"]
     goal, open_pieces = lower_bound(counts, capacity), int(counts.sum())
-    schema = pieces.limit(0).selectExpr(
-        "*", "0 as _part", "cast(0 as long) as sequence_id", "cast(0 as long) as offset", "true as _open"
+    schema = pieces.limit(0).select(
+        "*", F.lit(0).alias(part), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias(open_)
     ).schema
     closed, closed_bins, best = None, 0, None
     todo = pieces
     for round_ in range(MAX_ROUNDS):
         parts = max(1, -(-open_pieces // partition_pieces))
-        dealt = todo.withColumn("_part", F.pmod(F.xxhash64(F.lit(round_), *columns), F.lit(parts)).cast("int"))
-        result = materialize(dealt.groupBy("_part").applyInPandas(_packer(capacity, round_), schema), "packed")
+        dealt = todo.withColumn(part, F.pmod(F.xxhash64(F.lit(round_), row), F.lit(parts)).cast("int"))
+        result = materialize(dealt.groupBy(part).applyInPandas(_packer(capacity, round_, part, open_), schema), "packed")
         bins, open_bins, open_pieces = result.agg(
             F.count(F.when(F.col("offset") == 0, 1)),
-            F.count(F.when((F.col("offset") == 0) & F.col("_open"), 1)),
-            F.count(F.when(F.col("_open"), 1)),
+            F.count(F.when((F.col("offset") == 0) & F.col(open_), 1)),
+            F.count(F.when(F.col(open_), 1)),
         ).first()
         total = closed_bins + bins
         if best is not None and total >= best[0]:
@@ -251,10 +265,10 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, partition_pieces: int =
         best = (total, result if closed is None else closed.unionByName(result))
         if total == goal or parts == 1 or not open_bins:
             break
-        kept = result.where(~F.col("_open"))
+        kept = result.where(~F.col(open_))
         closed = kept if closed is None else closed.unionByName(kept)
         closed_bins += bins - open_bins
-        todo = result.where("_open").select(*columns)
+        todo = result.where(open_).select(*columns, row)
     return best[1].select(*columns, "sequence_id", "offset")
 
 

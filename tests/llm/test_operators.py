@@ -300,14 +300,30 @@ def test_lower_bound_is_valid():
 
 
 def test_word_ids_equal_the_tokenizer():
+    import unicodedata
+
     from tokenizers import Tokenizer
 
     path = queries.tokenizer_path()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    odd = ["İstanbul don't  á \x1cx <|endoftext|> ǅ Σας 12ab3 o'neil's.\tab ...!! ½", "", " ", "a\n\nB, " + "z" * 100, "é ﬁ!'s"]
-    got = packing.word_encoder(path)(odd * 2)
-    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [x.ids for x in whole.encode_batch(odd, add_special_tokens=False)] * 2
+    encode = packing.word_encoder(path)
+
+    def same(texts):
+        got = [np.frombuffer(g, "<u4").tolist() for g in encode(texts)]
+        wrong = [(t, g, x.ids) for t, g, x in zip(texts, got, whole.encode_batch(texts, add_special_tokens=False)) if g != x.ids]
+        assert not wrong, wrong[:3]
+
+    odd = ["İstanbul don't  á \x1cx <|endoftext|> ǅ Σας 12ab3 o'neil's.\tab ...!! ½", "", " ", "a\n\nB, " + "z" * 100, "é ﬁ!'s"]
+    odd += ["end <|endoftext|> x", "X<|ENDOFTEXT|>.", "a<|startoftext|>b!", "<|endoftext|", "aİ. क़, फ़! יִ? İ", "́. á, ..́"]
+    same(odd * 2)
+    chars = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c))[0] in "LMN" and not 0xAC00 < c < 0xD700 and not 0x4E10 < c < 0x9F00 and c < 0x1F000]
+    marks = list(".,;:!?&%$#*|'<>-") + [" ", " ", "\n", "\t", "\xa0", "<|endoftext|>"]
+    rng = random.Random(12)
+    # Each letter, mark and digit once before a mark, and random strings of all of them.
+    same([f"a{c}. {c}! {c}'s" for c in chars])
+    near = "İıǰΐẖẞßΣςşé" + "".join(chars[i] for i in rng.sample(range(len(chars)), 60))
+    for pool in (chars, list(near)):
+        same(["".join(rng.choice(marks if rng.random() < 0.4 else pool) for _ in range(rng.randrange(1, 14))) for _ in range(4000)])
 
 
 def test_toxicity_learns_spellings(spark):
