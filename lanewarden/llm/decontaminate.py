@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewarden.llm.batches import PLAIN, Words, add_columns, small_batches, utf8
+from lanewarden.llm.filters import unused
 from lanewarden.session import materialize
 
 WINDOW = 10
@@ -141,10 +142,11 @@ def find_windows(
     if blocks == 1:
         return _scan(docs, keep, text, next(sets))
     # More than one pass: fix row numbers in a stored copy, and bring the passes' hits together by row.
-    stored = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    row = unused("_row", docs.columns)
+    stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
     found = None
     for one in sets:
-        part = materialize(_scan(stored.select("_row", text), ["_row"], text, one), "hits")
+        part = materialize(_scan(stored.select(F.col(row).alias("_row"), text), ["_row"], text, one), "hits")
         found = part if found is None else found.unionByName(part)
         one.unpersist()
     merged = found.groupBy("_row").agg(
@@ -157,7 +159,8 @@ def find_windows(
         lambda batch: [[_merged([tuple(s) for s in row]) for row in batch.column("_spans").to_pylist()]],
     )
     kept = [c for c in keep if c not in _FOUND.names]
-    return stored.select("_row", *kept).join(merged, "_row").select(*kept, *_FOUND.names)
+    merged = merged.withColumnRenamed("_row", row)
+    return stored.select(row, *kept).join(merged, row).select(*kept, *_FOUND.names)
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -179,10 +182,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "docum
     ``remove="documents"`` drops each document with a hit; ``remove="spans"`` keeps all of them and
     cuts the hit words, with what stands between them, out of the text.
     """
-    if remove == "documents":
-        return find_windows(docs, benchmark, n=n).where(F.size("hit_spans") == 0).select(*docs.columns)
-    if remove != "spans":
+    if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
+    # Columns but for the text go along in a struct, so that none meets the names of what is found.
+    others = F.struct(*[c for c in docs.columns if c != "text"], F.lit(0).alias("_")).alias("kept")
+    found = find_windows(docs.select(others, "text"), benchmark, n=n)
+    own = [F.col("text") if c == "text" else F.col("kept")[c].alias(c) for c in docs.columns]
+    if remove == "documents":
+        return found.where(F.size("hit_spans") == 0).select(*own)
 
     def compute(batch: pa.RecordBatch):
         data, offsets = utf8(batch.column("text"))
@@ -197,6 +204,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "docum
             out.append(b"".join(parts).decode() if batch.column("text")[i].is_valid else None)
         return [out]
 
-    found = find_windows(docs, benchmark, n=n)
-    cut = add_columns(found, [c for c in docs.columns if c != "text"], T.StructType([docs.schema["text"]]), compute)
-    return cut.select(*docs.columns)
+    return add_columns(found, ["kept"], T.StructType([docs.schema["text"]]), compute).select(*own)

@@ -239,6 +239,8 @@ def collocations(
     ``a`` counts the phrase, ``l`` and ``r`` the parts of its lowest-scoring cut, ``score`` is
     ``floor(1000000 a a / (l r))``. A phrase inside a longer one with ``covered`` percent of its count is dropped.
     """
+    if longest < 2:
+        raise ValueError("a collocation has two words at least")
     found = frequent_phrases(docs, longest=longest, least=least, shards=shards)
     counts = found.where("size > 0").select("lang", "size", "phrase", "f")
     long_ = counts.where("size > 1").withColumn("words", F.split("phrase", " "))

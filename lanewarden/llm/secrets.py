@@ -223,7 +223,8 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def redact(docs: DataFrame, *, mask: str = "[secret]") -> DataFrame:
     """The documents with each secret replaced by ``mask``; ``n_chars`` follows where there is one."""
-    found = find_secrets(docs)
+    others = F.struct(*[c for c in docs.columns if c != "text"], F.lit(0).alias("_")).alias("kept")
+    found = find_secrets(docs.select(others, "text"))
     body = F.col("text")
     cut = F.aggregate(
         "secrets",
@@ -239,6 +240,7 @@ def redact(docs: DataFrame, *, mask: str = "[secret]") -> DataFrame:
         lambda state: F.concat(state["out"], body.substr(state["at"] + 1, F.length(body))),
     )
     clean = found.withColumn("text", F.when(F.size("secrets") > 0, cut).otherwise(body))
+    own = {c: F.col("kept")[c] for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+        own["n_chars"] = F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(own["n_chars"])
+    return clean.select(*[own[c].alias(c) for c in docs.columns])

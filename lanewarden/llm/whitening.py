@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lanewarden.llm.batches import small_batches
+from lanewarden.llm.filters import unused
 from lanewarden.session import materialize
 
 SCALE, SHIFT = 64.0, 1_000_000
@@ -295,7 +296,7 @@ def whiten(vectors: DataFrame, column: str = "embedding", *, keep: Sequence[str]
                 fields = [batch.schema.field(i) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(taken + columns, schema=pa.schema(fields + new))
 
-    return vectors.select(*kept, F.col(column).alias("_vector")).mapInArrow(run, schema)
+    return vectors.select(*kept, F.col(column).alias(unused("_vector", kept))).mapInArrow(run, schema)
 
 
 def by_component(whitened: DataFrame, keep: Sequence[str]) -> DataFrame:
