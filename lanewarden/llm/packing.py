@@ -60,6 +60,7 @@ def word_encoder(path: str) -> Encoder:
     final = np.zeros(max(vocabulary.values()) + 1, bool)
     final[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
     known: dict[str, bytes] = {"": b""}
+    alone: dict[str, bool] = {}
 
     def encode(words: list[str]) -> dict[str, bytes]:
         """Ids of each word. Words of letters are one unit each, so they can be told apart in one run."""
@@ -78,11 +79,17 @@ def word_encoder(path: str) -> Encoder:
         return found
 
     def ends_a_unit(stem: str) -> bool:
-        """Whether a mark after ``stem`` is a unit of its own; folding may leave a combining mark, which joins it."""
-        if stem.isascii():
-            return stem[-1:].isalnum()
-        units = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(stem + "."))
-        return bool(units) and units[-1][0] == "."
+        """Whether a mark after ``stem`` is a unit of its own; folding may leave a combining mark, which joins it.
+
+        What a letter or digit folds to ends alike whatever stands before it.
+        """
+        last = stem[-1:]
+        if not last.isalnum():
+            return False
+        if last not in alone:
+            units = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(f"a{last}."))
+            alone[last] = units[-1][0] == "."
+        return alone[last]
 
     def split(word: str) -> tuple[str, str]:
         """A word's stem and the marks after it, which never share a token."""
