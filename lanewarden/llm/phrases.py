@@ -4,9 +4,9 @@ Texts are lower-cased (A-Z), split at ``. , ; : ! ?`` and line ends into pieces,
 blanks and tabs. All counts are per language; a phrase is a run of words inside a piece.
 
 **Scans.** The table is dealt into ``SHARDS`` shards, which are scanned in turn, again and again. The first
-cycle counts all words. A longer phrase is active, and counted, from the scan after both phrases that it
-consists of but for its last and its first word have reached ``least`` occurrences in the scans so far, until
-it has met each shard once. So lengths interleave, and it ends when nothing has become active for a cycle.
+cycle counts all words. A longer phrase is active, and counted, once both phrases that it consists of but for
+its last and its first word have reached ``least`` occurrences in the scans so far (looked at after each scan
+for words, at the end of each cycle for longer ones), until it has met each shard once. So lengths interleave, and it ends when nothing has become active for a cycle.
 Phrases are known to a scan by 64-bit keys. What is active is a bitmap of ``2**26`` slots for each length and
 scan (8 MB, whatever the input), so a scan needs no join. A phrase that merely shares a slot with an active
 one starts and ends as if it were active, so every key's count is that of one full cycle.
@@ -113,10 +113,7 @@ def _received(sent: Broadcast) -> list[dict[int, Bits]]:
 
 
 def _scan(texts: DataFrame, longest: int, words: bool, sent: Broadcast) -> DataFrame:
-    """``size, key, n`` of all words (with ``words``) and of the longer phrases that are in their cycle.
-
-    A key has a row for each batch that holds it; they are summed where counts are asked for.
-    """
+    """``size, key, n`` of all words (with ``words``) and of the longer phrases that are in their cycle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = _received(sent)
@@ -137,7 +134,7 @@ def _scan(texts: DataFrame, longest: int, words: bool, sent: Broadcast) -> DataF
                     ["size", "key", "n"],
                 )
 
-    return texts.mapInArrow(run, "size byte, key long, n long")
+    return texts.mapInArrow(run, "size byte, key long, n long").groupBy("size", "key").agg(F.sum("n").alias("n"))
 
 
 def _active(bits: Bits, parts: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -168,21 +165,21 @@ def frequent_keys(texts: DataFrame, *, longest: int, least: int, shards: int) ->
     step = 0
     while True:
         now, before = history[-1], history[step - shards] if step >= shards else {}
-        if before and all(np.array_equal(now[size], before[size]) for size in now):
+        if before and step % shards == 0 and all(np.array_equal(now[size], before[size]) for size in now):
             return now | {longest: _bits(counted, longest, least)}
         sent = _send(texts.sparkSession, now, before)
         found = _scan(texts.where(F.col("shard") == step % shards).select("text", "lang"), longest, step < shards, sent)
         found = materialize(found, "phrase-scan")
         sent.destroy()
         counted = found if counted is None else counted.unionByName(found)
-        # A scan changes the counts of words in the first cycle, of pairs from the second scan on, and so on.
         history.append({size: _bits(counted, size, least) if _moves(size, step, shards) else now[size] for size in now})
         step += 1
 
 
 def _moves(size: int, step: int, shards: int) -> bool:
-    """Whether phrases of a length can have been counted in a scan."""
-    return size - 1 <= step < size * shards
+    """Whether a length's bitmap is drawn anew after a scan: words in the first cycle, longer ones as a cycle
+    ends in which they can have been counted."""
+    return step < shards if size == 1 else size - 1 <= step < size * shards and (step + 1) % shards == 0
 
 
 def frequent_phrases(docs: DataFrame, *, longest: int, least: int, shards: int = SHARDS) -> DataFrame:
