@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from lanewarden.functions.scalars import day_of, day_start, window_start
 from lanewarden.functions.timeline import HOME, SLICE, with_slices
+from lanewarden.operators.chains import follow
 from lanewarden.operators.detect import first_of
 from lanewarden.schemas import STORED_VIOLATION, VIOLATION_COLUMNS
-from lanewarden.session import materialize
 from lanewarden.settings import DEDUP_WINDOW, duration_minutes, duration_seconds
 
 
@@ -43,17 +43,8 @@ def rolling_flag(violations: DataFrame, width: str = DEDUP_WINDOW) -> DataFrame:
         (F.count("start_us").over(by_time.rangeBetween(1 - us, -1)) == 0).alias("_sure"),
         F.min("start_us").over(by_time.rangeBetween(us, 2 * us - 1)).alias("_next"),
     )
-    nodes = materialize(linked.where(HOME).drop(HOME), "rolling")
-    jumps = nodes.where("_next is not null").select("car_plate", "start_us", "_next")
-    flags, known = nodes.where("_sure").select("car_plate", "start_us"), -1
-    while (found := flags.count()) != known:
-        known = found
-        reached = flags.join(jumps, ["car_plate", "start_us"]).select("car_plate", F.col("_next").alias("start_us"))
-        flags = materialize(flags.unionByName(reached).distinct(), "rolling")
-        further = jumps.select("car_plate", F.col("start_us").alias("_next"), F.col("_next").alias("_after"))
-        doubled = jumps.join(further, ["car_plate", "_next"]).select("car_plate", "start_us", F.col("_after").alias("_next"))
-        jumps = materialize(doubled, "rolling")
-    return nodes.join(flags, ["car_plate", "start_us"]).select("car_plate", "violation_type", "start_us")
+    flags = follow(linked.where(HOME).drop(HOME), ["car_plate"], "start_us")
+    return flags.select("car_plate", "violation_type", "start_us")
 
 
 def to_stored_violation(

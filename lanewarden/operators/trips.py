@@ -82,8 +82,13 @@ def detect_average_last_crossing(events: DataFrame, *, window: str = JOIN_WINDOW
     Unlike pairing neighbouring cameras by index, a missed camera leaves no gap: the segment then
     spans it. One row per offending segment.
     """
-    pairs = consecutive_segments(events, gap=window)
+    return judged_pairs(consecutive_segments(events, gap=window))
+
+
+def judged_pairs(pairs: DataFrame) -> DataFrame:
+    """The violations among crossings that each carry the next one's ``next_`` columns; table or stream."""
     dt = seconds_between(F.col("event_time"), F.col("next_event_time"))
+    distance = F.abs(F.col("next_position_km") - F.col("position_km"))
     found = pairs.where(dt > 0).select(
         "car_plate",
         "lane_id",
@@ -94,7 +99,7 @@ def detect_average_last_crossing(events: DataFrame, *, window: str = JOIN_WINDOW
         F.col("event_time").alias("timestamp_start"),
         F.col("next_event_time").alias("timestamp_end"),
         F.col("next_speed_limit").alias("speed_limit"),
-        segment_speed(F.col("distance_km"), dt).alias("avg_speed"),
+        segment_speed(distance, dt).alias("avg_speed"),
     )
     return to_unified(found.where(F.col("avg_speed") > F.col("speed_limit")), AVERAGE)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lanewarden.functions import scalars as S
 from lanewarden.functions.ordering import global_ordinal
-from lanewarden.operators import dedup, detect, geometry, ledger, live, trips
+from lanewarden.operators import dedup, detect, geometry, ledger, live, patterns, trips
 from lanewarden.plans import testbed as bed
 from lanewarden.plans.registry import query
 from lanewarden.plans.views_sql import with_views
@@ -201,9 +201,65 @@ FROM (SELECT *, abs(next_position_km - position_km) * CAST(3600 AS DOUBLE)
 WHERE v > next_speed_limit"""))
 def average_last_crossing(spark, sf):
     """A quarter of the trips are misread at their middle camera; the segment then spans the gap."""
-    misread = (F.col("camera_index") == 1) & (F.col("trip_id") % 4 == 0)
-    plate = F.when(misread, F.concat(F.lit("M"), "car_plate")).otherwise(F.col("car_plate"))
-    return trips.detect_average_last_crossing(bed.crossings(spark, sf).withColumn("car_plate", plate))
+    return trips.detect_average_last_crossing(bed.misread_crossings(spark, sf))
+
+
+_QUIET, _FAST = "speed_reading <= speed_limit", "speed_reading > speed_limit"
+# A quiet crossing, then one or more that were reached too fast without a reading over the limit.
+SNEAKING = [patterns.Step(_QUIET), patterns.Step(f"{_QUIET} AND prev_segment_speed > speed_limit", repeat=True)]
+# Two or more readings over the limit, then a quiet one.
+BRAKING = [patterns.Step(_FAST), patterns.Step(_FAST, repeat=True), patterns.Step(_QUIET)]
+
+
+def pattern_sql(conditions: list[str], moves: str, source: str = "crossings") -> str:
+    """All matches by recursion: runs crossing by crossing, the longest per start, then left to right.
+
+    ``conditions`` by step number; ``moves`` are the pairs of steps that may follow one another.
+    """
+    meets = " ".join(f"WHEN {i} THEN coalesce({c}, false)" for i, c in enumerate(conditions))
+    return with_views(f"""
+SELECT c.car_plate, c.lane_id, c.match_start, c.match_end, c.n_rows FROM (
+WITH RECURSIVE timed AS (
+  SELECT *, row_number() OVER w AS rn, lag(event_time) OVER w AS t, lag(position_km) OVER w AS km
+  FROM {source} WINDOW w AS (PARTITION BY car_plate, lane_id ORDER BY event_time, camera_index)),
+rows_ AS (
+  SELECT *, CASE WHEN t >= event_time - INTERVAL 10 MINUTE AND date_diff('second', t, event_time) > 0
+    THEN abs(position_km - km) * CAST(3600 AS DOUBLE) / date_diff('second', t, event_time) END AS v FROM timed),
+meets AS (SELECT car_plate, lane_id, rn, event_time, step FROM rows_, (SELECT unnest(range({len(conditions)})) AS step)
+          WHERE CASE step {meets} END),
+moves AS (SELECT * FROM (VALUES {moves}) AS m(a, b)),
+runs AS (
+  SELECT car_plate, lane_id, rn AS s, rn AS e, step, event_time AS began, event_time AS ended FROM meets WHERE step = 0
+  UNION
+  SELECT r.car_plate, r.lane_id, r.s, m.rn, m.step, r.began, m.event_time
+  FROM runs r JOIN moves v ON v.a = r.step
+  JOIN meets m ON m.car_plate = r.car_plate AND m.lane_id = r.lane_id AND m.rn = r.e + 1 AND m.step = v.b
+  WHERE m.event_time <= r.began + INTERVAL 10 MINUTE),
+longest AS (
+  SELECT car_plate, lane_id, s, max(e) AS e, min(began) AS match_start, max(ended) AS match_end
+  FROM runs WHERE step = {len(conditions) - 1} GROUP BY ALL),
+taken AS (
+  SELECT car_plate, lane_id, min(s) AS s FROM longest GROUP BY car_plate, lane_id
+  UNION ALL
+  SELECT l.car_plate, l.lane_id, min(n.s) FROM taken k
+  JOIN longest l ON l.car_plate = k.car_plate AND l.lane_id = k.lane_id AND l.s = k.s
+  JOIN longest n ON n.car_plate = l.car_plate AND n.lane_id = l.lane_id AND n.s > l.e
+  GROUP BY l.car_plate, l.lane_id)
+SELECT car_plate, lane_id, match_start, match_end, e - s + 1 AS n_rows FROM longest JOIN taken USING (car_plate, lane_id, s)) c""")
+
+
+BRAKING_SQL = pattern_sql([_FAST, _FAST, _QUIET], "(0, 1), (1, 1), (1, 2)", "crowded")
+
+
+@query("x4_row_pattern", pattern_sql([_QUIET, f"{_QUIET} AND v > speed_limit"], "(0, 1), (1, 1)"))
+def row_pattern(spark, sf):
+    return patterns.match_rows(bed.crossings(spark, sf), SNEAKING)
+
+
+@query("x4_row_pattern_crowded", BRAKING_SQL)
+def row_pattern_crowded(spark, sf):
+    """Runs go on from trip to trip, and overlap."""
+    return patterns.match_rows(bed.crowded_crossings(spark, sf), BRAKING)
 
 
 @query("j4_enrich_crossings", with_views(f"SELECT event_id, {_WIRE} FROM crossings"))

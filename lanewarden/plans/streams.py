@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lanewarden.operators import dedup, detect
 from lanewarden.operators.detect import VIOLATION_COLUMNS
 from lanewarden.plans import testbed as bed
-from lanewarden.plans.registry import query
+from lanewarden.plans.detection import BRAKING, BRAKING_SQL
+from lanewarden.plans.registry import ORACLE, query
 from lanewarden.plans.views_sql import with_views
 from lanewarden.schemas import CAMERA
 from lanewarden.session import scratch_path
@@ -152,6 +153,31 @@ def rolling_flag_stream(spark, sf):
         )
 
 
+@query("x1_last_crossing_stream", ORACLE["x1_detect_average_last_crossing"])
+def last_crossing_stream(spark, sf):
+    """The rows of the table form; the misread crossings land with the others."""
+    crossings = bed.misread_crossings(spark, sf)
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    with _rocksdb(spark):
+        replay(
+            spark, _periods(crossings, closing=True),
+            lambda events: jobs.append_table(stateful.last_crossing_stream(events), out, checkpoint, once=True),
+        )
+    return spark.read.parquet(out)
+
+
+@query("x4_row_pattern_stream", BRAKING_SQL)
+def row_pattern_stream(spark, sf):
+    crossings = bed.crowded_crossings(spark, sf)
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    with _rocksdb(spark):
+        replay(
+            spark, _periods(crossings, closing=True, days=1),
+            lambda events: jobs.append_table(stateful.pattern_stream(events, BRAKING), out, checkpoint, once=True),
+        )
+    return spark.read.parquet(out)
+
+
 @query("t4_ledger_stream", with_views(f"SELECT {_UNIFIED}, window_start FROM first_rows"))
 def ledger_stream(spark, sf):
     return _replayed_table(spark, sf, lambda events: jobs.ledger_stream(detect.all_violations(events)), closing=True)

@@ -74,6 +74,21 @@ def crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misread_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the trips are read under another plate at their middle camera."""
+    misread = (F.col("camera_index") == 1) & (F.col("trip_id") % 4 == 0)
+    plate = F.when(misread, F.concat(F.lit("M"), "car_plate")).otherwise(F.col("car_plate"))
+    return crossings(spark, sf_dir).withColumn("car_plate", plate)
+
+
+def crowded_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two plates that make all trips of a lane, in a twentieth of the time: dense histories."""
+    start = 1_704_067_200_000_000
+    at = F.lit(start) + F.call_function("div", F.unix_micros("event_time") - start, F.lit(20))
+    plate = F.concat(F.lit("C"), (F.col("trip_id") % 2).cast("string"))
+    return crossings(spark, sf_dir).withColumns({"car_plate": plate, "event_time": F.timestamp_micros(at)})
+
+
 def violations(spark: SparkSession, sf_dir: str, strategy: str = ADJACENT) -> DataFrame:
     return all_violations(crossings(spark, sf_dir), strategy)
 

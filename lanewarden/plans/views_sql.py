@@ -56,6 +56,10 @@ SELECT t.trip_id, t.trip_id * 10 + c.camera_id AS event_id, t.car_plate, c.lane_
                   ELSE CAST(0.9 AS DOUBLE) * c.speed_limit END, 1) AS speed_reading,
        t.behavior
 FROM trips t JOIN cameras c ON t.lane_id = c.lane_id""",
+    "crowded": """
+SELECT * REPLACE (concat('C', CAST(trip_id % 2 AS VARCHAR)) AS car_plate,
+  TIMESTAMP '2024-01-01' + to_microseconds((epoch_us(event_time) - epoch_us(TIMESTAMP '2024-01-01')) // 20) AS event_time)
+FROM crossings""",
     "inst": """
 SELECT car_plate, lane_id, 'INSTANTANEOUS' AS violation_type, camera_id AS camera_id_start, camera_id AS camera_id_end,
        position_km AS position_start_km, position_km AS position_end_km,

@@ -1,12 +1,13 @@
 """Keyed state on streams: vehicles on the road, and an exact rolling flag per plate.
 
 The first holds one small value per plate; the second also the plate's rows that the watermark has not
-passed. Both need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+passed. Last crossings and row patterns are kept by bucket of plates: one state and one call of numpy per
+bucket and batch. All need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from lanewarden.settings import DEDUP_WINDOW, VEHICLE_TTL_S, duration_seconds
+from lanewarden.operators.patterns import Automaton, Step, flags_of, tie_break
+from lanewarden.operators.trips import judged_pairs
+from lanewarden.settings import DEDUP_WINDOW, JOIN_WINDOW, VEHICLE_TTL_S, duration_seconds
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -155,3 +158,182 @@ def rolling_flag_stream(violations: DataFrame, width: str = DEDUP_WINDOW) -> Dat
         _RollingFlag(duration_seconds(width) * 1_000_000), "car_plate string, violation_type string, start_us long",
         "Append", "EventTime",
     )
+
+
+# Keys of the state of many vehicles; fixed for the life of a checkpoint.
+BUCKETS = 64
+_VEHICLE = ["car_plate", "lane_id"]
+
+
+class _InOrder(StatefulProcessor):
+    """Rows of a bucket of vehicles wait until the watermark has passed them, then are judged in order.
+
+    ``judge`` gets all rows of the bucket, sorted by vehicle, time and tie, and the time that has passed. It
+    returns what to emit, which rows to keep, and when to look again though nothing waits.
+    """
+
+    def __init__(self, columns: str, names: list[str], reach_us: int) -> None:
+        self.columns, self.names, self.reach_us = columns, names, reach_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", self.columns)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for part in rows:
+            self.rows.appendList(list(zip(*[part[c].tolist() for c in self.names])))
+            first = int(part["at_us"].min())
+            earliest = first if earliest is None else min(earliest, first)
+        set_for = list(self.handle.listTimers())
+        if not set_for or earliest // 1000 + 1 < min(set_for):
+            self._only_timer(earliest)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
+        held = list(self.rows.get()) if self.rows.exists() else []
+        if held:
+            table = pd.DataFrame([tuple(r) for r in held], columns=self.names)
+            table = table.sort_values([*_VEHICLE, "at_us", "camera_index", "tie"], kind="stable", ignore_index=True)
+            found, kept, again_us = self.judge(table, passed_us)
+            if len(kept):
+                self.rows.put(list(zip(*[kept[c].tolist() for c in self.names])))
+            else:
+                self.rows.clear()
+            waiting = kept["at_us"][kept["at_us"] > passed_us]
+            moments = [int(waiting.min())] if len(waiting) else []
+            moments += [] if again_us is None else [again_us]
+            if moments:
+                self._only_timer(min(moments))
+            if len(found):
+                yield found
+
+    def _only_timer(self, at_us: int) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(at_us // 1000 + 1)
+
+    def close(self) -> None:
+        pass
+
+
+class _LastCrossing(_InOrder):
+    """Pairs each crossing with the vehicle's last one on the lane; that one is all that stays of the past."""
+
+    def judge(self, table: pd.DataFrame, passed_us: int) -> tuple[pd.DataFrame, pd.DataFrame, int | None]:
+        at = table["at_us"].to_numpy()
+        plate, lane = table["car_plate"].to_numpy(), table["lane_id"].to_numpy()
+        same = (plate[1:] == plate[:-1]) & (lane[1:] == lane[:-1])
+        ready, judged = at <= passed_us, table["judged"].to_numpy(bool)
+        pair = np.flatnonzero(same & ready[1:] & ~judged[1:] & (at[1:] - at[:-1] <= self.reach_us))
+        first, second = table.iloc[pair], table.iloc[pair + 1]
+        found = pd.DataFrame({
+            "car_plate": first["car_plate"].to_numpy(), "lane_id": first["lane_id"].to_numpy(),
+            "camera_id": first["camera_id"].to_numpy(), "position_km": first["position_km"].to_numpy(),
+            "at_us": at[pair], "next_camera_id": second["camera_id"].to_numpy(),
+            "next_position_km": second["position_km"].to_numpy(), "next_speed_limit": second["speed_limit"].to_numpy(),
+            "next_at_us": at[pair + 1],
+        })
+        last = ready.copy()
+        last[:-1] &= ~(same & ready[1:])
+        # No crossing to come is within reach of an older one.
+        last &= at + self.reach_us > passed_us
+        kept = table[~ready | last].copy()
+        kept["judged"] = (ready & last)[~ready | last]
+        return found, kept, int(at[last].max()) + self.reach_us if last.any() else None
+
+
+def last_crossing_stream(events: DataFrame, window: str = JOIN_WINDOW, buckets: int = BUCKETS) -> DataFrame:
+    """Average violations between each crossing and the vehicle's next one on the lane, on a stream.
+
+    The rows of :func:`lanewarden.operators.trips.detect_average_last_crossing`, for any order of arrival within the
+    watermark. State holds the crossings that the watermark has not passed, and one last crossing per vehicle
+    on the road, instead of a window's worth of both sides of a join. Crossings without a plate, lane or time
+    are left out; readings may be missing.
+    """
+    keyed = events.dropna(subset=["car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit", "event_time"]).select(
+        F.pmod(F.xxhash64(*_VEHICLE), F.lit(buckets)).cast("int").alias("bucket"),
+        *_VEHICLE, "camera_id", *tie_break(), "position_km", "speed_limit",
+        F.unix_micros("event_time").alias("at_us"), F.lit(False).alias("judged"), "event_time",
+    )
+    names = [*_VEHICLE, "camera_id", "camera_index", "tie", "position_km", "speed_limit", "at_us", "judged"]
+    state = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in names)
+    pairs = keyed.groupBy("bucket").transformWithStateInPandas(
+        _LastCrossing(state, names, duration_seconds(window) * 1_000_000),
+        "car_plate string, lane_id int, camera_id int, position_km double, at_us long, next_camera_id int, "
+        "next_position_km double, next_speed_limit double, next_at_us long",
+        "Append", "EventTime",
+    )
+    return judged_pairs(
+        pairs.withColumns({"event_time": F.timestamp_micros("at_us"), "next_event_time": F.timestamp_micros("next_at_us")})
+    )
+
+
+class _Pattern(_InOrder):
+    """Runs of an automaton from left to right; a start waits until its run has ended or its time is over."""
+
+    def __init__(self, columns: str, names: list[str], reach_us: int, automaton: Automaton) -> None:
+        super().__init__(columns, names, reach_us)
+        self.repeating, self.final = automaton.repeating, automaton.final
+
+    def judge(self, table: pd.DataFrame, passed_us: int) -> tuple[pd.DataFrame, pd.DataFrame, int | None]:
+        table = table.drop_duplicates([*_VEHICLE, "at_us", "camera_index", "tie"], ignore_index=True)
+        at, flags = table["at_us"].to_numpy(), table["flags"].to_numpy()
+        plate, lane = table["car_plate"].to_numpy(), table["lane_id"].to_numpy()
+        borders = np.flatnonzero((plate[1:] != plate[:-1]) | (lane[1:] != lane[:-1])) + 1
+        found, keep, again_us = [], at > passed_us, None
+        for low, high in zip([0, *borders], [*borders, len(table)]):
+            high = low + int(np.searchsorted(at[low:high], passed_us, "right"))
+            start = low
+            while start < high:
+                if not flags[start] & 1:
+                    start += 1
+                    continue
+                end, open_ = self._run(at, flags, start, high, passed_us)
+                if open_:
+                    keep[start:high] = True
+                    again = int(at[start]) + self.reach_us
+                    again_us = again if again_us is None else min(again_us, again)
+                    break
+                if end is not None:
+                    found.append((plate[start], int(lane[start]), int(at[start]), int(at[end]), end - start + 1))
+                start = start + 1 if end is None else end + 1
+        names = ["car_plate", "lane_id", "start_us", "end_us", "n_rows"]
+        return pd.DataFrame(found, columns=names), table[keep], again_us
+
+    def _run(self, at: np.ndarray, flags: np.ndarray, start: int, high: int, passed_us: int) -> tuple[int | None, bool]:
+        """The last row of the longest run from ``start``, and whether rows to come could still change it."""
+        state, end, limit = 0, None, at[start] + self.reach_us
+        for i in range(start, high):
+            if at[i] > limit:
+                return end, False
+            state = ((state << 1) | int(i == start) | (state & self.repeating)) & int(flags[i])
+            if not state:
+                return end, False
+            if state & self.final:
+                end = i
+        return end, bool(limit > passed_us)
+
+
+def pattern_stream(events: DataFrame, steps: Sequence[Step], *, within: str = JOIN_WINDOW, buckets: int = BUCKETS) -> DataFrame:
+    """The matches of :func:`lanewarden.operators.patterns.match_rows` on a stream, for any order of arrival.
+
+    Conditions are on the crossing itself: the one before it is not known when a crossing arrives. A match is
+    emitted once the watermark has passed all that could lengthen it.
+    """
+    automaton = Automaton.of(steps)
+    keyed = events.dropna(subset=[*_VEHICLE, "event_time"]).select(
+        F.pmod(F.xxhash64(*_VEHICLE), F.lit(buckets)).cast("int").alias("bucket"),
+        *_VEHICLE, F.coalesce("camera_index", F.lit(-1)).alias("camera_index"), tie_break()[1],
+        F.unix_micros("event_time").alias("at_us"), flags_of(steps).alias("flags"), "event_time",
+    )
+    names = [*_VEHICLE, "camera_index", "tie", "at_us", "flags"]
+    state = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in names)
+    found = keyed.groupBy("bucket").transformWithStateInPandas(
+        _Pattern(state, names, duration_seconds(within) * 1_000_000, automaton),
+        "car_plate string, lane_id int, start_us long, end_us long, n_rows long", "Append", "EventTime",
+    )
+    return found.select(
+        *_VEHICLE, F.timestamp_micros("start_us").alias("match_start"), F.timestamp_micros("end_us").alias("match_end"), "n_rows"
+    )
