@@ -67,6 +67,76 @@ def detect_instantaneous(events: DataFrame) -> DataFrame:
     )
 
 
+# Cells of plate, lane and slice that are split: at most so many, from so many rows on, into so many salts.
+HOT_CELLS = 256
+HOT_CELL_ROWS = 5_000
+MOST_SALTS = 32
+_TRACKED = 8_192
+
+
+def _cell(slice_start: Column) -> Column:
+    return F.xxhash64("car_plate", "lane_id", slice_start)
+
+
+def hot_cells(events: DataFrame, width_s: int, fine_s: int, rows: int = HOT_CELL_ROWS) -> DataFrame:
+    """``_cell, _salts`` of the cells (plate, lane and slice of time) that hold more than ``rows`` rows.
+
+    One map-side sketch of bounded size finds the most frequent cells, so there are at most
+    :data:`HOT_CELLS`. A hash names a cell: two that share one are merely both split. ``_salts`` is how many
+    keys each fine slice of a cell is spread over.
+    """
+    known = events.dropna(subset=["car_plate", "lane_id", "event_time"])
+    sketch = known.select(_cell(slice_of(F.col("event_time"), width_s)).alias("cell")).agg(
+        F.expr(f"approx_top_k(cell, {HOT_CELLS}, {_TRACKED})").alias("top")
+    )
+    per_slice = F.ceil(F.col("count") * fine_s / (width_s * rows))
+    found = sketch.select(F.inline("top")).where(F.col("count") > rows)
+    return found.select(F.col("item").alias("_cell"), F.least(F.lit(MOST_SALTS), per_slice).cast("int").alias("_salts"))
+
+
+def join_sides(
+    events: DataFrame, *, window: str = JOIN_WINDOW, slice_width: str | None = None, hot_plates: Sequence[str] = (),
+    hot_splits: int = 4, split_hot: bool = True, hot_cell_rows: int = HOT_CELL_ROWS,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The earlier and the later crossings of :func:`offending_segments`, and the keys on which they meet."""
+    span = duration_seconds(window)
+    width = duration_seconds(slice_width) if slice_width else 6 * span
+    fine = max(1, span // 6)
+    hot = F.col("car_plate").isin(list(hot_plates))
+    reached = F.when(hot, fine).otherwise(width) if hot_plates else width
+    first = events.select(
+        "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "event_time",
+        F.explode(slices_reached(F.col("event_time"), 0, span, reached)).alias(SLICE),
+    )
+    second = events.select(
+        "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit", "event_time",
+        slice_of(F.col("event_time"), reached).alias(SLICE),
+    )
+    keys = ["car_plate", "lane_id", SLICE]
+    salt = F.xxhash64("event_time", "camera_id")
+    if hot_plates:
+        salts = F.when(hot, F.sequence(F.lit(0), F.lit(hot_splits - 1))).otherwise(F.array(F.lit(0)))
+        first = first.withColumn("_salt", F.explode(salts))
+        second = second.withColumn("_salt", F.when(hot, F.pmod(salt, F.lit(hot_splits)).cast("int")).otherwise(0))
+        keys.append("_salt")
+    elif split_hot and not events.isStreaming:
+        cells = F.broadcast(hot_cells(events, width, fine, hot_cell_rows))
+        first = first.withColumn("_cell", _cell(F.col(SLICE))).join(cells, "_cell", "left")
+        second = second.withColumn("_cell", _cell(F.col(SLICE))).join(cells, "_cell", "left")
+        at, step = F.unix_micros("event_time"), F.lit(fine * 1_000_000)
+        low = F.greatest(at, F.col(SLICE))
+        high = F.least(at + span * 1_000_000, F.col(SLICE) + width * 1_000_000 - 1)
+        split = F.col("_salts").isNotNull()
+        none = F.array(F.lit(0).cast("long"))
+        parts = F.when(split, F.sequence(low - F.pmod(low, step), high - F.pmod(high, step), step)).otherwise(none)
+        salts = F.when(split, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
+        first = first.withColumn("_part", F.explode(parts)).withColumn("_salt", F.explode(salts))
+        second = second.withColumn("_part", F.when(split, at - F.pmod(at, step)).otherwise(0))
+        second = second.withColumn("_salt", F.when(split, F.pmod(salt, F.col("_salts")).cast("int")).otherwise(0))
+        keys += ["_part", "_salt"]
+    return first, second, keys
+
+
 def offending_segments(
     events: DataFrame,
     strategy: str = ADJACENT,
@@ -75,6 +145,8 @@ def offending_segments(
     slice_width: str | None = None,
     hot_plates: Sequence[str] = (),
     hot_splits: int = 4,
+    split_hot: bool = True,
+    hot_cell_rows: int = HOT_CELL_ROWS,
 ) -> DataFrame:
     """Segments whose average speed is over the limit of the camera reached second.
 
@@ -86,31 +158,19 @@ def offending_segments(
     The join has three equality keys: plate, lane and a slice of event time. The later crossing
     sits in its own slice, the earlier one is copied into the slices its window reaches, so a pair
     meets exactly once and a long history is never compared with itself as a whole. Slices are six
-    windows wide by default, which copies one earlier crossing in six. ``hot_plates`` (see
-    :func:`frequent_plates`) have slices of a sixth of the window instead, so that each crossing
-    meets hardly more than those in its window, and are spread over ``hot_splits`` salted keys.
+    windows wide by default, which copies one earlier crossing in six.
+
+    In a table, slices of a plate that hold over ``hot_cell_rows`` rows are found by :func:`hot_cells` and cut into fine
+    slices of a sixth of the window, so that each crossing meets hardly more than those in its window, and
+    those are spread over salted keys. A stream cannot look ahead: there ``hot_plates`` (see
+    :func:`frequent_plates`) names the plates that are cut so, with ``hot_splits`` salts each, for the life of
+    its checkpoint. Neither changes which rows come out.
     """
     span = duration_seconds(window)
-    width = duration_seconds(slice_width) if slice_width else 6 * span
-    hot = F.col("car_plate").isin(list(hot_plates))
-    if hot_plates:
-        width = F.when(hot, max(1, span // 6)).otherwise(width)
-    first = events.select(
-        "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "event_time",
-        F.explode(slices_reached(F.col("event_time"), 0, span, width)).alias(SLICE),
+    first, second, keys = join_sides(
+        events, window=window, slice_width=slice_width, hot_plates=hot_plates, hot_splits=hot_splits, split_hot=split_hot,
+        hot_cell_rows=hot_cell_rows,
     )
-    second = events.select(
-        "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit", "event_time",
-        slice_of(F.col("event_time"), width).alias(SLICE),
-    )
-    keys = ["car_plate", "lane_id", SLICE]
-    if hot_plates:
-        salts = F.when(hot, F.sequence(F.lit(0), F.lit(hot_splits - 1))).otherwise(F.array(F.lit(0)))
-        salt = F.pmod(F.xxhash64("event_time", "camera_id"), F.lit(hot_splits)).cast("int")
-        first = first.withColumn("_salt", F.explode(salts))
-        second = second.withColumn("_salt", F.when(hot, salt).otherwise(0))
-        keys.append("_salt")
-
     a, b = first.alias("a"), second.alias("b")
     start, end = F.col("a.event_time"), F.col("b.event_time")
     same_journey = (

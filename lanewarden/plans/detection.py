@@ -186,6 +186,12 @@ def average_hot_plates(spark, sf):
     return detect.detect_average(crossings, detect.ALL_PAIRS, hot_plates=hot)
 
 
+@query("x2_self_found_hot_cells", with_views("SELECT * FROM avg_hot"))
+def self_found_hot_cells(spark, sf):
+    """A third of the rows on one plate; the slices of it to split are found, with a bound fit for small tables."""
+    return detect.detect_average(bed.hot_crossings(spark, sf), hot_cell_rows=40)
+
+
 @query("x1_detect_average_last_crossing", with_views("""
 SELECT car_plate, lane_id, 'AVERAGE' AS violation_type, camera_id AS camera_id_start, next_camera_id AS camera_id_end,
        position_km AS position_start_km, next_position_km AS position_end_km, event_time AS timestamp_start,

@@ -7,7 +7,7 @@ ask for more of them. Registry: customers are cars. Nothing here is random.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewarden.operators.dedup import first_per_plate_window, to_stored_violation
@@ -81,12 +81,22 @@ def misread_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crossings(spark, sf_dir).withColumn("car_plate", plate)
 
 
+def _hurried() -> Column:
+    """The event time in a twentieth of the span."""
+    start = 1_704_067_200_000_000
+    return F.timestamp_micros(F.lit(start) + F.call_function("div", F.unix_micros("event_time") - start, F.lit(20)))
+
+
 def crowded_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two plates that make all trips of a lane, in a twentieth of the time: dense histories."""
-    start = 1_704_067_200_000_000
-    at = F.lit(start) + F.call_function("div", F.unix_micros("event_time") - start, F.lit(20))
     plate = F.concat(F.lit("C"), (F.col("trip_id") % 2).cast("string"))
-    return crossings(spark, sf_dir).withColumns({"car_plate": plate, "event_time": F.timestamp_micros(at)})
+    return crossings(spark, sf_dir).withColumns({"car_plate": plate, "event_time": _hurried()})
+
+
+def hot_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all trips under one plate, all of them in a twentieth of the time."""
+    plate = F.when(F.col("trip_id") % 3 == 0, "HOT").otherwise(F.col("car_plate"))
+    return crossings(spark, sf_dir).withColumns({"car_plate": plate, "event_time": _hurried()})
 
 
 def violations(spark: SparkSession, sf_dir: str, strategy: str = ADJACENT) -> DataFrame:

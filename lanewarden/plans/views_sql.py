@@ -10,7 +10,7 @@ _UNIFIED = (
 )
 
 
-def _average(pair: str) -> str:
+def _average(pair: str, source: str = "crossings") -> str:
     return f"""
 SELECT * FROM (
   SELECT a.car_plate, a.lane_id, 'AVERAGE' AS violation_type,
@@ -20,7 +20,7 @@ SELECT * FROM (
          b.speed_limit, CAST(NULL AS DOUBLE) AS speed_reading,
          abs(b.position_km - a.position_km) * CAST(3600 AS DOUBLE)
            / date_diff('second', a.event_time, b.event_time) AS avg_speed
-  FROM crossings a JOIN crossings b
+  FROM {source} a JOIN {source} b
     ON a.car_plate = b.car_plate AND a.lane_id = b.lane_id AND {pair}
    AND b.event_time > a.event_time AND b.event_time <= a.event_time + INTERVAL 10 MINUTE
   WHERE date_diff('second', a.event_time, b.event_time) > 0)
@@ -60,6 +60,11 @@ FROM trips t JOIN cameras c ON t.lane_id = c.lane_id""",
 SELECT * REPLACE (concat('C', CAST(trip_id % 2 AS VARCHAR)) AS car_plate,
   TIMESTAMP '2024-01-01' + to_microseconds((epoch_us(event_time) - epoch_us(TIMESTAMP '2024-01-01')) // 20) AS event_time)
 FROM crossings""",
+    "hot": """
+SELECT * REPLACE (CASE WHEN trip_id % 3 = 0 THEN 'HOT' ELSE car_plate END AS car_plate,
+  TIMESTAMP '2024-01-01' + to_microseconds((epoch_us(event_time) - epoch_us(TIMESTAMP '2024-01-01')) // 20) AS event_time)
+FROM crossings""",
+    "avg_hot": _average("abs(b.camera_index - a.camera_index) = 1", "hot"),
     "inst": """
 SELECT car_plate, lane_id, 'INSTANTANEOUS' AS violation_type, camera_id AS camera_id_start, camera_id AS camera_id_end,
        position_km AS position_start_km, position_km AS position_end_km,

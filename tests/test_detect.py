@@ -134,3 +134,32 @@ def test_frequent_plates(crossings):
 def test_join_plan_has_time_slices(crossings):
     plan = detect.detect_average(crossings(NINE))._jdf.queryExecution().optimizedPlan().toString()
     assert "_slice" in plan and "Join Inner" in plan
+
+
+def hot_history(rng):
+    rows = [("HOT", 1, rng.randrange(3), rng.randrange(7200), 90, 80.0) for _ in range(1500)]
+    return rows + [(f"P{rng.randrange(60)}", rng.randrange(3), rng.randrange(3), rng.randrange(7200), 90, 80.0) for _ in range(3000)]
+
+
+@pytest.mark.parametrize("strategy", ["adjacent", "all-pairs"])
+def test_hot_slices_are_found_and_split(spark, crossings, strategy):
+    """The same rows as without a split, and no join key that holds much more than the bound."""
+    events = crossings(hot_history(random.Random(9)))
+    whole = detect.detect_average(events, strategy, split_hot=False)
+    split = detect.detect_average(events, strategy, hot_cell_rows=60)
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, whole.collect()))
+    cells = detect.hot_cells(events, 3600, 100, 60)
+    assert cells.count() == 2 and detect.hot_cells(events, 3600, 100, 10_000).count() == 0
+    _, second, keys = detect.join_sides(events, hot_cell_rows=60)
+    largest = max(r["count"] for r in second.groupBy(*keys).count().collect())
+    _, second, keys = detect.join_sides(events, split_hot=False)
+    assert max(r["count"] for r in second.groupBy(*keys).count().collect()) > 600 and largest < 60
+
+
+def test_hot_cells_are_few_and_take_salts(spark, crossings):
+    events = crossings([("HOT", 1, i % 3, i % 300, 90, 80.0) for i in range(4000)] + [(None, 1, 0, 5, 90, 80.0), ("A", 1, 0, None, 90, 80.0)])
+    cell, = detect.hot_cells(events, 3600, 100, 50).collect()
+    assert cell["_salts"] == 3
+    first, second, keys = detect.join_sides(events, hot_cell_rows=50)
+    assert second.select(*keys).distinct().count() > 3 and first.where("_salt = 2").count() > 0
+    assert "BroadcastHashJoin" in second._jdf.queryExecution().toString()
