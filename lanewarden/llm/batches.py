@@ -160,8 +160,8 @@ def dictionary(words: Words) -> tuple[pa.Array, np.ndarray]:
     """The distinct words of a batch, folded, and the number of each word's entry."""
     lengths = words.ends - words.starts
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    inside = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - words.starts, lengths)
-    body = words.alphabet.fold[words.data[inside]]
+    # Words are all runs of word bytes, in order, so their bytes are what is left without the separators.
+    body = words.alphabet.fold[words.data[words.alphabet.word[words.data]]]
     spelled = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body))]
     ).dictionary_encode()

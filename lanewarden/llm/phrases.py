@@ -191,7 +191,7 @@ def frequent_phrases(docs: DataFrame, *, longest: int, least: int, shards: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (bits,) = _received(sent)
-        for batch in merged(batches):
+        for batch in merged(batches, 4 << 20):
             each = _Batch(batch)
             if not len(each.lang):
                 continue
