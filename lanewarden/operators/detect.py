@@ -95,10 +95,11 @@ def hot_cells(events: DataFrame, width_s: int, fine_s: int, rows: int = HOT_CELL
 
 
 def join_sides(
-    events: DataFrame, *, window: str = JOIN_WINDOW, slice_width: str | None = None, hot_plates: Sequence[str] = (),
-    hot_splits: int = 4, split_hot: bool = True, hot_cell_rows: int = HOT_CELL_ROWS,
+    events: DataFrame, later: DataFrame | None = None, *, window: str = JOIN_WINDOW, slice_width: str | None = None,
+    hot_plates: Sequence[str] = (), hot_splits: int = 4, split_hot: bool = True, hot_cell_rows: int = HOT_CELL_ROWS,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """The earlier and the later crossings of :func:`offending_segments`, and the keys on which they meet."""
+    later = events if later is None else later
     span = duration_seconds(window)
     width = duration_seconds(slice_width) if slice_width else 6 * span
     fine = max(1, span // 6)
@@ -108,7 +109,7 @@ def join_sides(
         "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "event_time",
         F.explode(slices_reached(F.col("event_time"), 0, span, reached)).alias(SLICE),
     )
-    second = events.select(
+    second = later.select(
         "car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit", "event_time",
         slice_of(F.col("event_time"), reached).alias(SLICE),
     )
@@ -141,6 +142,7 @@ def offending_segments(
     events: DataFrame,
     strategy: str = ADJACENT,
     *,
+    later: DataFrame | None = None,
     window: str = JOIN_WINDOW,
     slice_width: str | None = None,
     hot_plates: Sequence[str] = (),
@@ -165,10 +167,12 @@ def offending_segments(
     those are spread over salted keys. A stream cannot look ahead: there ``hot_plates`` (see
     :func:`frequent_plates`) names the plates that are cut so, with ``hot_splits`` salts each, for the life of
     its checkpoint. Neither changes which rows come out.
+
+    With ``later``, the crossing reached second is one of that frame; hot cells are those of ``events``.
     """
     span = duration_seconds(window)
     first, second, keys = join_sides(
-        events, window=window, slice_width=slice_width, hot_plates=hot_plates, hot_splits=hot_splits, split_hot=split_hot,
+        events, later, window=window, slice_width=slice_width, hot_plates=hot_plates, hot_splits=hot_splits, split_hot=split_hot,
         hot_cell_rows=hot_cell_rows,
     )
     a, b = first.alias("a"), second.alias("b")

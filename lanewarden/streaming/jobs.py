@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from lanewarden.operators.detect import ADJACENT, all_violations, first_of
+from lanewarden.operators.detect import ADJACENT, first_of
 from lanewarden.operators.trips import enrich_crossings
 from lanewarden.schemas import VIOLATION_COLUMNS
 from lanewarden.sources.sinks import LedgerWriter
 from lanewarden.settings import DEDUP_WINDOW, duration_minutes
+from lanewarden.streaming.micro_batches import BatchDetector
 
 
 def one_event_time(violations: DataFrame) -> DataFrame:
@@ -39,11 +40,15 @@ def ledger_stream(violations: DataFrame, window: str = DEDUP_WINDOW) -> DataFram
     The stream form of :func:`lanewarden.operators.dedup.first_per_plate_window`, for widths that
     divide an hour. State is one row per open window, and is evicted as the watermark passes.
     """
+    first = first_of(violations, "car_plate", F.window("timestamp_start", f"{_streamed_minutes(window)} minutes"))
+    return first.select(*VIOLATION_COLUMNS, F.col("_key1.start").alias("window_start"))
+
+
+def _streamed_minutes(window: str) -> int:
     minutes = duration_minutes(window)
     if minutes < 1 or 60 % minutes:
         raise ValueError("a streamed window must be a whole number of minutes that divides an hour")
-    first = first_of(violations, "car_plate", F.window("timestamp_start", f"{minutes} minutes"))
-    return first.select(*VIOLATION_COLUMNS, F.col("_key1.start").alias("window_start"))
+    return minutes
 
 
 def append_table(stream: DataFrame, path: str, checkpoint: str, *, once: bool = False, name: str | None = None) -> StreamingQuery:
@@ -52,6 +57,24 @@ def append_table(stream: DataFrame, path: str, checkpoint: str, *, once: bool =
     return _start(writer.option("path", path), once, name)
 
 
+def start_detection(
+    events: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    *,
+    strategy: str = ADJACENT,
+    once: bool = False,
+    name: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Both detectors on one read of ``events``; each batch's violations go to ``write(violations, batch_id)``.
+
+    ``options`` are those of :class:`lanewarden.streaming.micro_batches.BatchDetector`. A batch that runs again
+    hands over the same violations, so ``write`` should replace or ignore what it has of a batch.
+    """
+    return _start_batches(events, BatchDetector(f"{checkpoint}/crossings", write, strategy=strategy, **options), checkpoint, once, name)
+
+
 def start_detector(
     events: DataFrame,
     ledger_path: str,
@@ -69,19 +92,25 @@ def start_detector(
     """The whole job: detect, keep one violation per plate and window, write the ledger.
 
     ``emit="first-seen"`` stores a violation in the batch that detects it; of one plate and window the
-    first batch wins, and its first row. ``"window-close"`` waits until the watermark has passed the
-    window and stores its first row in event time. ``options`` (slices, hot plates) are those of
-    :func:`lanewarden.operators.detect.offending_segments`; they are fixed for the life of a checkpoint.
-    Stopping the job and starting it on the same checkpoint resumes from the stored offsets and state.
+    first batch wins, and its first row. ``"window-close"`` waits until no crossing to come can add to the
+    window and stores its first row in event time. ``window`` divides an hour. ``report`` also gets the
+    number of crossings left out as too ``late`` so far. ``options`` (span of a segment, delay, hot slices) are those of
+    :class:`lanewarden.streaming.micro_batches.BatchDetector`.
+    Stopping the job and starting it on the same checkpoint resumes from the stored offsets and crossings.
     """
     if emit not in ("first-seen", "window-close"):
         raise ValueError("emit is 'first-seen' or 'window-close'")
-    kept = all_violations(events, strategy, **options)
-    if emit == "window-close":
-        kept = ledger_stream(kept, window).drop("window_start")
-    sink = LedgerWriter(ledger_path, window=window, publish=publish, report=report)
-    writer = kept.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _start(writer, once, name)
+    _streamed_minutes(window)
+    counted = report and (lambda counts: report({**counts, "late": detector.late}))
+    detector = BatchDetector(
+        f"{checkpoint}/crossings", LedgerWriter(ledger_path, window=window, publish=publish, report=counted),
+        strategy=strategy, close_windows=window if emit == "window-close" else None, **options,
+    )
+    return _start_batches(events, detector, checkpoint, once, name)
+
+
+def _start_batches(events: DataFrame, detector: BatchDetector, checkpoint: str, once: bool, name: str | None) -> StreamingQuery:
+    return _start(events.writeStream.foreachBatch(detector).option("checkpointLocation", checkpoint), once, name)
 
 
 def start_enrichment(
@@ -129,20 +158,15 @@ PROGRESS = StructType(
 )
 
 
-# How often the detector's plan reads its events: for spot readings, and for each side of the join.
-DETECTOR_READS = 3
-
-
 class ProgressLog(StreamingQueryListener):
     """One record per micro-batch, and an idle note after ``idle_after_s`` without input.
 
     Attach it as a listener, or :meth:`poll` queries for what they still remember. Spark counts input
-    once for each time a plan reads it; ``reads`` is that number (:data:`DETECTOR_READS` for the
-    detector), and records hold the rows that came in. :meth:`flush` moves records to a table.
+    once for each time a plan reads it; the detector reads once. :meth:`flush` moves records to a table.
     """
 
-    def __init__(self, idle_after_s: float = 30.0, reads: int = 1) -> None:
-        self.idle_after_s, self.reads = idle_after_s, reads
+    def __init__(self, idle_after_s: float = 30.0) -> None:
+        self.idle_after_s = idle_after_s
         self.records: list[tuple] = []
         self._totals: dict[str, int] = {}
         self._newest: dict[str, int] = {}
@@ -159,7 +183,7 @@ class ProgressLog(StreamingQueryListener):
             self._add(progress)
 
     def _add(self, p) -> None:
-        query, rows = str(p.id), int(p.numInputRows or 0) // self.reads
+        query, rows = str(p.id), int(p.numInputRows or 0)
         if p.batchId <= self._newest.get(query, -1):
             return
         self._newest[query] = p.batchId
@@ -168,7 +192,7 @@ class ProgressLog(StreamingQueryListener):
         if rows:
             self._last_input = time.monotonic()
         self.records.append(
-            (query, int(p.batchId), rows, self._totals[query], float(p.processedRowsPerSecond or 0.0) / self.reads, late, None)
+            (query, int(p.batchId), rows, self._totals[query], float(p.processedRowsPerSecond or 0.0), late, None)
         )
 
     def onQueryIdle(self, event) -> None:

@@ -14,6 +14,7 @@ from lanewarden.plans import streams
 from lanewarden.plans.streams import _rocksdb, replay
 from lanewarden.sources.sinks import publisher, read_ledger
 from lanewarden.streaming import jobs, stateful
+from lanewarden.streaming.micro_batches import BatchDetector
 
 SNEAKY = [("SNK", 1, 0, 0, 90, 80.0), ("SNK", 1, 1, 30, 90, 80.0), ("SNK", 1, 2, 60, 90, 80.0)]
 FAST = [("SPD", 1, 0, 10, 90, 120.0), ("SPD", 1, 0, 7500, 90, 120.0)]
@@ -148,7 +149,7 @@ def test_detector_resumes_and_resets(spark, tmp_path, crossings):
 
 def test_detector_stores_and_publishes_what_it_sees(spark, tmp_path, crossings):
     """No later crossing is needed; a repeat of the same plate and window adds nothing."""
-    path, sent, log = str(tmp_path / "ledger"), str(tmp_path / "sent"), jobs.ProgressLog(reads=jobs.DETECTOR_READS)
+    path, sent, log = str(tmp_path / "ledger"), str(tmp_path / "sent"), jobs.ProgressLog()
     again = [("SPD", 1, 0, 20, 90, 125.0)]
     for query in replay(
         spark, [landing(crossings, SNEAKY + FAST[:1]), landing(crossings, again)],
@@ -165,6 +166,57 @@ def test_detector_stores_and_publishes_what_it_sees(spark, tmp_path, crossings):
         jobs.start_detector(landing(crossings, again), path, "c", emit="never")
 
 
+def test_batch_detector_equals_the_table_form(spark, tmp_path, crossings):
+    """Random crossings dealt to batches out of order, one batch run twice: the violations of one table, once each."""
+    draw = random.Random(11)
+    rows = [(f"P{draw.randrange(6)}", draw.randrange(2), draw.randrange(4), draw.randrange(1800), 90, draw.choice([80.0, 120.0]))
+            for _ in range(400)]
+    events = crossings(rows)
+    dealt = [crossings(rows[i::5]) for i in range(5)]
+    for strategy in (detect.ADJACENT, detect.ALL_PAIRS):
+        got: dict[int, list] = {}
+        folder = str(tmp_path / strategy)
+
+        def write(found, batch):
+            got[batch] = [tuple(r) for r in found.collect()]
+
+        detector = BatchDetector(folder, write, strategy=strategy, delay="1 hour", hot_cell_rows=20)
+        for number, part in enumerate(dealt[:3]):
+            detector(part, number)
+        detector = BatchDetector(folder, write, strategy=strategy, delay="1 hour", hot_cell_rows=20)
+        for number, part in list(enumerate(dealt))[2:]:
+            detector(part, number)
+        expected = sorted(str(tuple(r)) for r in detect.all_violations(events, strategy).collect())
+        assert sorted(str(r) for rows_ in got.values() for r in rows_) == expected and detector.late == 0
+
+
+def test_batch_detector_leaves_late_rows_out_and_forgets(spark, tmp_path, crossings):
+    got = []
+    detector = BatchDetector(str(tmp_path), lambda found, batch: got.extend(found.collect()), strategy=detect.ADJACENT)
+    detector(crossings([("A", 1, 0, 0, 90, 80.0), (None, 1, 0, 0, 90, None), ("A", 1, 0, None, 90, 120.0)]), 0)
+    detector(crossings([("A", 1, 1, 7200, 90, 80.0)]), 1)
+    detector(crossings([("A", 1, 1, 30, 90, 120.0)]), 2)
+    detector(crossings([("A", 1, 2, 7230, 90, 80.0)]), 3)
+    detector(crossings([]), 4)
+    assert detector.late == 1 and [r["camera_id_end"] for r in got] == [12]
+    assert sorted(detector.open.newest) == [1, 3] and not (tmp_path / "open" / "batch=0").exists()
+
+
+def test_windows_close_once_and_in_event_time(spark, tmp_path, crossings):
+    """A later batch holds the window's first row; nothing leaves before time has passed the window."""
+    got = []
+    detector = BatchDetector(
+        str(tmp_path), lambda found, batch: got.append((batch, [r["speed_reading"] for r in found.collect()])),
+        strategy=detect.ADJACENT, close_windows="10 minutes",
+    )
+    detector(crossings([("A", 1, 0, 300, 90, 120.0)]), 0)
+    detector(crossings([("A", 1, 0, 100, 90, 130.0), ("B", 1, 0, 700, 90, 140.0)]), 1)
+    detector(crossings([("~", 1, 0, 1800, 90, 1.0)]), 2)
+    detector(crossings([("~", 1, 0, 1801, 90, 1.0)]), 3)
+    detector(crossings([("~", 1, 0, 9000, 90, 1.0)]), 4)
+    assert [g for g in got if g[1]] == [(2, [130.0]), (4, [140.0])]
+
+
 def test_progress_counts_rows_once(spark, tmp_path, crossings):
     log = jobs.ProgressLog()
     spark.streams.addListener(log)
