@@ -26,14 +26,21 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], STORED_VIOLATION)
 
 
-def append_to_ledger(stored: DataFrame, path: str) -> None:
-    """Append rows to the table, split by day.
+# Up to so many rows are written by one task, without a shuffle to even out files.
+_ONE_TASK_ROWS = 10_000
+
+
+def append_to_ledger(stored: DataFrame, path: str, at_most: int | None = None) -> None:
+    """Append rows to the table, split by day; ``at_most`` is a bound of their number, if one is known.
 
     The rebalance gives files of even size: a day with little data is one file, and a day that
     holds most of the rows is written by many tasks. Rows are sorted by plate within a day, so the
     row-group statistics of the files serve plate lookups.
     """
-    _laid_out(for_ledger_table(stored)).write.mode("append").partitionBy("date").parquet(path)
+    rows = for_ledger_table(stored)
+    few = at_most is not None and at_most <= _ONE_TASK_ROWS
+    laid_out = rows.coalesce(1).sortWithinPartitions("date", "car_plate") if few else _laid_out(rows)
+    laid_out.write.mode("append").partitionBy("date").parquet(path)
 
 
 def _laid_out(ledger: DataFrame) -> DataFrame:
@@ -142,7 +149,7 @@ class LedgerWriter:
             repeated = None
             if self.report is not None:
                 repeated = per_key.join(known, LEDGER_KEY, "left_semi").count()
-            append_to_ledger(fresh, self.path)
+            append_to_ledger(fresh, self.path, counts["keys"])
             if self.report is not None:
                 new = counts["keys"] - repeated
                 self.report(
