@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,21 +90,25 @@ def located_ranks(
     return _locate(per_value, "_v")
 
 
-def ranked_slice(df: DataFrame, position: Column, order: Sequence[Column], skip: int, limit: int) -> DataFrame:
+def ranked_slice(
+    df: DataFrame, position: Column, order: Sequence[Column], skip: int, limit: int,
+    within: Callable[[int, int], Column] | None = None,
+) -> DataFrame:
     """Rows ``skip`` to ``skip + limit - 1`` of ``order``, in that order, wherever in the table they lie.
 
     ``position`` is a whole number, never null, that rises with ``order``; rows may share one. Counts
     locate the positions at both ends; only rows from one to the other are sorted, as a top-k of the
     slice and what shares its first position. Nothing is written, and rows skipped are not moved.
+    ``within`` states for two positions what rows between them hold, on stored columns, so that the scan prunes.
     """
-    placed = df.withColumn("_position", position)
+    placed = df.select("*", position.alias("_position"))
     first = F.when(F.col("n") > skip, F.lit(skip))
     last = F.least(F.col("n") - 1, F.lit(skip + limit - 1))
     ends = {row["_q"]: row for row in located_ranks(placed, "_position", {"first": first, "last": last}).collect()}
     if "first" not in ends:
         return df.where(F.lit(False))
     low, high, shared = ends["first"]["_v"], ends["last"]["_v"], ends["first"]["_rank"]
-    near = placed.where(F.col("_position").between(low, high)).drop("_position")
+    near = df.where(within(low, high)) if within else placed.where(F.col("_position").between(low, high)).drop("_position")
     return near.orderBy(*order).offset(shared).limit(limit)
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewarden.functions.ordering import ranked_slice, text_position
-from lanewarden.functions.scalars import has_prefix, iso_text, violation_id, violation_key
+from lanewarden.functions.scalars import (
+    has_prefix, iso_text, read_violation_ref, violation_id, violation_key, violation_ref,
+)
 from lanewarden.schemas import CAR, EXPORT_COLUMNS
 from lanewarden.settings import AVERAGE, FEED_LENGTH, INSTANTANEOUS, PAGE_LIMIT_MAX, VIOLATION_TYPES
 
@@ -49,18 +51,28 @@ def newest_first() -> list[Column]:
     return [F.col("detected_at").desc(), F.col("car_plate").asc(), F.col("window_start").asc()]
 
 
-def _page(df: DataFrame, position: Column, order: list[Column], skip: int, limit: int) -> DataFrame:
+def _page(df: DataFrame, position: Column, order: list[Column], skip: int, limit: int, within=None) -> DataFrame:
     if skip < 0:
         raise ValueError("skip must not be negative")
     if not 1 <= limit <= PAGE_LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {PAGE_LIMIT_MAX}")
-    return ranked_slice(df, position, order, skip, limit)
+    return ranked_slice(df, position, order, skip, limit, within)
 
 
 def page_violations(ledger: DataFrame, *, skip: int = 0, limit: int = 50, **filters) -> DataFrame:
     """One page of the filtered ledger, newest first, found in the same way however deep it lies."""
-    age = F.coalesce(-F.unix_micros("detected_at"), F.lit(1 << 62))
-    return _page(filter_violations(ledger, **filters), age, newest_first(), skip, limit)
+    undated = 1 << 62
+    age = F.coalesce(-F.unix_micros("detected_at"), F.lit(undated))
+
+    def within(low: int, high: int) -> Column:
+        if low == undated:
+            return F.col("detected_at").isNull()
+        until = F.col("detected_at") <= F.timestamp_micros(F.lit(-low))
+        if high == undated:
+            return until | F.col("detected_at").isNull()
+        return until & (F.col("detected_at") >= F.timestamp_micros(F.lit(-high)))
+
+    return _page(filter_violations(ledger, **filters), age, newest_first(), skip, limit, within)
 
 
 def matching_total(ledger: DataFrame, **filters) -> DataFrame:
@@ -97,6 +109,24 @@ def violation_by_id(ledger: DataFrame, wanted: str | Column) -> DataFrame:
     return with_violation_id(ledger).where(F.col("id") == wanted)
 
 
+def with_violation_ref(ledger: DataFrame) -> DataFrame:
+    return ledger.withColumn("ref", violation_ref(F.col("car_plate"), F.col("window_start")))
+
+
+def violation_by_ref(ledger: DataFrame, ref: str) -> DataFrame:
+    """The row that the identifier names, none for an unknown or damaged one.
+
+    The key is read out of the identifier, so one day is read, and of it what may hold the plate. A window
+    never crosses midnight, so its day is that of the violation.
+    """
+    key = read_violation_ref(ref)
+    if key is None:
+        return ledger.where(F.lit(False))
+    plate, window = key
+    at = F.timestamp_micros(F.lit(int(window.timestamp()) * 1_000_000))
+    return ledger.where((F.col("date") == F.lit(window.date())) & (F.col("car_plate") == plate) & (F.col("window_start") == at))
+
+
 def to_json_safe(df: DataFrame) -> DataFrame:
     """The same rows with every timestamp as ISO text."""
     stamps = {name for name, kind in df.dtypes if kind.startswith("timestamp")}
@@ -114,6 +144,30 @@ def recent_feed(ledger: DataFrame, n: int = FEED_LENGTH, lane_id: int | None = N
     return filter_violations(ledger, lane_id=lane_id).orderBy(*newest_first()).limit(n)
 
 
+def newest_bound(ledger: DataFrame, n: int) -> int | None:
+    """A detection time, in microseconds, that the ``n`` newest rows all reach; None where fewer have one.
+
+    Rows are counted per day, then the newest days are read until ``n`` rows stand; the time of the last of
+    those is the bound. Rows of older days that were detected later reach it too.
+    """
+    days = ledger.where("detected_at is not null").groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    seen = 0
+    for row in days.orderBy(F.col("date").desc_nulls_last()).toLocalIterator():
+        seen += row["n"]
+        if seen >= n and row["date"] is not None:
+            newest = ledger.where((F.col("date") >= F.lit(row["date"])) & F.col("detected_at").isNotNull())
+            last = newest.select("detected_at").orderBy(F.col("detected_at").desc()).limit(n)
+            return last.agg(F.unix_micros(F.min("detected_at")).alias("us")).first()["us"]
+    return None
+
+
+def newest_rows(ledger: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest rows of a stored ledger; only files with rows that reach :func:`newest_bound` are read."""
+    us = newest_bound(ledger, n)
+    near = ledger if us is None else ledger.where(F.col("detected_at") >= F.timestamp_micros(F.lit(us)))
+    return near.orderBy(*newest_first()).limit(n)
+
+
 def merge_feed(history: DataFrame, live: DataFrame, n: int = FEED_LENGTH) -> DataFrame:
     """The newest ``n`` of both frames, one row per natural key.
 
@@ -212,6 +266,26 @@ def car_with_violations(cars: DataFrame, ledger: DataFrame, plate: str | None =
     return cars.join(history, "car_plate", "left").withColumn("violations", F.coalesce("violations", empty))
 
 
+def car_history_pieces(cars: DataFrame, ledger: DataFrame, n: int = 500) -> DataFrame:
+    """Each car's violations in pieces of at most ``n``: ``month`` of the window and ``piece`` from 0, newest first.
+
+    Within a month the ledger's key allows a plate one row per window, so what is numbered together is
+    bounded, however long the history is. A clean car has one piece without a month, with an empty list.
+    """
+    columns = [c for c in ledger.columns if c not in ("car_plate", "detected_at")]
+    month = F.date_format("window_start", "yyyy-MM")
+    row = F.struct("detected_at", *columns)
+    newest = Window.partitionBy("car_plate", "month").orderBy(F.col("_row").desc())
+    numbered = ledger.select("car_plate", month.alias("month"), row.alias("_row")).withColumn(
+        "piece", F.floor((F.row_number().over(newest) - 1) / n).cast("int")
+    )
+    pieces = numbered.groupBy("car_plate", "month", "piece").agg(F.sort_array(F.collect_list("_row"), asc=False).alias("violations"))
+    empty = F.array().cast(pieces.schema["violations"].dataType)
+    return cars.join(pieces, "car_plate", "left").withColumns(
+        {"piece": F.coalesce("piece", F.lit(0)), "violations": F.coalesce("violations", empty)}
+    )
+
+
 # --- registration ---------------------------------------------------------------------------
 
 def register_cars(cars: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:

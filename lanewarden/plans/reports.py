@@ -268,6 +268,83 @@ def latest_capture(spark, sf):
     return L.latest_capture(bed.ledger(spark, sf), bed.cars(spark, sf))
 
 
+# --- the ledger as it is stored ---------------------------------------------------------------
+
+_STORED = with_views("SELECT * REPLACE (CAST(CAST(timestamp_start AS DATE) AS VARCHAR) AS date) FROM ledger")
+
+
+def _stored(spark, sf):
+    return sinks.read_ledger(spark, bed.stored_ledger(spark, sf))
+
+
+def _day_as_text(ledger):
+    return ledger.withColumn("date", F.col("date").cast("string"))
+
+
+@query("l3_newest_rows_stored", f"SELECT * FROM ({_STORED}) {_NEWEST} LIMIT 60")
+def newest_rows_stored(spark, sf):
+    return _day_as_text(L.newest_rows(_stored(spark, sf), 60))
+
+
+_REF = "hex(car_plate) || '-' || CAST(epoch_us(window_start) // 60000000 AS VARCHAR)"
+
+
+@query("p9_violation_refs", f"SELECT car_plate, window_start, {_REF} || '-' || left(md5({_REF}), 8) AS ref FROM ({_STORED})")
+def violation_refs(spark, sf):
+    return L.with_violation_ref(bed.ledger(spark, sf)).select("car_plate", "window_start", "ref")
+
+
+@query("p9_violation_by_ref", f"SELECT * FROM ({_STORED}) ORDER BY car_plate <> 'P7', window_start LIMIT 1")
+def violation_by_ref(spark, sf):
+    """The first violation of one plate, found by the identifier that carries its key."""
+    ledger = _stored(spark, sf)
+    first = L.with_violation_ref(ledger.where(F.col("car_plate") == "P7")).agg(F.min_by("ref", "window_start").alias("ref")).first()
+    return _day_as_text(L.violation_by_ref(ledger, first["ref"]))
+
+
+@query("s7_compacted_ledger", _STORED)
+def compacted_ledger(spark, sf):
+    """Two appends leave two files and more in each day; the days before the last are compacted."""
+    path = scratch_path(spark, "ledger")
+    rows = bed.ledger_table(spark, sf)
+    for part in (0, 1):
+        sinks.append_to_ledger(rows.where(F.pmod(F.xxhash64("car_plate"), F.lit(2)) == part), path)
+    ledger = sinks.read_ledger(spark, path)
+    sinks.compact_ledger(spark, path, ledger.agg(F.max("date")).first()[0])
+    return _day_as_text(sinks.read_ledger(spark, path))
+
+
+@query("s12_delete_stored", f"SELECT * FROM ({_STORED}) WHERE NOT (detected_at >= TIMESTAMP '{_NOW}')")
+def delete_stored(spark, sf):
+    path = bed.stored_ledger(spark, sf)
+    sinks.delete_stored_violations(spark, path, _NOW)
+    return _day_as_text(sinks.read_ledger(spark, path))
+
+
+@query("j7_car_history_pieces", with_views("""
+SELECT c.car_plate, v.month, coalesce(v.piece, 0) AS piece, coalesce(v.n, 0) AS n_violations, coalesce(v.seen, '') AS violations
+FROM cars c LEFT JOIN (
+  SELECT car_plate, month, piece, CAST(count(*) AS INTEGER) AS n,
+         string_agg(CAST(epoch_us(detected_at) AS VARCHAR), ',' ORDER BY detected_at DESC) AS seen
+  FROM (SELECT *, CAST((row_number() OVER (PARTITION BY car_plate, month ORDER BY detected_at DESC) - 1) // 5 AS INTEGER) AS piece
+        FROM (SELECT *, strftime(window_start, '%Y-%m') AS month FROM ledger))
+  GROUP BY ALL) v ON c.car_plate = v.car_plate"""))
+def car_history_pieces(spark, sf):
+    pieces = L.car_history_pieces(bed.cars(spark, sf), bed.ledger(spark, sf), 5)
+    seen = F.transform("violations", lambda v: F.unix_micros(v["detected_at"]).cast("string"))
+    return pieces.select(
+        "car_plate", "month", "piece", F.size("violations").alias("n_violations"), F.array_join(seen, ",").alias("violations")
+    )
+
+
+@query("p14_route_all_lanes", with_views("""
+SELECT event_id, car_plate, lane_id, camera_id, event_time, speed_reading FROM crossings"""))
+def route_all_lanes(spark, sf):
+    path = scratch_path(spark, "lanes")
+    sinks.write_by_lane(bed.crossings(spark, sf), path)
+    return spark.read.parquet(path).select("event_id", "car_plate", "lane_id", "camera_id", "event_time", "speed_reading")
+
+
 # --- table upkeep ---------------------------------------------------------------------------
 
 @query("s6_upsert_by_key", with_views(f"""

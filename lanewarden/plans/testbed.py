@@ -14,7 +14,8 @@ from lanewarden.operators.dedup import first_per_plate_window, to_stored_violati
 from lanewarden.operators.detect import ADJACENT, all_violations
 from lanewarden.operators.trips import index_cameras
 from lanewarden.schemas import CAMERA, LANE
-from lanewarden.session import materialize
+from lanewarden.session import materialize, scratch_path
+from lanewarden.sources.sinks import append_to_ledger
 
 # The seeded lanes and cameras (camera, lane, position, limit).
 LANES = [(1, "North Highway"), (2, "Coastal Expressway"), (3, "City Bypass")]
@@ -118,6 +119,13 @@ def ledger_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(ledger(spark, sf_dir), "ledger-view")
 
 
+def stored_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """The path of the ledger as the detector lays it out: split by day, each day in a few files."""
+    path = scratch_path(spark, "stored-ledger")
+    append_to_ledger(ledger_table(spark, sf_dir), path)
+    return path
+
+
 def detection_time():
     millis = F.unix_millis("timestamp_end")
     delay = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from lanewarden.functions.scalars import iso_text
 from lanewarden.operators.dedup import for_ledger_table, to_stored_violation
 from lanewarden.operators.detect import FIRST_ORDER
-from lanewarden.operators.ledger import export_rows
+from lanewarden.operators.ledger import export_rows, without_violations
+from lanewarden.operators.live import route_by_lane
 from lanewarden.schemas import LEDGER_KEY, STORED_VIOLATION
+from lanewarden.session import delete_path, scratch_path
 from lanewarden.settings import AVERAGE, DEDUP_WINDOW, INSTANTANEOUS
 
 
@@ -47,6 +50,70 @@ def _laid_out(ledger: DataFrame) -> DataFrame:
     return ledger.hint("rebalance", "date").sortWithinPartitions("date", "car_plate")
 
 
+def rewrite_days(spark: SparkSession, path: str, days: list[date], rows: DataFrame) -> None:
+    """Replace the given days of the table by their ``rows``; files of other days are not touched.
+
+    The rows are written to the scratch folder first, since they come from the files they replace. Each day
+    is swapped by renames as the job commits, so a reader that lists a day in that moment should list again.
+    Days that have no rows left are deleted.
+    """
+    path_of = scratch_path(spark, "ledger-days")
+    rows.select(STORED_VIOLATION.fieldNames()).write.parquet(path_of)
+    staged = spark.read.schema(STORED_VIOLATION).parquet(path_of)
+    writer = _laid_out(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date").parquet(path)
+    left = {row["date"] for row in staged.select("date").distinct().collect()}
+    for day in days:
+        if day not in left:
+            delete_path(spark, f"{path}/date={day.isoformat()}")
+    delete_path(spark, path_of)
+
+
+def delete_stored_violations(spark: SparkSession, path: str, since=None) -> list[date]:
+    """Delete all rows, or those detected at or after ``since``; returns the days that held any.
+
+    Only those days are rewritten. Run again after a failure, it finishes what is left.
+    """
+    ledger = read_ledger(spark, path)
+    gone = ledger if since is None else ledger.where(F.col("detected_at") >= F.lit(since).cast("timestamp"))
+    days = sorted(row["date"] for row in gone.select("date").distinct().collect())
+    if days:
+        rewrite_days(spark, path, days, without_violations(ledger.where(F.col("date").isin(days)), since))
+    return days
+
+
+# A day is compacted when it lies in more files than its bytes need at this size.
+COMPACT_FILE_BYTES = 64 << 20
+
+
+def compact_ledger(spark: SparkSession, path: str, before: date, file_bytes: int = COMPACT_FILE_BYTES) -> list[date]:
+    """Rewrite the small files of each day before ``before`` into few sorted ones; returns those days.
+
+    ``before`` is a day that the detector may still write to: the day of its newest crossing, less the delay
+    and the span of a segment. Appends go to later days, so the job runs beside the sink.
+    """
+    ledger = read_ledger(spark, path).where(F.col("date") < F.lit(before))
+    if ledger.isEmpty():
+        return []
+    files = ledger.select("date", "_metadata.file_path", "_metadata.file_size").distinct().groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("bytes")
+    )
+    crowded = files.where(F.col("n") > 1 + F.floor(F.col("bytes") / file_bytes))
+    days = sorted(row["date"] for row in crowded.select("date").collect())
+    if days:
+        rewrite_days(spark, path, days, ledger.where(F.col("date").isin(days)))
+    return days
+
+
+def write_by_lane(crossings: DataFrame, path: str) -> None:
+    """All crossings that name a lane, split by lane in one pass and sorted by time.
+
+    A lane with little data is one file; the rebalance deals a busy lane to many tasks.
+    """
+    routed = route_by_lane(crossings).hint("rebalance", "lane_id").sortWithinPartitions("lane_id", "event_time")
+    routed.write.mode("append").partitionBy("lane_id").parquet(path)
+
+
 def overwrite_copy(df: DataFrame, path: str) -> str:
     """Write a whole new version of a table at ``path``; the caller then points readers to it."""
     df.write.mode("errorifexists").parquet(path)

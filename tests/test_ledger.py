@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from lanewarden.functions import scalars as S
 from lanewarden.operators import dedup, detect, geometry, live
 from lanewarden.operators import ledger as L
+from lanewarden.sources import sinks
+from lanewarden.sources.sinks import append_to_ledger, read_ledger
 
 CAMERA = "camera_id int, lane_id int, position_km double, speed_limit double"
 CAR = "car_plate string, owner_name string, owner_addr string, vehicle_type string, registration_date string"
@@ -215,3 +217,85 @@ def test_live_picture(spark, crossings):
     bare = events.withColumn("speed_limit", F.when(F.col("car_plate") == "A", F.col("speed_limit")))
     assert {r["car_plate"]: r["over"] for r in live.over_limit(bare, cameras).collect()} == {"A": True, "B": True}
     assert live.route_by_lane(events).count() == 4 and live.route_by_lane(events, 2).count() == 1
+
+
+def _days_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in sorted(path.rglob("*.parquet"))}
+
+
+@pytest.fixture
+def on_disk(spark, crossings, tmp_path):
+    """Three days of violations by many plates, each day in two files."""
+    path = tmp_path / "ledger"
+    for part in (0, 1):
+        rows = [(f"P{i}", 1, 0, 90_000 * day + 700 * i, 90, 120.0) for day in range(3) for i in range(part, 20, 2)]
+        first = dedup.first_per_plate_window(detect.all_violations(crossings(rows))).drop("window_start")
+        append_to_ledger(dedup.to_stored_violation(first, detected_at=F.col("timestamp_end") + F.expr("interval 1 second")), str(path), 30)
+    return path
+
+
+def test_a_delete_rewrites_only_the_days_it_touches(spark, on_disk):
+    before = _days_of(on_disk)
+    since = T0 + dt.timedelta(seconds=90_000 + 7000)
+    days = sinks.delete_stored_violations(spark, str(on_disk), since)
+    assert days == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    after = _days_of(on_disk)
+    kept = {f: t for f, t in before.items() if f.startswith("date=2024-01-01")}
+    assert kept and kept == {f: t for f, t in after.items() if f in kept} and not any("2024-01-03" in f for f in after)
+    assert read_ledger(spark, str(on_disk)).count() == 20 + 10
+    assert sinks.delete_stored_violations(spark, str(on_disk), since) == [] and _days_of(on_disk) == after
+    sinks.delete_stored_violations(spark, str(on_disk))
+    assert read_ledger(spark, str(on_disk)).count() == 0
+
+
+def test_closed_days_are_compacted_once(spark, on_disk):
+    path, today = str(on_disk), dt.date(2024, 1, 3)
+    rows = sorted(map(str, read_ledger(spark, path).collect()))
+    assert sinks.compact_ledger(spark, path, today) == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    files = [f.split("/")[0] for f in _days_of(on_disk)]
+    assert [files.count(f"date=2024-01-0{d}") for d in (1, 2, 3)] == [1, 1, 2]
+    assert sorted(map(str, read_ledger(spark, path).collect())) == rows
+    assert sinks.compact_ledger(spark, path, today) == [] == sinks.compact_ledger(spark, path + "-none", today)
+
+
+def test_newest_rows_and_references_prune(spark, on_disk):
+    ledger = read_ledger(spark, str(on_disk))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for n in (1, 7, 25, 60, 100):
+        assert L.newest_rows(ledger, n).collect() == L.recent_feed(ledger, n).collect()
+    assert "GreaterThanOrEqual(detected_at" in plan(L.newest_rows(ledger, 7))
+    assert "PushedFilters: [IsNotNull(detected_at), " in plan(L.page_violations(ledger, skip=5, limit=5))
+    ref = L.with_violation_ref(ledger.where("car_plate = 'P3'")).orderBy("window_start").first()
+    found = L.violation_by_ref(ledger, ref["ref"])
+    assert [(r["car_plate"], r["window_start"]) for r in found.collect()] == [("P3", ref["window_start"])]
+    assert "EqualTo(car_plate,P3)" in plan(found) and "(date" in plan(found).split("PartitionFilters")[1].split("PushedFilters")[0]
+    for damaged in ("", "x", ref["ref"][:-1] + "z", "-".join(["GG", *ref["ref"].split("-")[1:]])):
+        assert L.violation_by_ref(ledger, damaged).count() == 0
+
+
+def test_references_hold_any_plate(spark):
+    plates = ["A-1", "", "Ü|日本", "p" * 300]
+    df = spark.createDataFrame([(p, T0) for p in plates], "p string, w timestamp").select(S.violation_ref(F.col("p"), F.col("w")).alias("r"))
+    read = [S.read_violation_ref(row["r"]) for row in df.collect()]
+    assert [(p, w.replace(tzinfo=None)) for p, w in read] == [(p, T0) for p in plates]
+
+
+def test_history_pieces_are_bounded_and_whole(spark, on_disk):
+    cars = spark.createDataFrame([("P1", "", "", "", ""), ("clean", "", "", "", "")], CAR)
+    ledger = read_ledger(spark, str(on_disk))
+    pieces = L.car_history_pieces(cars, ledger, 2).orderBy("car_plate", "month", "piece").collect()
+    assert [(p["car_plate"], p["month"], p["piece"], len(p["violations"])) for p in pieces] == [
+        ("P1", "2024-01", 0, 2), ("P1", "2024-01", 1, 1), ("clean", None, 0, 0)
+    ]
+    whole = L.car_with_violations(cars, ledger, "P1").first()["violations"]
+    assert [v for p in pieces[:2] for v in p["violations"]] == whole
+
+
+def test_lanes_are_routed_on_write(spark, crossings, tmp_path):
+    rows = [("A", 1, 0, 5, 90, 80.0), ("B", 2, 0, 1, 90, 80.0), ("C", 1, 0, 2, 90, 80.0), ("D", None, 0, 2, 90, 80.0)]
+    events = crossings([r for r in rows if r[1]]).unionByName(crossings([("D", 9, 0, 2, 90, 80.0)]).withColumn("lane_id", F.lit(None).cast("int")))
+    sinks.write_by_lane(events, str(tmp_path / "lanes"))
+    lane = spark.read.parquet(str(tmp_path / "lanes")).where("lane_id = 1")
+    assert [r["car_plate"] for r in lane.collect()] == ["C", "A"]
+    assert "isnotnull(lane_id" in lane._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(str(tmp_path / "lanes")).count() == 3
