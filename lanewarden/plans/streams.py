@@ -22,6 +22,7 @@ from lanewarden.plans.registry import ORACLE, query
 from lanewarden.plans.views_sql import with_views
 from lanewarden.schemas import CAMERA, VIOLATION
 from lanewarden.session import scratch_path
+from lanewarden.settings import VEHICLE_TTL_S
 from lanewarden.sources.events import read_events, to_wire
 from lanewarden.sources.sinks import read_ledger
 from lanewarden.streaming import jobs, stateful
@@ -271,9 +272,25 @@ def detector_progress(spark, sf):
     return records.select("input_rows", "total_rows")
 
 
-@query("t8_live_vehicle_stream")
+# Each landing is one batch; its watermark is its newest crossing less ten minutes, and the last one ends with
+# the closing crossing a day later.
+_LIVE_UPDATES = with_views(f"""
+SELECT car_plate, u.status, lane_id, camera_id, position_km, speed_reading, speed_reading > speed_limit AS over, seen_us
+FROM (SELECT *, lead(landing) OVER (PARTITION BY car_plate ORDER BY landing) AS next_landing
+      FROM (SELECT *, row_number() OVER (PARTITION BY car_plate, landing ORDER BY seen_us DESC, camera_id DESC, lane_id DESC) AS rn,
+                   max(seen_us) OVER (PARTITION BY landing) // 1000 * 1000 - 600000000 AS passed_us
+            FROM (SELECT *, epoch_us(event_time) AS seen_us,
+                         date_diff('day', CAST(min(event_time) OVER () AS DATE), CAST(event_time AS DATE)) // {PERIOD_DAYS} AS landing
+                  FROM crossings))
+      WHERE rn = 1),
+  (VALUES ('seen'), ('gone')) AS u(status)
+WHERE u.status = 'seen' OR next_landing IS NULL OR next_landing > landing + 1 OR seen_us + {round(VEHICLE_TTL_S * 1_000_000)} < passed_us
+UNION ALL SELECT '~', 'seen', 0, 0, 0.0, 0.0, false, epoch_us(max(event_time)) + 86400000000 FROM crossings""")
+
+
+@query("t8_live_vehicle_stream", _LIVE_UPDATES)
 def live_vehicle_stream(spark, sf):
-    """Which crossings share a batch decides how many updates there are, so there is no SQL for it."""
+    """One ``seen`` per vehicle and landing, and one ``gone`` if it is not seen again in time."""
     with _rocksdb(spark):
         return _replayed_table(spark, sf, stateful.live_vehicle_stream, closing=True)
 

@@ -1,8 +1,7 @@
 """Keyed state on streams: vehicles on the road, and an exact rolling flag per plate.
 
-The first holds one small value per plate; the second also the plate's rows that the watermark has not
-passed. Last crossings and row patterns are kept by bucket of plates: one state and one call of numpy per
-bucket and batch. All need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+Last crossings and row patterns as well. All are kept by bucket of plates, with one state and one call of numpy
+per bucket and batch, and need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,157 +20,99 @@ from lanewarden.settings import DEDUP_WINDOW, JOIN_WINDOW, VEHICLE_TTL_S, durati
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Keys of the state of many vehicles; fixed for the life of a checkpoint.
+BUCKETS = 64
 _LIVE = "lane_id int, camera_id int, position_km double, speed_reading double, over boolean, seen_us long"
 LIVE_ROW = "car_plate string, status string, " + _LIVE
 
 
-class _LiveVehicle(StatefulProcessor):
-    """The last crossing per plate; an event-time timer reports the vehicle gone after its TTL."""
+def _bucket(*keys: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _rows_of(table: pd.DataFrame, names: list[str]) -> list[tuple]:
+    """The rows as tuples of Python values, missing ones as None."""
+    return list(zip(*[table[c].astype(object).where(table[c].notna(), None).tolist() for c in names]))
+
+
+class _LiveVehicles(StatefulProcessor):
+    """The last crossing of each vehicle of a bucket; an event-time timer reports those gone after their TTL."""
+
+    names = ["car_plate", "lane_id", "camera_id", "position_km", "speed_reading", "over", "seen_us"]
 
     def __init__(self, ttl_us: int) -> None:
         self.ttl_us = ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", _LIVE)
+        self.last = handle.getListState("last", "car_plate string, " + _LIVE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = self.last.get() if self.last.exists() else None
-        for part in rows:
-            row = part.loc[part["seen_us"].idxmax()]
-            if newest is None or row["seen_us"] > newest[5]:
-                newest = (
-                    int(row["lane_id"]), int(row["camera_id"]), float(row["position_km"]),
-                    float(row["speed_reading"]), bool(row["over"]), int(row["seen_us"]),
-                )
-        self.last.update(newest)
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((newest[5] + self.ttl_us) // 1000 + 1)
-        yield self._row(key, "seen", newest)
+        new = pd.concat([part[self.names] for part in rows], ignore_index=True)
+        both = pd.concat([self._held(), new], ignore_index=True) if self.last.exists() else new
+        # Newest first; ties as in the table form, missing readings last.
+        order = ["seen_us", "camera_id", "lane_id", "position_km", "speed_reading", "over"]
+        both = both.sort_values(order, ascending=False).drop_duplicates("car_plate")
+        self._keep(both)
+        yield self._told(both[both["car_plate"].isin(new["car_plate"])], "seen")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        gone = self.last.get()
-        self.last.clear()
-        yield self._row(key, "gone", gone)
+        held = self._held()
+        gone = held["seen_us"] + self.ttl_us < timerValues.getCurrentWatermarkInMs() * 1000
+        self._keep(held[~gone])
+        if gone.any():
+            yield self._told(held[gone], "gone")
 
-    @staticmethod
-    def _row(key, status: str, value: tuple) -> pd.DataFrame:
-        names = ["lane_id", "camera_id", "position_km", "speed_reading", "over", "seen_us"]
-        return pd.DataFrame([{"car_plate": key[0], "status": status, **dict(zip(names, value))}])
+    def _held(self) -> pd.DataFrame:
+        return pd.DataFrame([tuple(r) for r in self.last.get()], columns=self.names)
+
+    def _keep(self, table: pd.DataFrame) -> None:
+        """Store the vehicles, with one timer for the first of them to go."""
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if len(table):
+            self.last.put(_rows_of(table, self.names))
+            self.handle.registerTimer((int(table["seen_us"].min()) + self.ttl_us) // 1000 + 1)
+        else:
+            self.last.clear()
+
+    def _told(self, table: pd.DataFrame, status: str) -> pd.DataFrame:
+        return table.assign(status=status)[["car_plate", "status", *self.names[1:]]]
 
     def close(self) -> None:
         pass
 
 
-def live_vehicle_stream(events: DataFrame, ttl_s: float = VEHICLE_TTL_S) -> DataFrame:
+def live_vehicle_stream(events: DataFrame, ttl_s: float = VEHICLE_TTL_S, buckets: int = BUCKETS) -> DataFrame:
     """Updates of the live picture: ``seen`` at each batch a vehicle crosses in, ``gone`` once expired.
 
-    A crossing without a time, plate, lane, camera or position says nothing about where a vehicle is
-    and is left out; one without a reading counts as within the limit.
+    A vehicle is gone when the watermark is more than ``ttl_s`` past its last crossing. A crossing without a time,
+    plate, lane, camera or position says nothing about where a vehicle is and is left out; one without a reading
+    counts as within the limit. State holds one crossing per vehicle on the road.
     """
     keyed = events.select(
-        "car_plate", "lane_id", "camera_id", "position_km", "speed_reading",
+        _bucket("car_plate", buckets=buckets), "car_plate", "lane_id", "camera_id", "position_km", "speed_reading",
         F.coalesce(F.col("speed_reading") > F.col("speed_limit"), F.lit(False)).alias("over"),
         F.unix_micros("event_time").alias("seen_us"),
         "event_time",
     ).dropna(subset=["event_time", "car_plate", "lane_id", "camera_id", "position_km"])
-    return keyed.groupBy("car_plate").transformWithStateInPandas(
-        _LiveVehicle(round(ttl_s * 1_000_000)), LIVE_ROW, "Append", "EventTime"
+    return keyed.groupBy("bucket").transformWithStateInPandas(
+        _LiveVehicles(round(ttl_s * 1_000_000)), LIVE_ROW, "Append", "EventTime"
     )
 
 
-class _RollingFlag(StatefulProcessor):
-    """Rows wait until the watermark has passed them, then are judged in event-time order.
-
-    A row passes when it starts at least one width after the plate's last flag. The flag is forgotten
-    once no row can fall within its width any more.
-    """
-
-    def __init__(self, width_us: int) -> None:
-        self.width_us = width_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "start_us long, violation_type string")
-        self.flagged = handle.getValueState("flagged", "at_us long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
-        for part in rows:
-            starts = part["start_us"].tolist()
-            self.waiting.appendList(list(zip(starts, part["violation_type"].tolist())))
-            earliest = min(starts) if earliest is None else min(earliest, *starts)
-        self._wake(earliest)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(tuple(row) for row in self.waiting.get()) if self.waiting.exists() else []
-        starts = np.array([row[0] for row in rows], np.int64)
-        ready = int(np.searchsorted(starts, passed_us, "right"))
-        last = self.flagged.get()[0] if self.flagged.exists() else None
-        at = 0 if last is None else int(np.searchsorted(starts, last + self.width_us))
-        flags = []
-        while at < ready:
-            flags.append((key[0], rows[at][1], rows[at][0]))
-            last = rows[at][0]
-            at = int(np.searchsorted(starts, last + self.width_us))
-        if ready < len(rows):
-            self.waiting.put(rows[ready:])
-        else:
-            self.waiting.clear()
-        if last is not None and last + self.width_us > passed_us:
-            self.flagged.update((last,))
-            self._next_timer(rows[ready][0] if ready < len(rows) else last + self.width_us)
-        else:
-            self.flagged.clear()
-            if ready < len(rows):
-                self._next_timer(rows[ready][0])
-        if flags:
-            yield pd.DataFrame(flags, columns=["car_plate", "violation_type", "start_us"])
-
-    def _wake(self, at_us: int) -> None:
-        """Keep one timer, for the earliest moment there is something to do."""
-        set_for = list(self.handle.listTimers())
-        if not set_for or at_us // 1000 + 1 < min(set_for):
-            for timer in set_for:
-                self.handle.deleteTimer(timer)
-            self._next_timer(at_us)
-
-    def _next_timer(self, at_us: int) -> None:
-        self.handle.registerTimer(at_us // 1000 + 1)
-
-    def close(self) -> None:
-        pass
-
-
-def rolling_flag_stream(violations: DataFrame, width: str = DEDUP_WINDOW) -> DataFrame:
-    """Exact rolling suppression per plate, in event time: the flags of :func:`lanewarden.operators.dedup.rolling_flag`.
-
-    How rows are dealt to files and batches makes no difference, as long as none comes too late.
-    """
-    keyed = violations.select(
-        "car_plate", "violation_type", "timestamp_start", F.unix_micros("timestamp_start").alias("start_us")
-    )
-    return keyed.groupBy("car_plate").transformWithStateInPandas(
-        _RollingFlag(duration_seconds(width) * 1_000_000), "car_plate string, violation_type string, start_us long",
-        "Append", "EventTime",
-    )
-
-
-# Keys of the state of many vehicles; fixed for the life of a checkpoint.
-BUCKETS = 64
 _VEHICLE = ["car_plate", "lane_id"]
 
 
 class _InOrder(StatefulProcessor):
     """Rows of a bucket of vehicles wait until the watermark has passed them, then are judged in order.
 
-    ``judge`` gets all rows of the bucket, sorted by vehicle, time and tie, and the time that has passed. It
-    returns what to emit, which rows to keep, and when to look again though nothing waits.
+    ``judge`` gets all rows of the bucket, sorted by ``order``, and the time that has passed. It returns what to
+    emit, which rows to keep, and when to look again though nothing waits.
     """
 
+    order = [*_VEHICLE, "at_us", "camera_index", "tie"]
+
     def __init__(self, columns: str, names: list[str], reach_us: int) -> None:
         self.columns, self.names, self.reach_us = columns, names, reach_us
 
@@ -195,7 +136,7 @@ class _InOrder(StatefulProcessor):
         held = list(self.rows.get()) if self.rows.exists() else []
         if held:
             table = pd.DataFrame([tuple(r) for r in held], columns=self.names)
-            table = table.sort_values([*_VEHICLE, "at_us", "camera_index", "tie"], kind="stable", ignore_index=True)
+            table = table.sort_values(self.order, kind="stable", ignore_index=True)
             found, kept, again_us = self.judge(table, passed_us)
             if len(kept):
                 self.rows.put(list(zip(*[kept[c].tolist() for c in self.names])))
@@ -253,7 +194,7 @@ def last_crossing_stream(events: DataFrame, window: str = JOIN_WINDOW, buckets:
     are left out; readings may be missing.
     """
     keyed = events.dropna(subset=["car_plate", "lane_id", "camera_id", "camera_index", "position_km", "speed_limit", "event_time"]).select(
-        F.pmod(F.xxhash64(*_VEHICLE), F.lit(buckets)).cast("int").alias("bucket"),
+        _bucket(*_VEHICLE, buckets=buckets),
         *_VEHICLE, "camera_id", *tie_break(), "position_km", "speed_limit",
         F.unix_micros("event_time").alias("at_us"), F.lit(False).alias("judged"), "event_time",
     )
@@ -270,6 +211,77 @@ def last_crossing_stream(events: DataFrame, window: str = JOIN_WINDOW, buckets:
     )
 
 
+def _next_after(group: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """For each row, the first row of its group at least ``width`` later (the number of rows if there is none).
+
+    Rows are sorted by group and time. Both are merged as they are, so no combined key can overflow.
+    """
+    n = len(at)
+    merged = np.lexsort((np.repeat([0, 1], n), np.concatenate([at + width, at]), np.concatenate([group, group])))
+    asked = merged < n
+    after = np.empty(n, np.int64)
+    after[merged[asked]] = np.cumsum(~asked)[asked]
+    ends = np.searchsorted(group, group, "right")
+    return np.where(after < ends, after, n)
+
+
+class _RollingFlag(_InOrder):
+    """A row passes when it starts at least one width after the plate's last flag.
+
+    The last flag stays as a row of the state, until no row to come can fall within its width.
+    """
+
+    order = ["car_plate", "at_us", "violation_type"]
+
+    def judge(self, table: pd.DataFrame, passed_us: int) -> tuple[pd.DataFrame, pd.DataFrame, int | None]:
+        at, known = table["at_us"].to_numpy(np.int64), table["flagged"].to_numpy(bool)
+        plate = pd.factorize(table["car_plate"])[0]
+        ready, after = at <= passed_us, _next_after(plate, at, self.reach_us)
+        first = np.flatnonzero(np.r_[True, plate[1:] != plate[:-1]])
+        # Each plate begins at what follows its last flag, or else at its first row; all chains go on at once.
+        start = np.zeros(plate[-1] + 1, np.int64)
+        start[plate[first]] = first
+        start[plate[known]] = after[known]
+        flags, at_row = [], start
+        while True:
+            at_row = at_row[at_row < len(at)]
+            at_row = at_row[ready[at_row]]
+            if not len(at_row):
+                break
+            flags.append(at_row)
+            at_row = after[at_row]
+        flags = np.sort(np.concatenate(flags)) if flags else np.empty(0, np.int64)
+        last = np.full(plate[-1] + 1, -1)
+        last[plate[known]] = np.flatnonzero(known)
+        last[plate[flags]] = flags
+        last = last[last >= 0]
+        last = last[at[last] + self.reach_us > passed_us]
+        kept = table.assign(flagged=False)
+        kept.loc[last, "flagged"] = True
+        kept = kept[~ready | kept["flagged"]]
+        found = table.loc[flags, ["car_plate", "violation_type", "at_us"]].rename(columns={"at_us": "start_us"})
+        return found, kept, int(at[last].max()) + self.reach_us if len(last) else None
+
+
+def rolling_flag_stream(violations: DataFrame, width: str = DEDUP_WINDOW, buckets: int = BUCKETS) -> DataFrame:
+    """Exact rolling suppression per plate, in event time: the flags of :func:`lanewarden.operators.dedup.rolling_flag`.
+
+    How rows are dealt to files and batches makes no difference, as long as none comes too late. State holds the
+    rows that the watermark has not passed, and one flag per plate flagged within the last width. Violations
+    without a plate or start are left out.
+    """
+    keyed = violations.dropna(subset=["car_plate", "timestamp_start"]).select(
+        _bucket("car_plate", buckets=buckets), "car_plate", "violation_type", "timestamp_start",
+        F.unix_micros("timestamp_start").alias("at_us"), F.lit(False).alias("flagged"),
+    )
+    names = ["car_plate", "violation_type", "at_us", "flagged"]
+    state = "car_plate string, violation_type string, at_us long, flagged boolean"
+    return keyed.groupBy("bucket").transformWithStateInPandas(
+        _RollingFlag(state, names, duration_seconds(width) * 1_000_000),
+        "car_plate string, violation_type string, start_us long", "Append", "EventTime",
+    )
+
+
 class _Pattern(_InOrder):
     """Runs of an automaton from left to right; a start waits until its run has ended or its time is over."""
 
@@ -324,7 +336,7 @@ def pattern_stream(events: DataFrame, steps: Sequence[Step], *, within: str = JO
     """
     automaton = Automaton.of(steps)
     keyed = events.dropna(subset=[*_VEHICLE, "event_time"]).select(
-        F.pmod(F.xxhash64(*_VEHICLE), F.lit(buckets)).cast("int").alias("bucket"),
+        _bucket(*_VEHICLE, buckets=buckets),
         *_VEHICLE, F.coalesce("camera_index", F.lit(-1)).alias("camera_index"), tie_break()[1],
         F.unix_micros("event_time").alias("at_us"), flags_of(steps).alias("flags"), "event_time",
     )

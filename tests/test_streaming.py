@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from conftest import T0
 from pyspark.sql import functions as F
@@ -132,6 +133,35 @@ def test_live_vehicles_come_and_go(spark, tmp_path, crossings):
     assert found == [("A", "gone", 11, False), ("A", "seen", 11, False), ("~", "seen", 90, False)]
 
 
+def test_many_vehicles_share_a_bucket(spark, tmp_path, crossings):
+    """Vehicles of one bucket: ties, a missing reading, one that goes before the other, one that is seen again."""
+    first = [("A", 1, 0, 0, 90, 80.0), ("A", 1, 1, 0, 90, 120.0), ("B", 1, 0, 1, 90, None), ("C", 2, 0, 2, 90, 70.0)]
+    second = [("B", 1, 1, 700, 90, 95.0), ("C", 2, 1, 1000, 90, 60.0)]
+    with _rocksdb(spark):
+        rows, _ = run(
+            spark, tmp_path, [landing(crossings, first), landing(crossings, second), landing(crossings, TICK)],
+            lambda events: stateful.live_vehicle_stream(events, ttl_s=300.0, buckets=1),
+        )
+    found = sorted((r["car_plate"], r["status"], r["camera_id"], r["speed_reading"], r["over"]) for r in rows.collect())
+    assert found == [
+        ("A", "gone", 11, 120.0, True), ("A", "seen", 11, 120.0, True),
+        ("B", "gone", 11, 95.0, True), ("B", "seen", 10, None, False), ("B", "seen", 11, 95.0, True),
+        ("C", "gone", 21, 60.0, False), ("C", "seen", 20, 70.0, False), ("C", "seen", 21, 60.0, False),
+        ("~", "seen", 90, 1.0, False),
+    ]
+
+
+def test_next_after_equals_a_plain_statement():
+    """Groups of different sizes, equal times, and times so far apart that no combined key would fit."""
+    rng = random.Random(4)
+    for far in (1, 10**17):
+        rows = sorted((g, rng.randrange(40) * far) for g in range(6) for _ in range(rng.randrange(1, 30)))
+        group, at = (np.array(x, np.int64) for x in zip(*rows))
+        for width in (1, 5 * far, 50 * far):
+            want = [next((j for j, (h, t) in enumerate(rows) if h == g and t >= s + width), len(rows)) for g, s in rows]
+            assert stateful._next_after(group, at, width).tolist() == want
+
+
 def test_detector_resumes_and_resets(spark, tmp_path, crossings):
     run_name, checkpoint, path = jobs.run_paths(str(tmp_path))
     reports = []
