@@ -1,10 +1,10 @@
-"""A bounded filter before a join, and names that do not clash."""
+"""A bounded filter before a join, names that do not clash, and folds over long arrays."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,58 @@ def possible_rows(rows: DataFrame, wanted: DataFrame, *keys: str, others: bool =
     byte = f"cast(conv(hex(substring(`{bitmap}`, cast(`{place}` div 8 as int) + 1, 1)), 16, 10) as long)"
     hit = F.coalesce(F.expr(f"getbit({byte}, cast(`{place}` % 8 as int)) = 1"), F.lit(False))
     return found.where(~hit if others else hit).select(*rows.columns)
+
+
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once, however often ``of`` names it."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
+def before_each(running: Column) -> Column:
+    """Of running results, what stood before each entry (0 before the first)."""
+    return F.concat(F.array(F.lit(0).cast("long")), F.slice(running, 1, F.greatest(F.size(running) - 1, F.lit(0))))
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], levels: int = 2, chunk: int = 64) -> Column:
+    """``array<long>``: the result of ``combine`` over the entries up to and including each one, from 0.
+
+    ``combine`` is associative and 0 changes nothing. A fold that appends copies its list each time, so
+    only chunks are folded: first each for itself, then their results (again in chunks, ``levels`` times).
+    """
+
+    def folded(entries: Column, start: Column) -> Column:
+        begin = F.struct(start.alias("at"), F.array().cast("array<long>").alias("out"))
+
+        def step(state: Column, v: Column) -> Column:
+            at = combine(state["at"], v)
+            return F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
+
+        return F.aggregate(entries, begin, step, lambda state: state["out"])
+
+    zero = F.lit(0).cast("long")
+    if not levels:
+        return folded(values, zero)
+
+    def chunked(entries: Column) -> Column:
+        last = F.floor((F.size(entries) - 1) / chunk).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(entries, k * chunk + 1, F.lit(chunk)))
+
+        def joined(parts: Column) -> Column:
+            results = running(F.transform(parts, lambda part: F.aggregate(part, zero, combine)), combine, levels - 1, chunk)
+            return F.flatten(F.zip_with(parts, let(results, before_each), folded))
+
+        return F.when(F.size(entries) > 0, let(chunks, joined)).otherwise(F.array().cast("array<long>"))
+
+    return let(values.cast("array<long>"), chunked)
+
+
+def placed(parts: Column, gap: str = "gap", size: str = "size") -> Column:
+    """``parts`` (each with the gap before it and its own size) as ``array<struct<start, end, part>>``."""
+
+    def ended(p: Column) -> Column:
+        ends = running(F.transform(p, lambda x: x[gap] + x[size]), lambda a, b: a + b)
+        return F.zip_with(
+            p, ends, lambda x, end: F.struct((end - x[size]).cast("int").alias("start"), end.cast("int").alias("end"), x.alias("part"))
+        )
+
+    return let(parts, ended)

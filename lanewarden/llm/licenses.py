@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lanewarden.llm.filters import placed
+
 # The base phrases and their labels.
 BASE = {
     "gnu general public license": "gpl",
@@ -178,16 +180,7 @@ def _places(form: Column, pattern: Column) -> Column:
                    lambda gap, m: F.struct(_blanks(gap).alias("gap"), _blanks(m).alias("size"))),
         lambda p: p["size"].isNotNull(),
     )
-    kind = "array<struct<start:int,end:int>>"
-    return F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found")),
-        lambda s, p: F.struct(
-            (s["at"] + p["gap"] + p["size"]).alias("at"),
-            F.concat(s["found"], F.array(F.struct((s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + p["size"]).alias("end")))).cast(kind).alias("found"),
-        ),
-        lambda s: s["found"],
-    )
+    return F.transform(placed(parts), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end")))
 
 
 def _rule_table(spark: SparkSession, all_rules: Sequence[tuple[str, str, str, str]]) -> DataFrame:

@@ -5,16 +5,19 @@ checked after matching, so a short match still uses up its text.
 
 **Random strings.** Runs of at least 20 encoding characters with both letters and digits are
 candidates; ``=`` only ends one, so of ``NAME=VALUE`` name and value are looked at apart. The encoding
-is inferred from the characters (hex and base36 of either case, base32, base64), and three tests are made of the hypothesis that the characters are drawn evenly and independently:
-chi-squared uniformity over the alphabet, runs about the middle of the alphabet, and lag-one serial
-correlation. Their p-values are combined (three times the least). Candidates of one encoding and
-length class (power of two) are one family, over all documents: the Benjamini-Hochberg procedure
-finds the p-value under which a string counts as structured, so of the strings called structured at
-most a share ``rate`` is random. What is left is reported as ``random`` if it carries ``bits``
-of information at least; shorter strings could pass the tests by chance.
+is inferred from the characters (hex and base36 of either case, base32, base64), and four tests are made
+of the hypothesis that the characters are drawn evenly and independently: chi-squared uniformity over the
+alphabet, runs about the middle of the alphabet, runs of character classes (words in a name make few of
+them), and lag-one serial correlation. Their p-values are combined (four times the least). Candidates of
+one encoding and length class (power of two) are one family, over all documents: the Benjamini-Hochberg
+procedure finds the p-value under which a string counts as structured, so of the strings called structured
+by it at most a share ``rate`` is random. That alone would report what is structured but rare beside many
+keys, so a p-value under ``level`` counts as structured in any family, which costs a share ``level`` of the
+random strings. What is left is reported as ``random`` if it carries ``bits`` of information at least;
+shorter strings could pass the tests by chance.
 
 Positions come from splitting the text by the same pattern: gaps and matches alternate. They count
-code points, ends are exclusive.
+code points, ends are exclusive. Work grows near linearly with the matches of a text.
 
 Defined results: a null or empty text has no spans; repeated rows are answered row by row; an empty
 table gives no rows; columns of the input are never looked at but for the text.
@@ -27,7 +30,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewarden.llm.filters import before_each, let, placed, running
+
 RATE = 0.01
+LEVEL = 0.003
 BITS = 96.0
 _STEP = 10  # bins per decade of p-values
 _DECADES = 30
@@ -61,24 +67,19 @@ def _matches(text: Column, pattern: str, gate: str, group: int, least: int) -> C
     """``array<struct<start, end, match>>`` of the matches whose group has ``least`` characters."""
     # The gap after the last match has no match beside it; it is dropped at the end.
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(F.split(text, pattern, -1), whole, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("match")))
+    parts = F.zip_with(
+        F.split(text, pattern, -1), whole,
+        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size"), F.length(m).alias("counted"), m.alias("match")),
+    )
     if group:
         counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
         parts = F.zip_with(parts, counted, lambda p, c: p.withField("counted", F.length(c)))
-    parts = F.filter(parts, lambda p: p["match"].isNotNull())
+    found = F.filter(placed(F.filter(parts, lambda p: p["match"].isNotNull())), lambda m: m["part"]["counted"] >= least)
+    told = F.transform(
+        found, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["part"]["match"].alias("match"))
+    )
     kind = "array<struct<start:int,end:int,match:string>>"
-
-    def placed(state: Column, p: Column) -> Column:
-        start = state["at"] + p["gap"]
-        end = start + F.length(p["match"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), p["match"].alias("match")))
-        size = p["counted"] if group else F.length(p["match"])
-        # Only what is kept is appended: each append copies the list.
-        found = F.when(size >= least, F.concat(state["found"], one).cast(kind)).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
-    return F.when(text.rlike(gate), F.aggregate(parts, begin, placed, lambda state: state["found"])).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(gate), told).otherwise(F.array().cast(kind))
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -94,15 +95,20 @@ def _upper_tail(z: Column) -> Column:
     return F.greatest(F.lit(10.0**-_DECADES), series * F.exp(-x * x))
 
 
-def _let(value: Column, of) -> Column:
-    """``of(value)`` with the value computed once, however often ``of`` names it."""
-    return F.element_at(F.transform(F.array(value), of), 1)
-
-
 def _sum(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, v: total + of(v))
 
 
+_CLASS_RUNS = "[a-z]+|[A-Z]+|[^A-Za-z]+"
+
+
+def _class_shares(alphabet: Column) -> list[Column]:
+    """How likely two and three even draws from the alphabet are of one class (lower, upper, other)."""
+    size = F.length(alphabet).cast("double")
+    shares = [F.length(F.regexp_replace(alphabet, others, "")) / size for others in ("[^a-z]", "[^A-Z]", "[A-Za-z]")]
+    return [sum((x**power for x in shares), F.lit(0.0)).alias(name) for power, name in ((2, "alike"), (3, "thrice"))]
+
+
 def _tested(match: Column) -> Column:
     """``struct<encoding, n, p>`` of a candidate string; null encoding if it has none."""
     digits_and_letters = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
@@ -120,7 +126,8 @@ def _tested(match: Column) -> Column:
         counts = F.transform(F.split(s["alphabet"], ""), lambda c: n - F.length(F.replace(s["core"], c, F.lit(""))))
         return F.struct(
             s["encoding"].alias("encoding"), n.alias("n"), F.length(s["alphabet"]).cast("double").alias("size"),
-            values.alias("values"), counts.alias("counts"),
+            values.alias("values"), counts.alias("counts"), *_class_shares(s["alphabet"]),
+            F.length(F.regexp_replace(s["core"], _CLASS_RUNS, ".")).cast("double").alias("classes"),
         )
 
     def summed(s: Column) -> Column:
@@ -135,16 +142,21 @@ def _tested(match: Column) -> Column:
         changes = F.zip_with(F.slice(high, 2, F.size(high)), F.slice(high, 1, F.size(high) - 1), lambda a, b: F.abs(a - b))
         middle = 2 * n1 * (n - n1) / n
         spread = F.greatest(F.lit(1e-9), middle * (middle - 1) / (n - 1))
+        alike, thrice = s["alike"], s["thrice"]
+        z_classes = (s["classes"] - 1 - (n - 1) * (1 - alike)) / F.sqrt((n - 1) * alike * (1 - alike) + 2 * (n - 2) * (thrice - alike * alike))
         z_runs = F.when(middle > 1, (1 + _sum(changes, lambda d: d) - (middle + 1)) / F.sqrt(spread)).otherwise(F.sqrt(n))
         second = F.slice(values, 2, F.size(values))
         lagged = F.zip_with(second, F.slice(values, 1, F.size(values) - 1), lambda a, b: (a - mean) * (b - mean))
         variance = F.greatest(F.lit(1e-9), _sum(values, lambda v: (v - mean) * (v - mean)))
         z_serial = (_sum(lagged, lambda v: v) / variance + 1 / n) * F.sqrt(n)
-        tails = F.transform(F.array(z_chi, z_runs, z_serial), _upper_tail)
-        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("n"), size.alias("size"), F.least(F.lit(1.0), 3 * F.array_min(tails)).alias("p"))
+        tails = F.concat(
+            F.transform(F.array(z_chi, z_runs, z_serial), _upper_tail),
+            F.array(F.when(z_classes < 0, _upper_tail(z_classes) / 2).otherwise(F.lit(1.0))),
+        )
+        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("n"), size.alias("size"), F.least(F.lit(1.0), 4 * F.array_min(tails)).alias("p"))
 
     none = F.struct(F.lit(None).cast("string").alias("encoding"), F.lit(0).alias("n"), F.lit(0.0).alias("size"), F.lit(1.0).alias("p"))
-    return _let(start, lambda s: F.when(s["encoding"].isNotNull(), _let(_let(measured(s), summed), battery)).otherwise(none))
+    return let(start, lambda s: F.when(s["encoding"].isNotNull(), let(let(measured(s), summed), battery)).otherwise(none))
 
 
 def candidates(text: Column) -> Column:
@@ -182,7 +194,7 @@ def structure_bounds(tested: DataFrame, rate: float = RATE) -> dict[str, int]:
 
 
 def find_secrets(
-    docs: DataFrame, keep: Sequence[str] | None = None, *, text: str = "text", rate: float = RATE, bits: float = BITS
+    docs: DataFrame, keep: Sequence[str] | None = None, *, text: str = "text", rate: float = RATE, level: float = LEVEL, bits: float = BITS
 ) -> DataFrame:
     """``keep`` columns (all by default), and ``secrets``: sorted ``array<struct<start, rank, end, kind>>``."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -190,7 +202,7 @@ def find_secrets(
     family_bounds = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair]) if bounds else None
 
     def random_like(m: Column) -> Column:
-        told = m["t"]["n"] * F.log2(m["t"]["size"]) >= bits
+        told = (m["t"]["n"] * F.log2(m["t"]["size"]) >= bits) & (m["t"]["p"] >= level)
         if family_bounds is None:
             return told
         return told & (_bin(m["t"]["p"]) < F.coalesce(F.element_at(family_bounds, _family(m["t"])), F.lit(1 << 30)))
@@ -226,20 +238,25 @@ def redact(docs: DataFrame, *, mask: str = "[secret]") -> DataFrame:
     others = F.struct(*[c for c in docs.columns if c != "text"], F.lit(0).alias("_")).alias("kept")
     found = find_secrets(docs.select(others, "text"))
     body = F.col("text")
-    cut = F.aggregate(
-        "secrets",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda state, s: F.when(s["end"] <= state["at"], state).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.when(s["start"] < state["at"], state["out"])
-                .otherwise(F.concat(state["out"], body.substr(state["at"] + 1, s["start"] - state["at"]), F.lit(mask)))
-                .alias("out"),
+    first, wide = F.lit(bytes([0, 0, 254, 255])), "UTF-32"
+
+    def cut(code: Column) -> Column:
+        """Code points have four bytes each here, so a place in a long text is found without reading up to it."""
+
+        def piece(low: Column, high: Column) -> Column:
+            return F.decode(F.concat(first, code.substr((low * 4 + 1).cast("int"), ((high - low) * 4).cast("int"))), wide)
+
+        def masked(ends: Column) -> Column:
+            # A span that begins inside those before it only lengthens what is cut.
+            parts = F.zip_with(
+                "secrets", before_each(ends),
+                lambda s, at: F.when(s["start"] >= at, F.concat(piece(at, s["start"].cast("long")), F.lit(mask))).otherwise(F.lit("")),
             )
-        ),
-        lambda state: F.concat(state["out"], body.substr(state["at"] + 1, F.length(body))),
-    )
-    clean = found.withColumn("text", F.when(F.size("secrets") > 0, cut).otherwise(body))
+            return F.concat(F.array_join(parts, ""), piece(F.array_max(ends), F.length(body).cast("long")))
+
+        return let(running(F.transform("secrets", lambda s: s["end"]), lambda a, b: F.greatest(a, b)), masked)
+
+    clean = found.withColumn("text", F.when(F.size("secrets") > 0, let(F.encode(body, wide), cut)).otherwise(body))
     own = {c: F.col("kept")[c] for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         own["n_chars"] = F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(own["n_chars"])

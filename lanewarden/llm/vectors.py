@@ -2,7 +2,7 @@
 
 Unit vectors are cut into tiles of ``TILE`` rows, ordered by their nearest pivot so that a tile
 covers little of the sphere. For each pair of tiles the products of int8 codes are taken with a
-matrix multiply (whole numbers below 2**24, so single precision is exact). With ``x = s*q + e``,
+matrix multiply (over 1024 numbers at a time: whole numbers below 2**24, so single precision is exact). With ``x = s*q + e``,
 
     |x.y - s_x*s_y*(q_x.q_y)| <= |e_x| * |s_y*q_y| + |e_y|    (as |x| = 1),
 
@@ -38,6 +38,8 @@ from lanewarden.session import materialize
 TILE = 2048
 PIVOTS = 128
 _SLACK = 1e-9
+# So many products of codes, at most 127 * 127 each, stay below 2**24.
+_EXACT = 1024
 
 
 def _unit_rows(column: pa.Array, width: int) -> np.ndarray:
@@ -66,7 +68,9 @@ def tile_links(a: Tile, b: Tile, same: bool, threshold: float, step: int = 512)
     """Index pairs of linked rows, each pair once (``i < j`` within one tile)."""
     for low in range(0, len(a.ids), step):
         rows = slice(low, low + step)
-        estimate = (a.codes[rows] @ b.codes.T).astype(np.float64)
+        estimate = np.zeros((len(a.codes[rows]), len(b.ids)))
+        for part in range(0, a.codes.shape[1], _EXACT):
+            estimate += a.codes[rows, part : part + _EXACT] @ b.codes[:, part : part + _EXACT].T
         estimate *= a.scale[rows, None]
         estimate *= b.scale[None, :]
         bound = a.error[rows, None] * b.length[None, :] + b.error[None, :] + _SLACK

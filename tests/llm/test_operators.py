@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import random
+import re
+import string
+import time
 import zlib
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lanewarden.llm import (
-    components, decontaminate, licenses, near_dedup, packing, quality, queries, repeats, secrets, toxicity, vectors, warc,
+    components, decontaminate, filters, licenses, near_dedup, packing, quality, queries, repeats, secrets, toxicity, vectors, warc,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -383,3 +388,74 @@ def test_pipeline_stages(spark):
     assert 0 < docs.count() <= 200
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r["doc_id"] for r in last.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_running_results_equal_a_plain_loop(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(100) for _ in range(n)]) for i, n in enumerate((0, 1, 2, 3, 4, 5, 16, 17, 64, 65, 300))]
+    frame_ = spark.createDataFrame(rows, "i int, v array<int>")
+    totals = filters.running(F.col("v"), lambda a, b: a + b, chunk=4)
+    highest = filters.running(F.col("v"), lambda a, b: F.greatest(a, b), chunk=4)
+    for r in frame_.select("v", totals.alias("t"), highest.alias("h"), filters.before_each(totals).alias("b")).collect():
+        assert r["t"] == list(itertools.accumulate(r["v"])) and r["h"] == list(itertools.accumulate(r["v"], max))
+        assert r["b"][: len(r["v"])] == ([0, *r["t"]])[: len(r["v"])]
+
+
+def test_many_matches_in_one_text(spark):
+    """Positions and masks in a text with very many secrets, wide characters and a mark of byte order."""
+    key = "0123456789abcdef" * 2
+    text = "\ufeff" + "".join(f"\U0001f512 {key}\u00e9 password = {key[:12]}{i % 10}! " for i in range(20_000)) + "\ufeff end"
+    docs = frame(spark, [(1, text)])
+    started = time.monotonic()
+    row = secrets.digest(secrets.find_secrets(docs, ["doc_id"])).first()
+    assert (row["n_hex"], row["n_assign"]) == (20_000, 20_000)
+    want = re.sub(r"[0-9a-f]{32,}|password = [0-9a-f]+", "[secret]", text)
+    assert secrets.redact(docs).first()["text"] == want
+    places = licenses.find_licenses(frame(spark, [(1, "mit license x " * 20_000)]), ["doc_id"]).first()
+    base = [d["start"] for d in places["detections"] if d["base"]]
+    assert places["n_words"] == 60_000 and base == list(range(0, 60_000, 3))
+    assert time.monotonic() - started < 120
+
+
+def test_names_made_of_words_are_not_random(spark):
+    """One is known to pass the battery: its words are so short that its classes change as often as a key's."""
+    known = ["getUserProfileById2FromCache"]
+    names = """backgroundColorHex32Value sha256WithRSAEncryption2 getUserProfileById2FromCache convertUtf8ToUtf16String
+    org/apache/commons/lang3/StringUtils how-to-install-python-3-on-ubuntu-22 application_settings_version_2
+    maximumNumberOfRetries3Times XMLHttpRequest2UploadProgress test_user_login_redirects_to_page_1
+    static/images/2023/banner-large-final Content2TypeOptionsNoSniffHeader""".split()
+    rng = random.Random(12)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    keys = ["".join(rng.choice(alphabet) for _ in range(32)) for _ in range(200)]
+    for beside in ([], keys):
+        rows = list(enumerate([f"see {x} here" for x in [*names, *beside]]))
+        found = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.find_secrets(frame(spark, rows), ["doc_id"])).collect()}
+        assert [names[i] for i in range(len(names)) if found[i]] == known
+        assert sum("random" in found[i] for i in range(len(names), len(rows))) >= 0.97 * len(beside)
+
+
+def test_a_passage_of_many_items(spark):
+    """Items are found for each set of windows, whatever the items share and whatever is in the block."""
+    shared = " ".join(f"s{i}" for i in range(30))
+    items = [(i, f"{shared} own{i} " + " ".join(f"w{i}x{j}" for j in range(12))) for i in range(300)]
+    docs = [(1, shared), (2, shared), (3, items[7][1]), (4, "nothing of it"), (5, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (500_000, 50):
+        found = decontaminate.find_windows(frame(spark, docs), bench, ["doc_id"], block=block)
+        rows = {r["doc_id"]: r for r in found.collect()}
+        everyone = sorted(str(i) for i in range(300))
+        assert rows[1]["hit_items"] == rows[2]["hit_items"] == rows[3]["hit_items"] == everyone
+        assert rows[1]["hit_spans"] == [[0, 30]] and rows[3]["hit_spans"] == [[0, 43]]
+        assert rows[4]["hit_items"] == rows[5]["hit_items"] == [] and rows[5]["n_words"] == 0
+
+
+def test_products_are_exact_in_wide_vectors():
+    """Signs of 4,000 numbers, many pairs exactly at the threshold: links are those of double precision alone."""
+    rng = np.random.default_rng(1)
+    first = rng.choice([-1.0, 1.0], 4000)
+    rows = np.array([first * np.where(np.isin(np.arange(4000), rng.choice(4000, k, replace=False)), -1, 1) for k in (199, 200, 201) * 40])
+    tile_a = vectors.Tile(np.arange(1), np.ones(1, int), (first / np.linalg.norm(first))[None, :])
+    tile_b = vectors.Tile(np.arange(len(rows)), np.ones(len(rows), int), rows / np.linalg.norm(rows, axis=1, keepdims=True))
+    got = {int(j) for _, js in vectors.tile_links(tile_a, tile_b, False, 0.9) for j in js}
+    want = set(np.flatnonzero(np.einsum("ij,ij->i", np.repeat(tile_a.units, len(rows), 0), tile_b.units) >= 0.9).tolist())
+    assert got == want and len(want) >= 40
