@@ -163,3 +163,33 @@ def test_hot_cells_are_few_and_take_salts(spark, crossings):
     first, second, keys = detect.join_sides(events, hot_cell_rows=50)
     assert second.select(*keys).distinct().count() > 3 and first.where("_salt = 2").count() > 0
     assert "BroadcastHashJoin" in second._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("strategy, reach", [("adjacent", 42), ("all-pairs", 82)])
+def test_hot_slices_are_cut_by_what_a_segment_can_reach(spark, crossings, strategy, reach):
+    """Crossings meet little beyond the reach of the lane's longest segment, not a window of ten minutes."""
+    events = crossings([("HOT", 1, i % 3, i // 5, 90, 80.0) for i in range(6000)])
+    assert detect.lane_reach(events, events, strategy, 600).collect() == [(1, reach)]
+    first, second, keys = detect.join_sides(events, hot_cell_rows=40, strategy=strategy)
+    met = first.groupBy(*keys).count().withColumnRenamed("count", "n").join(second.groupBy(*keys).count(), keys)
+    assert met.selectExpr("sum(n * count)").first()[0] < 6000 * 5 * 1.7 * reach
+    whole = detect.detect_average(events, strategy, split_hot=False)
+    assert Counter(map(tuple, detect.detect_average(events, strategy, hot_cell_rows=40).collect())) == Counter(map(tuple, whole.collect()))
+
+
+def test_salts_follow_the_share_of_a_cell(spark, crossings):
+    """Many hot cells keep all tasks busy as they are; salts would copy their rows for nothing."""
+    events = crossings([(f"P{i % 50}", 1, i % 3, i % 300, 90, 80.0) for i in range(10_000)])
+    assert {r["_salts"] for r in detect.hot_cells(events, 3600, 100, 1).collect()} == {1}
+
+
+@pytest.mark.parametrize("strategy", ["adjacent", "all-pairs"])
+def test_odd_limits_and_positions_bound_nothing(spark, crossings, strategy):
+    nan = float("nan")
+    odd = [(1, 0, 90.0, 1.0), (1, 1, 0.0, 2.0), (2, 0, 90.0, nan), (2, 1, 90.0, 2.0), (3, 0, 90.0, 1.0), (4, 0, 90.0, None), (4, 1, None, 2.0)]
+    events = crossings([("H", lane, index, 10 * k, nan if limit is None else limit, 80.0, nan if km is None else km) for lane, index, limit, km in odd for k in range(60)])
+    assert dict(map(tuple, detect.lane_reach(events, events, "adjacent", 600).collect())) == {1: 600, 2: 600, 3: 0, 4: 600}
+    whole = detect.detect_average(events, strategy, split_hot=False)
+    split = detect.detect_average(events, strategy, hot_cell_rows=20)
+    plain = lambda df: Counter(map(repr, df.collect()))  # noqa: E731  (a NaN differs from itself)
+    assert whole.count() and plain(split) == plain(whole)
