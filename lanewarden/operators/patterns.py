@@ -12,9 +12,12 @@ of the automaton is the set of steps that the last crossing may stand for. One c
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +54,41 @@ class Automaton:
         return Automaton(sum(1 << i for i, s in enumerate(steps) if s.repeat), 1 << (len(steps) - 1))
 
 
+def longest_runs(at: np.ndarray, flags: np.ndarray, ends: np.ndarray, reach_us: int, automaton: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row that meets the first step: the row, the last row of its longest run (-1 if there is none), and
+    whether the run is alive at the end of its rows, so that rows to come could lengthen it.
+
+    Rows are in order; ``ends`` is the end of each row's history. All runs go on at once, one crossing at a time,
+    so the work is the sum of the runs' lengths, whatever else lies within the reach.
+    """
+    starts = np.flatnonzero(flags & 1)
+    last, alive = np.full(len(starts), -1), np.zeros(len(starts), bool)
+    run, row, state = np.arange(len(starts)), starts, np.zeros(len(starts), np.int64)
+    first = 1
+    while len(run):
+        state = ((state << 1) | first | (state & automaton.repeating)) & flags[row]
+        accepts = (state & automaton.final) != 0
+        last[run[accepts]] = row[accepts]
+        row, first = row + 1, 0
+        inside = row < ends[row - 1]
+        alive[run[(state != 0) & ~inside]] = True
+        on = (state != 0) & inside
+        run, row, state = run[on], row[on], state[on]
+        on = at[row] <= at[starts[run]] + reach_us
+        run, row, state = run[on], row[on], state[on]
+    return starts, last, alive
+
+
+def group_ends(*keys: np.ndarray) -> np.ndarray:
+    """For each row of sorted groups, the end of its group."""
+    n = len(keys[0])
+    new = np.zeros(max(n - 1, 0), bool)
+    for key in keys:
+        new |= key[1:] != key[:-1]
+    borders = np.r_[np.flatnonzero(new) + 1, n]
+    return np.repeat(borders, np.diff(np.r_[0, borders]))
+
+
 def flags_of(steps: Sequence[Step]) -> Column:
     """The steps that a row meets, as bits; a condition that is null is not met."""
     flags = F.lit(0)
@@ -92,50 +130,81 @@ def match_rows(events: DataFrame, steps: Sequence[Step], *, within: str = JOIN_W
     placed = known.withColumns({"_at": F.unix_micros("event_time"), "_pos": F.struct(F.unix_micros("event_time").alias("_at"), *tie_break())})
     sliced = with_slices(placed, "event_time", back_s=reach, ahead_s=reach, width_s=6 * reach)
     order = Window.partitionBy(*KEYS, SLICE).orderBy("_pos")
-    once = sliced.withColumn("_again", F.lag("_pos").over(order) == F.col("_pos")).where("not coalesce(_again, false)")
+    once = sliced.repartition(*KEYS, SLICE).withColumn("_again", F.lag("_pos").over(order) == F.col("_pos")).where("not coalesce(_again, false)")
     flagged = with_previous(once, order, us).select(*KEYS, SLICE, HOME, "_at", "_pos", flags_of(steps).alias("_flags"))
-
-    by_time = Window.partitionBy(*KEYS, SLICE).orderBy("_at").rangeBetween(0, us)
-    ahead = flagged.withColumn("_ahead", F.collect_list(F.struct("_pos", "_flags")).over(by_time))
-    starts = ahead.where(F.col(HOME) & (F.col("_flags").bitwiseAND(F.lit(1)) == 1))
-    # Rows of the same moment may stand before the start; the fold begins at the start itself.
-    run = F.filter(F.array_sort("_ahead"), lambda x: x["_pos"] >= F.col("_pos"))
-
-    def move(acc: Column, row: Column) -> Column:
-        state, n = acc["state"], acc["n"] + 1
-        begun = F.shiftleft(state, 1).bitwiseOR(F.when(n == 1, 1).otherwise(0))
-        now = begun.bitwiseOR(state.bitwiseAND(F.lit(automaton.repeating))).bitwiseAND(row["_flags"])
-        ends = now.bitwiseAND(F.lit(automaton.final)) != 0
-        return F.struct(
-            now.alias("state"), n.alias("n"), F.when(ends, row["_pos"]).otherwise(acc["end"]).alias("end"),
-            F.when(ends, n).otherwise(acc["rows"]).alias("rows"),
-        )
-
-    nothing = F.struct(
-        F.lit(0).alias("state"), F.lit(0).alias("n"), F.lit(None).cast(flagged.schema["_pos"].dataType).alias("end"), F.lit(0).alias("rows")
-    )
-    found = starts.select(*KEYS, F.col("_pos").alias("start"), F.aggregate(run, nothing, move).alias("m"))
-    candidates = materialize(
-        found.where("m.rows > 0").select(*KEYS, "start", F.col("m.end").alias("end"), F.col("m.rows").cast("long").alias("n_rows")), "pattern-runs"
+    # Groups of plate, lane and slice follow one another whole, each in order.
+    in_order = flagged.sortWithinPartitions(*KEYS, SLICE, "_pos")
+    places = in_order.select(*KEYS, SLICE, HOME, "_at", "_flags", F.col("_pos.camera_index").alias("_index"), F.col("_pos.tie").alias("_tie"))
+    kinds = {f.name: f.dataType.simpleString() for f in places.schema}
+    ends = f"_end bigint, _end_index {kinds['_index']}, _end_tie {kinds['_tie']}, n_rows bigint"
+    found = places.mapInArrow(
+        _runs_of_slices(automaton, us),
+        f"car_plate {kinds['car_plate']}, lane_id {kinds['lane_id']}, _at bigint, _index {kinds['_index']}, _tie {kinds['_tie']}, {ends}",
     )
+    start = F.struct("_at", F.col("_index").alias("camera_index"), F.col("_tie").alias("tie"))
+    end = F.struct(F.col("_end").alias("_at"), F.col("_end_index").alias("camera_index"), F.col("_end_tie").alias("tie"))
+    candidates = materialize(found.select(*KEYS, start.alias("start"), end.alias("end"), "n_rows"), "pattern-runs")
     return _without_overlaps(candidates, reach).select(
         *KEYS, F.timestamp_micros("start._at").alias("match_start"), F.timestamp_micros("end._at").alias("match_end"), "n_rows"
     )
 
 
+def _runs_of_slices(automaton: Automaton, reach_us: int):
+    """Batches of crossings in the order of plate, lane, slice and place, to the runs that start at home."""
+
+    def found(table: pa.Table) -> list[pa.RecordBatch]:
+        plate = table["car_plate"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        lane, part, at, flags = (table[c].to_numpy() for c in ("lane_id", SLICE, "_at", "_flags"))
+        starts, last, _ = longest_runs(at, flags, group_ends(plate, lane, part), reach_us, automaton)
+        kept = (last >= 0) & table[HOME].to_numpy()[starts]
+        starts, last = starts[kept], last[kept]
+        left = table.take(pa.array(starts))
+        right = table.take(pa.array(last))
+        columns = [left[c] for c in (*KEYS, "_at", "_index", "_tie")] + [right[c] for c in ("_at", "_index", "_tie")]
+        names = [*KEYS, "_at", "_index", "_tie", "_end", "_end_index", "_end_tie", "n_rows"]
+        rows = pa.Table.from_arrays([*columns, pa.array(last - starts + 1, pa.int64())], names=names)
+        return rows.to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last group of what is held may go on in this batch; all before its own last group is whole.
+            keys = [batch.column(c).to_pylist()[-1] for c in (*KEYS, SLICE)]
+            same = np.ones(batch.num_rows, bool)
+            for name, key in zip((*KEYS, SLICE), keys):
+                same &= np.asarray(pa.compute.equal(batch.column(name), pa.scalar(key, batch.schema.field(name).type)))
+            cut = batch.num_rows - int(same.sum())
+            begun = held and all(held[-1].column(c)[-1].as_py() == key for c, key in zip((*KEYS, SLICE), keys))
+            if cut or (held and not begun):
+                yield from found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield from found(pa.Table.from_batches(held))
+
+    return run
+
+
 def _without_overlaps(candidates: DataFrame, reach: int) -> DataFrame:
     """The runs that stand when they are taken from left to right, each after the end of the one before.
 
     A run that no earlier one covers surely stands. The next one after an end either starts within twice the
-    reach of its predecessor's start, or is one of those.
+    reach of its predecessor's start, or is one of those. It is found by one pass over starts and ends from the
+    right: the last start passed before an end is met.
     """
     timed = candidates.withColumn("_time", F.timestamp_micros("start._at"))
     sliced = with_slices(timed, "_time", back_s=2 * reach, ahead_s=reach, width_s=6 * reach)
     parts = Window.partitionBy(*KEYS, SLICE)
     covered = F.max("end").over(parts.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    near = F.collect_list("start").over(parts.orderBy("start._at").rangeBetween(0, 2 * reach * 1_000_000))
-    later = F.array_min(F.filter(near, lambda s: s > F.col("end")))
-    linked = sliced.withColumns({"_covered": covered, "_next": later}).where(HOME)
+    known = sliced.withColumn("_covered", covered)
+    # Of a start and an end at one place the end comes first from the right, since what follows it is later.
+    places = F.array(F.struct(F.col("end").alias("place"), F.lit(False).alias("begins")), F.struct(F.col("start").alias("place"), F.lit(True).alias("begins")))
+    passed = known.withColumn("_mark", F.explode(places))
+    from_right = parts.orderBy(F.desc("_mark.place"), F.asc("_mark.begins")).rowsBetween(Window.unboundedPreceding, -1)
+    later = F.last(F.when(F.col("_mark.begins"), F.col("start")), ignorenulls=True).over(from_right)
+    linked = passed.withColumn("_next", later).where(F.col(HOME) & ~F.col("_mark.begins"))
     sure = F.coalesce(F.col("_covered") < F.col("start"), F.lit(True))
     nodes = linked.select(*KEYS, "start", "end", "n_rows", sure.alias("_sure"), "_next")
     return follow(nodes, KEYS, "start")

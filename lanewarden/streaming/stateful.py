@@ -10,11 +10,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from lanewarden.operators.patterns import Automaton, Step, flags_of, tie_break
+from lanewarden.operators.patterns import Automaton, Step, flags_of, group_ends, longest_runs, tie_break
 from lanewarden.operators.trips import judged_pairs
 from lanewarden.settings import DEDUP_WINDOW, JOIN_WINDOW, VEHICLE_TTL_S, duration_seconds
 
@@ -104,28 +105,63 @@ def live_vehicle_stream(events: DataFrame, ttl_s: float = VEHICLE_TTL_S, buckets
 _VEHICLE = ["car_plate", "lane_id"]
 
 
+# Rows of one value of state.
+_CHUNK_ROWS = 100_000
+
+
+def _packed(table: pd.DataFrame) -> list[tuple[bytes]]:
+    """The rows as values of state, each an Arrow table: a call of the state store per row would take most of the time."""
+    chunks = []
+    for at in range(0, len(table), _CHUNK_ROWS):
+        part = pa.Table.from_pandas(table.iloc[at : at + _CHUNK_ROWS], preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_table(part)
+        chunks.append((sink.getvalue().to_pybytes(),))
+    return chunks
+
+
+def _unpacked(chunks: Iterator[tuple]) -> pd.DataFrame | None:
+    tables = [pa.ipc.open_stream(bytes(chunk)).read_all().to_pandas() for chunk, in chunks]
+    return pd.concat(tables, ignore_index=True) if tables else None
+
+
+def _sort_key(column: pd.Series) -> np.ndarray:
+    """Numbers that order the column's values, missing ones last."""
+    if column.dtype != object:
+        return column.to_numpy()
+    codes, values = pd.factorize(column, sort=True)
+    return np.where(codes < 0, len(values), codes)
+
+
 class _InOrder(StatefulProcessor):
     """Rows of a bucket of vehicles wait until the watermark has passed them, then are judged in order.
 
-    ``judge`` gets all rows of the bucket, sorted by ``order``, and the time that has passed. It returns what to
+    The state is a list of Arrow tables. ``judge`` gets all rows of the bucket, sorted by ``order``, and the time that has passed. It returns what to
     emit, which rows to keep, and when to look again though nothing waits.
     """
 
     order = [*_VEHICLE, "at_us", "camera_index", "tie"]
 
-    def __init__(self, columns: str, names: list[str], reach_us: int) -> None:
-        self.columns, self.names, self.reach_us = columns, names, reach_us
+    def __init__(self, names: list[str], reach_us: int) -> None:
+        self.names, self.reach_us = names, reach_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", self.columns)
+        self.rows = handle.getListState("rows", "chunk binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
+        earliest, parts, held = None, [], 0
         for part in rows:
-            self.rows.appendList(list(zip(*[part[c].tolist() for c in self.names])))
+            parts.append(part[self.names])
+            held += len(part)
+            if held >= _CHUNK_ROWS:
+                self.rows.appendList(_packed(pd.concat(parts, ignore_index=True)))
+                parts, held = [], 0
             first = int(part["at_us"].min())
             earliest = first if earliest is None else min(earliest, first)
+        if held:
+            self.rows.appendList(_packed(pd.concat(parts, ignore_index=True)))
         set_for = list(self.handle.listTimers())
         if not set_for or earliest // 1000 + 1 < min(set_for):
             self._only_timer(earliest)
@@ -133,13 +169,12 @@ class _InOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.rows.get()) if self.rows.exists() else []
-        if held:
-            table = pd.DataFrame([tuple(r) for r in held], columns=self.names)
-            table = table.sort_values(self.order, kind="stable", ignore_index=True)
+        table = _unpacked(self.rows.get()) if self.rows.exists() else None
+        if table is not None:
+            table = table.take(np.lexsort([_sort_key(table[c]) for c in reversed(self.order)])).reset_index(drop=True)
             found, kept, again_us = self.judge(table, passed_us)
             if len(kept):
-                self.rows.put(list(zip(*[kept[c].tolist() for c in self.names])))
+                self.rows.put(_packed(kept[self.names]))
             else:
                 self.rows.clear()
             waiting = kept["at_us"][kept["at_us"] > passed_us]
@@ -199,9 +234,8 @@ def last_crossing_stream(events: DataFrame, window: str = JOIN_WINDOW, buckets:
         F.unix_micros("event_time").alias("at_us"), F.lit(False).alias("judged"), "event_time",
     )
     names = [*_VEHICLE, "camera_id", "camera_index", "tie", "position_km", "speed_limit", "at_us", "judged"]
-    state = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in names)
     pairs = keyed.groupBy("bucket").transformWithStateInPandas(
-        _LastCrossing(state, names, duration_seconds(window) * 1_000_000),
+        _LastCrossing(names, duration_seconds(window) * 1_000_000),
         "car_plate string, lane_id int, camera_id int, position_km double, at_us long, next_camera_id int, "
         "next_position_km double, next_speed_limit double, next_at_us long",
         "Append", "EventTime",
@@ -275,9 +309,8 @@ def rolling_flag_stream(violations: DataFrame, width: str = DEDUP_WINDOW, bucket
         F.unix_micros("timestamp_start").alias("at_us"), F.lit(False).alias("flagged"),
     )
     names = ["car_plate", "violation_type", "at_us", "flagged"]
-    state = "car_plate string, violation_type string, at_us long, flagged boolean"
     return keyed.groupBy("bucket").transformWithStateInPandas(
-        _RollingFlag(state, names, duration_seconds(width) * 1_000_000),
+        _RollingFlag(names, duration_seconds(width) * 1_000_000),
         "car_plate string, violation_type string, start_us long", "Append", "EventTime",
     )
 
@@ -285,47 +318,45 @@ def rolling_flag_stream(violations: DataFrame, width: str = DEDUP_WINDOW, bucket
 class _Pattern(_InOrder):
     """Runs of an automaton from left to right; a start waits until its run has ended or its time is over."""
 
-    def __init__(self, columns: str, names: list[str], reach_us: int, automaton: Automaton) -> None:
-        super().__init__(columns, names, reach_us)
-        self.repeating, self.final = automaton.repeating, automaton.final
+    def __init__(self, names: list[str], reach_us: int, automaton: Automaton) -> None:
+        super().__init__(names, reach_us)
+        self.automaton = automaton
 
     def judge(self, table: pd.DataFrame, passed_us: int) -> tuple[pd.DataFrame, pd.DataFrame, int | None]:
-        table = table.drop_duplicates([*_VEHICLE, "at_us", "camera_index", "tie"], ignore_index=True)
-        at, flags = table["at_us"].to_numpy(), table["flags"].to_numpy()
-        plate, lane = table["car_plate"].to_numpy(), table["lane_id"].to_numpy()
-        borders = np.flatnonzero((plate[1:] != plate[:-1]) | (lane[1:] != lane[:-1])) + 1
-        found, keep, again_us = [], at > passed_us, None
-        for low, high in zip([0, *borders], [*borders, len(table)]):
-            high = low + int(np.searchsorted(at[low:high], passed_us, "right"))
-            start = low
-            while start < high:
-                if not flags[start] & 1:
-                    start += 1
-                    continue
-                end, open_ = self._run(at, flags, start, high, passed_us)
-                if open_:
-                    keep[start:high] = True
-                    again = int(at[start]) + self.reach_us
-                    again_us = again if again_us is None else min(again_us, again)
-                    break
-                if end is not None:
-                    found.append((plate[start], int(lane[start]), int(at[start]), int(at[end]), end - start + 1))
-                start = start + 1 if end is None else end + 1
-        names = ["car_plate", "lane_id", "start_us", "end_us", "n_rows"]
-        return pd.DataFrame(found, columns=names), table[keep], again_us
-
-    def _run(self, at: np.ndarray, flags: np.ndarray, start: int, high: int, passed_us: int) -> tuple[int | None, bool]:
-        """The last row of the longest run from ``start``, and whether rows to come could still change it."""
-        state, end, limit = 0, None, at[start] + self.reach_us
-        for i in range(start, high):
-            if at[i] > limit:
-                return end, False
-            state = ((state << 1) | int(i == start) | (state & self.repeating)) & int(flags[i])
-            if not state:
-                return end, False
-            if state & self.final:
-                end = i
-        return end, bool(limit > passed_us)
+        again = np.ones(len(table), bool)
+        again[:1] = False
+        for name in self.order:
+            values = table[name].to_numpy()
+            again[1:] &= values[1:] == values[:-1]
+        table = table[~again].reset_index(drop=True)
+        at = table["at_us"].to_numpy()
+        keep = at > passed_us
+        # Rows that have passed, and the runs from them; a run that may go on waits with all after it.
+        ready = np.flatnonzero(~keep)
+        passed = table.take(ready)
+        plate, lane, at = passed["car_plate"].to_numpy(), passed["lane_id"].to_numpy(), at[ready]
+        ends = group_ends(plate, lane)
+        starts, last, alive = longest_runs(at, passed["flags"].to_numpy(), ends, self.reach_us, self.automaton)
+        waits = alive & (at[starts] + self.reach_us > passed_us)
+        some = (last >= 0) | waits
+        starts, last, waits = starts[some], last[some], waits[some]
+        after = np.searchsorted(starts, np.where(waits, ends[starts], last + 1)).tolist()
+        taken, i = [], 0
+        while i < len(starts):
+            taken.append(i)
+            i = after[i]
+        taken = np.array(taken, np.int64)
+        again_us = None
+        for start in starts[taken[waits[taken]]]:
+            keep[ready[start : ends[start]]] = True
+            again = int(at[start]) + self.reach_us
+            again_us = again if again_us is None else min(again_us, again)
+        taken = taken[~waits[taken]]
+        first, end = starts[taken], last[taken]
+        found = pd.DataFrame({
+            "car_plate": plate[first], "lane_id": lane[first], "start_us": at[first], "end_us": at[end], "n_rows": end - first + 1,
+        })
+        return found, table[keep], again_us
 
 
 def pattern_stream(events: DataFrame, steps: Sequence[Step], *, within: str = JOIN_WINDOW, buckets: int = BUCKETS) -> DataFrame:
@@ -341,9 +372,8 @@ def pattern_stream(events: DataFrame, steps: Sequence[Step], *, within: str = JO
         F.unix_micros("event_time").alias("at_us"), flags_of(steps).alias("flags"), "event_time",
     )
     names = [*_VEHICLE, "camera_index", "tie", "at_us", "flags"]
-    state = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in names)
     found = keyed.groupBy("bucket").transformWithStateInPandas(
-        _Pattern(state, names, duration_seconds(within) * 1_000_000, automaton),
+        _Pattern(names, duration_seconds(within) * 1_000_000, automaton),
         "car_plate string, lane_id int, start_us long, end_us long, n_rows long", "Append", "EventTime",
     )
     return found.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from conftest import T0
 from pyspark.sql import functions as F
@@ -155,3 +156,32 @@ def test_follow_links(spark):
     found = chains.follow(spark.createDataFrame(nodes, "g string, at long, _sure boolean, _next long"), ["g"], "at")
     want = {i for s in range(0, 500, 100) for i in range(s, 500, 3)}
     assert {r["at"] for r in found.collect()} == want
+
+
+def test_runs_end_with_their_histories():
+    """Runs are as long as their steps allow, whatever lies within the reach; those cut by the end are alive."""
+    automaton = patterns.Automaton.of([Step(FAST), Step(FAST, True), Step(QUIET)])
+    flags = np.array([3, 3, 3, 4, 3, 4, 3, 3, 3, 3, 3, 4])
+    group = np.array([0] * 8 + [1] * 4)
+    starts, last, alive = patterns.longest_runs(np.arange(12), flags, patterns.group_ends(group), 100, automaton)
+    assert starts.tolist() == [0, 1, 2, 4, 6, 7, 8, 9, 10] and last.tolist() == [3, 3, -1, -1, -1, -1, 11, 11, -1]
+    assert alive.tolist() == [False] * 4 + [True] * 2 + [True, True, False]
+
+
+def test_dense_histories_are_matched_without_lists_of_a_window(spark, crossings):
+    """A window that holds thousands of crossings: no row gathers those within its reach."""
+    rng = random.Random(11)
+    rows = unique_moments([("A", 1, rng.randrange(3), rng.randrange(1800), 90, rng.choice([80.0, 100.0])) for _ in range(6000)])
+    found = patterns.match_rows(crossings(rows), [Step(FAST), Step(FAST, True), Step(QUIET)])
+    assert seconds(found.collect()) == plain_matches(rows, "ff+q", 600)
+
+
+def test_state_of_many_rows_is_few_values():
+    """One value of state holds many rows, and gives them back as they were."""
+    import pandas as pd
+
+    table = pd.DataFrame({"car_plate": [f"P{i % 7}" for i in range(250_000)], "at_us": range(250_000), "judged": [i % 2 == 0 for i in range(250_000)]})
+    packed = stateful._packed(table)
+    assert len(packed) == 3
+    pd.testing.assert_frame_equal(stateful._unpacked(iter(packed)), table)
+    assert stateful._packed(table[:0]) == [] and stateful._unpacked(iter([])) is None
