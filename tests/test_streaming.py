@@ -275,3 +275,13 @@ def test_window_must_divide_the_hour(spark, crossings):
     for width in ("7 minutes", "90 minutes", "30 seconds"):
         with pytest.raises(ValueError):
             jobs.ledger_stream(detect.all_violations(crossings(SNEAKY)), width)
+
+
+def test_large_landings_are_dealt_to_many_files(spark, monkeypatch, crossings):
+    """One file is written and decoded by one task; small landings stay as they are."""
+    rows = crossings([("A", 1, i % 3, i, 90, 80.0) for i in range(90)]).withColumn("event_id", F.expr("uuid()")).coalesce(1)
+    assert streams._dealt(rows) is rows
+    monkeypatch.setattr(streams, "FILE_EVENTS", 20)
+    dealt = streams._dealt(rows)
+    assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 90
+    assert sorted(map(tuple, dealt.drop("event_id").collect())) == sorted(map(tuple, rows.drop("event_id").collect()))
