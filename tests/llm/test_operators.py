@@ -113,6 +113,18 @@ def test_near_vectors_of_several_widths(spark):
     assert all(want[i][0] for i in (100, 101, 103))
 
 
+def test_tile_pairs_are_not_shuffled(spark):
+    def shuffled():
+        executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    rng = np.random.default_rng(4)
+    ids = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(800, 64)))]
+    rows, before = spark.createDataFrame(ids, "vec_id long, embedding array<float>"), shuffled()
+    assert vectors.near_vectors(rows, threshold=0.9, tile=16).where("kept").count() == 800
+    assert 0 < shuffled() - before < 8 * 800 * 64 * 4
+
+
 def test_quantisation_bound():
     rng = np.random.default_rng(0)
     units = rng.normal(size=(200, 64))
