@@ -285,3 +285,14 @@ def test_large_landings_are_dealt_to_many_files(spark, monkeypatch, crossings):
     dealt = streams._dealt(rows)
     assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 90
     assert sorted(map(tuple, dealt.drop("event_id").collect())) == sorted(map(tuple, rows.drop("event_id").collect()))
+
+
+def test_landings_of_many_rows_are_cut_in_time_order(spark, crossings):
+    hours = [0, 0, 1, 1, 1, 2, 30, 400, 400, 401]
+    rows = [(f"A{i}", 1, 0, hour * 3600 + i, 90, 50.0) for i, hour in enumerate(hours)]
+    given = crossings([*rows, ("N", 1, 0, None, 90, 50.0)])
+    landed = [sorted(r["car_plate"] for r in x.collect()) for x in streams._bounded_periods(given, closing=True, most=4)]
+    # Hours stay whole, the period of 16 days is a border too, the closing crossing comes last.
+    assert landed == [["A0", "A1"], ["A2", "A3", "A4", "A5"], ["A6"], ["A7", "A8", "A9", "~"]]
+    whole = [sorted(r["car_plate"] for r in x.collect()) for x in streams._bounded_periods(given, most=10)]
+    assert whole == [sorted(r["car_plate"] for r in x.collect()) for x in streams._periods(given)] and len(whole) == 2
