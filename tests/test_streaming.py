@@ -296,3 +296,16 @@ def test_landings_of_many_rows_are_cut_in_time_order(spark, crossings):
     assert landed == [["A0", "A1"], ["A2", "A3", "A4", "A5"], ["A6"], ["A7", "A8", "A9", "~"]]
     whole = [sorted(r["car_plate"] for r in x.collect()) for x in streams._bounded_periods(given, most=10)]
     assert whole == [sorted(r["car_plate"] for r in x.collect()) for x in streams._periods(given)] and len(whole) == 2
+
+
+def test_late_rows_stay_late_when_landings_are_cut(spark, monkeypatch, crossings):
+    rows = [(f"P{i % 3}", 1, i % 3, 3600 * (i // 9) + 37 * (i % 9), 90, 100.0 if i % 4 == 0 else 50.0) for i in range(36)]
+    given = crossings(rows)
+    monkeypatch.setattr(streams.bed, "crossings", lambda spark, sf: given)
+    monkeypatch.setattr(streams._bounded_periods, "__defaults__", (False, streams.PERIOD_DAYS, 10))
+    landings = []
+    monkeypatch.setattr(streams, "to_wire", lambda x, to_wire=streams.to_wire: landings.append(x.count()) or to_wire(x))
+    got = streams.late_rows_dropped(spark, "unused")
+    want = dedup.first_per_plate_window(detect.all_violations(given))
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert landings == [9, 9, 9, 10, 36]
